@@ -1,71 +1,105 @@
-"""Parsers from raw text to zone-less timestamps. Impossible dates give null."""
+"""Parsers from raw text, without padding or quotes, to zone-less timestamps. Impossible dates give null."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.functions.text import unquote
-
 _STRICT_EVENT_TIME = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$"
 
 
-def _number(parts: Column, i: int) -> Column:
-    return F.get(parts, F.lit(i)).try_cast("int")
+def number_parts(c: Column) -> Column:
+    """The runs of digits in a text, as an array of strings."""
+    return F.split(F.btrim(F.regexp_replace(c, r"[^0-9]+", " ")), " ")
 
 
-def _clock_hour(hour: Column, text: Column) -> Column:
-    """24-hour value of ``hour``; an AM/PM mark only applies to 1..12."""
-    mark = F.lower(F.regexp_extract(text, r"([AaPp])[Mm]\s*$", 1))
-    twelve = hour.between(1, 12)
-    return F.when(twelve & (mark == "p"), hour % 12 + 12).when(twelve & (mark == "a"), hour % 12).otherwise(hour)
+def half_day_mark(c: Column) -> Column:
+    """``a`` or ``p`` when the text ends in AM or PM, otherwise empty."""
+    return F.lower(F.regexp_extract(c, r"([AaPp])[Mm]\s*$", 1))
 
 
-def parse_multi_ts(c: Column) -> Column:
-    """Date-time text in any of the known layouts.
+def _part(parts: Column, i: int) -> Column:
+    return F.get(parts, F.lit(i))
+
+
+def _clock_hour(text: Column, mark: Column) -> Column:
+    """Hour text on the 24-hour clock; an AM/PM mark only applies to 1..12."""
+    hour = text.try_cast("int")
+    shifted = (hour % 12 + F.when(mark == "p", 12).otherwise(0)).cast("string")
+    return F.when((mark != "") & hour.between(1, 12), shifted).otherwise(text)
+
+
+def _timestamp(year: Column, month: Column, day: Column, clock: Column) -> Column:
+    """Zone-less timestamp from the texts of its parts, null for impossible parts.
+
+    Casting text reports bad parts as null; building from numbers would throw and catch an exception
+    for each bad row.
+    """
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock).try_cast("timestamp_ntz")
+
+
+def multi_ts(parts: Column, mark: Column) -> Column:
+    """Timestamp from number parts and AM/PM mark.
 
     A four-digit first number means year-month-day, anything else month-day-year (a two-digit year is
     20xx). Six numbers give a full time, five give hour and minute when an AM/PM mark is present, fewer
     give midnight.
     """
-    text = unquote(c)
-    parts = F.split(F.btrim(F.regexp_replace(text, r"[^0-9]+", " ")), " ")
-    year_first = F.length(F.get(parts, F.lit(0))) == 4
-    year_text = F.get(parts, F.lit(2))
-    short_year = F.length(year_text) <= 2
-    year = F.when(year_first, _number(parts, 0)).otherwise(
-        _number(parts, 2) + F.when(short_year, 2000).otherwise(0)
-    )
-    month = F.when(year_first, _number(parts, 1)).otherwise(_number(parts, 0))
-    day = F.when(year_first, _number(parts, 2)).otherwise(_number(parts, 1))
+    first, second, third = (_part(parts, i) for i in range(3))
+    year_first = F.length(first) == 4
+    digits = F.length(third)
+    year = F.when(digits <= 2, F.concat(F.lit("20"), F.lpad(third, 2, "0"))).when(digits <= 4, third)
     has_seconds = F.size(parts) >= 6
-    has_mark = text.rlike(r"[AaPp][Mm]\s*$")
-    has_clock = has_seconds | ((F.size(parts) == 5) & has_mark)
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(
-        year,
-        month,
-        day,
-        F.when(has_clock, _clock_hour(_number(parts, 3), text)).otherwise(zero),
-        F.when(has_clock, _number(parts, 4)).otherwise(zero),
-        F.when(has_seconds, _number(parts, 5)).otherwise(zero).cast("decimal(16,6)"),
+    has_clock = has_seconds | ((F.size(parts) == 5) & (mark != ""))
+    second_text = F.when(has_seconds, _part(parts, 5)).otherwise("0")
+    clock = F.when(
+        has_clock, F.concat_ws(":", _clock_hour(_part(parts, 3), mark), _part(parts, 4), second_text)
+    ).otherwise("0:0:0")
+    return _timestamp(
+        F.when(year_first, first).otherwise(year),
+        F.when(year_first, second).otherwise(first),
+        F.when(year_first, third).otherwise(second),
+        clock,
     )
 
 
-def parse_event_ts(c: Column) -> Column:
+def strict_event_ts(parts: Column, mark: Column, text: Column) -> Column:
     """``MM/dd/yyyy hh:mm:ss a`` only; one-digit parts are accepted, out-of-range parts are not."""
-    text = unquote(c)
-    parts = F.split(text, "[/: ]")
-    hour = _number(parts, 3)
-    parsed = F.try_make_timestamp_ntz(
-        _number(parts, 2), _number(parts, 0), _number(parts, 1),
-        _clock_hour(hour, text), _number(parts, 4), _number(parts, 5).cast("decimal(16,6)"),
-    )
-    return F.when(text.rlike(_STRICT_EVENT_TIME) & hour.between(1, 12), parsed)
+    month, day, year, hour, minute, second = (_part(parts, i) for i in range(6))
+    clock = F.concat_ws(":", _clock_hour(hour, mark), minute, second)
+    fits = text.rlike(_STRICT_EVENT_TIME) & hour.try_cast("int").between(1, 12)
+    return F.when(fits, _timestamp(year, month, day, clock))
+
+
+def parse_multi_ts(c: Column) -> Column:
+    """Date-time text in any of the known layouts (see ``multi_ts``)."""
+    return multi_ts(number_parts(c), half_day_mark(c))
+
+
+def parse_event_ts(c: Column) -> Column:
+    """Date-time text in the one strict layout (see ``strict_event_ts``)."""
+    return strict_event_ts(number_parts(c), half_day_mark(c), c)
+
+
+def with_timestamps(df: DataFrame, columns: dict[str, str], strict: bool) -> DataFrame:
+    """``df`` with the text columns (values) parsed into new columns (keys).
+
+    The number parts become columns of a projection of their own, so each text is cut up once; inside
+    one expression Spark would repeat the cut for every use under a condition.
+    """
+    cut = df.withColumns({
+        name: c
+        for out, text in columns.items()
+        for name, c in ((f"{out}:parts", number_parts(F.col(text))), (f"{out}:mark", half_day_mark(F.col(text))))
+    })
+    made = {}
+    for out, text in columns.items():
+        parts, mark = F.col(f"`{out}:parts`"), F.col(f"`{out}:mark`")
+        made[out] = strict_event_ts(parts, mark, F.col(text)) if strict else multi_ts(parts, mark)
+    return cut.withColumns(made).select(*df.columns, *columns)
 
 
 def parse_iso_text(c: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with or without a fraction; also accepts ``T`` between date and time."""
-    text = unquote(c)
-    full = text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$")
-    return F.when(full, text.try_cast("timestamp_ntz"))
+    full = c.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$")
+    return F.when(full, c.try_cast("timestamp_ntz"))

@@ -24,6 +24,11 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip_padding(c) == "", F.lit(True))
 
 
+def is_empty(c: Column) -> Column:
+    """Null or empty; for text that is already stripped."""
+    return F.coalesce(c == "", F.lit(True))
+
+
 def squeeze(c: Column) -> Column:
     """Trim and turn every run of white space into one space."""
     return F.regexp_replace(strip_padding(c), r"\s+", " ")

@@ -1,9 +1,13 @@
-"""Row predicates. Each returns a boolean column that is never null."""
+"""Row predicates. Each returns a boolean column that is never null.
+
+Text is expected without padding (the readers' column functions strip it). Each predicate evaluates its
+argument as few times as it can, since the argument is often a parsed expression.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,25 +31,22 @@ def is_null_text(c: Column) -> Column:
 
 def local_iso(c: Column) -> Column:
     """Local date-time of an ISO text with ``T``; the offset is read over. Null when it does not parse."""
-    text = c.cast("string")
-    local = F.regexp_replace(F.regexp_extract(text, _ISO_DATE_TIME, 1), r"(\.\d{6})\d+$", "$1")
-    return F.when(text.rlike(_ISO_DATE_TIME), local.try_cast("timestamp_ntz"))
+    return F.regexp_extract(c.cast("string"), _ISO_DATE_TIME, 1).try_cast("timestamp_ntz")
 
 
 def valid_datetime(c: Column) -> Column:
     """ISO date-time text whose year is accepted."""
-    return _sure(~is_null_text(c) & F.year(local_iso(c)).between(*S.VALID_YEARS))
+    first, last = S.VALID_YEARS
+    return _sure(F.year(local_iso(c)).isin(*range(first, last + 1)))
 
 
 def valid_number(c: Column, low: float | None = None, high: float | None = None) -> Column:
     """Parses as a number (not NaN) inside the inclusive bounds that are given."""
     value = c.cast("string").try_cast("double")
-    ok = ~is_null_text(c) & value.isNotNull() & ~F.isnan(value)
-    if low is not None:
-        ok = ok & (value >= low)
-    if high is not None:
-        ok = ok & (value <= high)
-    return _sure(ok)
+    # NaN is greater than every number, so an upper bound rejects it
+    bounds = [value >= low] if low is not None else []
+    bounds.append(value <= high if high is not None else ~F.isnan(value) & value.isNotNull())
+    return _sure(reduce(and_, bounds))
 
 
 def valid_whole_number(c: Column, low: float, high: float) -> Column:
@@ -93,8 +94,7 @@ def dropoff_after_pickup(pickup: Column, dropoff: Column) -> Column:
 
 def full_time_text(c: Column) -> Column:
     """Time text brought to 23 characters; null for any other length."""
-    text = strip_padding(c)
-    return F.when(F.length(text) == 19, F.concat(text, F.lit(".000"))).when(F.length(text) == 23, text)
+    return F.when(F.length(c) == 19, F.concat(c, F.lit(".000"))).when(F.length(c) == 23, c)
 
 
 def valid_time_text(c: Column) -> Column:
@@ -104,20 +104,20 @@ def valid_time_text(c: Column) -> Column:
 
 def finite_number(c: Column) -> Column:
     """The text as a finite double, otherwise null."""
-    value = strip_padding(c).try_cast("double")
+    value = c.try_cast("double")
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
 def valid_lat(c: Column) -> Column:
-    return _sure(finite_number(c).between(*S.LAT_RANGE))
+    return _sure(c.try_cast("double").between(*S.LAT_RANGE))
 
 
 def valid_lng(c: Column) -> Column:
-    return _sure(finite_number(c).between(*S.LNG_RANGE))
+    return _sure(c.try_cast("double").between(*S.LNG_RANGE))
 
 
 def valid_station_id(c: Column) -> Column:
-    return _sure(strip_padding(c).rlike(_STATION_ID))
+    return _sure(c.rlike(_STATION_ID))
 
 
 def is_missing(c: Column) -> Column:

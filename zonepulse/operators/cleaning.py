@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from zonepulse import schemas as S
 from zonepulse.functions import validators as V
-from zonepulse.functions.parsing import parse_event_ts, parse_multi_ts
+from zonepulse.functions.parsing import with_timestamps
 from zonepulse.functions.plan import evaluate_once
-from zonepulse.functions.text import is_blank, squeeze, strip_padding, unquote
+from zonepulse.functions.text import is_empty, squeeze, strip_padding, unquote
 from zonepulse.operators.enrich import lookup_location, match_zone_by_name
 
 REASON = "reject_reason"
@@ -101,11 +101,11 @@ def screen_bikes(lines: DataFrame) -> DataFrame:
                  V.valid_lng(c("start_lng")), V.valid_lng(c("end_lng"))]
     checks = [
         ("TOO_FEW_COLUMNS", c("n_fields") < len(S.BIKE_COLUMNS)),
-        ("MISSING_IDENTITY", reduce(or_, [is_blank(c(n)) for n in ("ride_id", "rideable_type", "member_casual")])),
+        ("MISSING_IDENTITY", reduce(or_, [is_empty(c(n)) for n in ("ride_id", "rideable_type", "member_casual")])),
         ("TIME_RANGE", ~(V.valid_time_text(c("started_at")) & V.valid_time_text(c("ended_at")))),
         ("TIME_ORDER", ~(c("ended_at") > c("started_at"))),
         ("COORDINATES", ~reduce(and_, points_ok)),
-        ("STATION_NAME", is_blank(c("start_station_name")) | is_blank(c("end_station_name"))),
+        ("STATION_NAME", is_empty(c("start_station_name")) | is_empty(c("end_station_name"))),
         ("STATION_ID", ~(V.valid_station_id(c("start_station_id")) & V.valid_station_id(c("end_station_id")))),
     ]
     return evaluate_once(rides.withColumn(REASON, _first_reason(checks)))
@@ -150,14 +150,14 @@ def screen_events_strict(lines: DataFrame) -> DataFrame:
         F.size("fields").alias("n_fields"),
         *[unquote(F.get("fields", F.lit(i))).alias(n) for n, i in S.EVENT_FIELDS.items()],
     )
-    raw = raw.withColumns({"start_ts": parse_event_ts(c("start_time")), "end_ts": parse_event_ts(c("end_time"))})
+    raw = with_timestamps(raw, {"start_ts": "start_time", "end_ts": "end_time"}, strict=True)
     required = ("event_id", "event_name", "start_time", "end_time")
     checks = [
         ("MALFORMED_ROW", c("n_fields") != S.EVENT_FIELD_COUNT),
-        ("MISSING_FIELD", reduce(or_, [is_blank(c(n)) for n in required])),
+        ("MISSING_FIELD", reduce(or_, [is_empty(c(n)) for n in required])),
         ("TIMESTAMP", c("start_ts").isNull() | c("end_ts").isNull()),
         ("TIME_ORDER", c("start_ts") > c("end_ts")),
-        ("MISSING_TYPE", is_blank(c("event_type"))),
+        ("MISSING_TYPE", is_empty(c("event_type"))),
     ]
     return evaluate_once(raw.withColumn(REASON, _first_reason(checks)))
 
@@ -180,11 +180,11 @@ def screen_events_multiformat(rows: DataFrame) -> DataFrame:
         "n_fields",
         *[F.coalesce(unquote(c(f"f{i}")), F.lit("")).alias(n) for n, i in S.EVENT_FIELDS.items()],
     )
-    raw = raw.withColumns({"start_ts": parse_multi_ts(c("start_time")), "end_ts": parse_multi_ts(c("end_time"))})
+    raw = with_timestamps(raw, {"start_ts": "start_time", "end_ts": "end_time"}, strict=False)
     required = ("event_id", "event_name", "start_time", "end_time")
     checks = [
         ("MALFORMED_ROW", c("n_fields") < 4),
-        ("MISSING_FIELD", reduce(or_, [is_blank(c(n)) for n in required])),
+        ("MISSING_FIELD", reduce(or_, [is_empty(c(n)) for n in required])),
         ("TIMESTAMP", c("start_ts").isNull() | c("end_ts").isNull()),
         ("TIME_ORDER", c("start_ts") > c("end_ts")),
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.functions.plan import spread
-from zonepulse.functions.timeparts import DAY_SECONDS, days, minutes, second_of_day
+from zonepulse.functions.timeparts import DAY_SECONDS, days, epoch_day, minutes, second_of_day
 from zonepulse.operators.windows import (
     SECOND_BUCKET,
     all_movements,
@@ -18,7 +18,7 @@ from zonepulse.operators.windows import (
     window_sums,
 )
 from zonepulse.schemas import CITIBIKE, SUBWAY, TAXI, Mode
-from zonepulse.sources.scratch import broadcast_if_small
+from zonepulse.sources.scratch import is_small, materialize
 
 WINDOW_MINUTES = 90
 EVENT_KEYS = ["event_id", "event_name", "event_type", "zone_id"]
@@ -86,11 +86,18 @@ def event_exclude_dates(events: DataFrame) -> DataFrame:
 # -- baseline by time of day
 
 
-def _eligible_trips(trips: DataFrame, mode: Mode, excluded: DataFrame) -> DataFrame:
-    """(zone, trip) pairs on dates without events: zone_id, baseline_date, in_t, out_t, w, in/out zone flags.
+def _zones_and_dates(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The event zones and their excluded dates, with broadcast hints when a count shows they are small."""
+    excluded = event_exclude_dates(events).filter(F.col("zone_id").isNotNull())
+    zones = events.select(F.col("start_location_id").alias("zone_id")).dropna().distinct()
+    return (F.broadcast(zones), F.broadcast(excluded)) if is_small(excluded) else (zones, excluded)
 
-    A trip belongs to its start and its end zone, once when they are the same. ``excluded`` is broadcast
-    when it is small, which keeps this in the scan stage.
+
+def _eligible_trips(trips: DataFrame, mode: Mode, zones_with_events: DataFrame, excluded: DataFrame) -> DataFrame:
+    """(zone, trip) pairs of the event zones on dates without events: zone_id, baseline_date, times, weight.
+
+    A trip belongs to its start and its end zone, once when they are the same. With broadcast inputs all
+    of this happens in the scan stage.
     """
     zones = F.array_distinct(F.array(F.col(mode.start_zone).cast("int"), F.col(mode.end_zone).cast("int")))
     pairs = trips.select(
@@ -98,7 +105,7 @@ def _eligible_trips(trips: DataFrame, mode: Mode, excluded: DataFrame) -> DataFr
         F.col(mode.end_time).alias("in_t"), F.col(mode.start_time).alias("out_t"),
         F.col(mode.weight).cast(mode.weight_type).alias("w"),
         F.col(mode.end_zone).alias("in_zone"), F.col(mode.start_zone).alias("out_zone"),
-    ).filter(F.col("zone_id").isNotNull())
+    ).join(zones_with_events, "zone_id", "left_semi")
     pairs = pairs.withColumns({"baseline_date": F.to_date("in_t"), "out_date": F.to_date("out_t")})
     by_arrival = excluded.withColumnRenamed("exclude_date", "baseline_date")
     pairs = pairs.join(by_arrival, ["zone_id", "baseline_date"], "left_anti")
@@ -108,12 +115,19 @@ def _eligible_trips(trips: DataFrame, mode: Mode, excluded: DataFrame) -> DataFr
     return pairs
 
 
-def _clock_ticks(pairs: DataFrame, directional: bool, *extra: Column | str) -> DataFrame:
-    """Arrivals and departures by second of the day. Undirected: every pair counts both ways."""
-    ways = ("in", "out")
-    sides = [[F.lit(d), second_of_day(F.col(f"{d}_t"))] for d in ways]
-    own = [F.col(f"{d}_zone") == F.col("zone_id") for d in ways] if directional else None
-    return pairs.select("zone_id", *extra, spread(["direction", "pos"], *sides, when=own))
+def _clock_ticks(pairs: DataFrame, directional: bool, *extra: Column | str, with_days: bool = False) -> DataFrame:
+    """Arrivals and departures by second of the day. Undirected: every pair counts both ways.
+
+    ``with_days`` adds one more row per pair, direction 'day', whose position is the baseline date.
+    """
+    ways = ["in", "out"]
+    rows = [[F.lit(d), second_of_day(F.col(f"{d}_t"))] for d in ways]
+    own = [F.col(f"{d}_zone") == F.col("zone_id") if directional else None for d in ways]
+    if with_days:
+        rows.append([F.lit("day"), epoch_day(F.col("baseline_date"))])
+        own.append(None)
+    kept = spread(["direction", "pos"], *rows, when=own if directional else None)
+    return pairs.select("zone_id", *extra, kept)
 
 
 def _clock_windows(events: DataFrame) -> DataFrame:
@@ -137,8 +151,7 @@ def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional:
     Dates are those of arrival on which some eligible trip touches the event's zone. The result has one
     row per event and day by nature; ``baseline_average`` gets to the averages without it.
     """
-    excluded = broadcast_if_small(event_exclude_dates(events))
-    pairs = _eligible_trips(trips, mode, excluded)
+    pairs = _eligible_trips(trips, mode, *_zones_and_dates(events))
     windows = _clock_windows(events)
     dates = pairs.select("zone_id", "baseline_date").distinct()
     dated = windows.select("zone_id", "direction", "lo", "hi").distinct().join(dates, "zone_id")
@@ -152,7 +165,7 @@ def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional:
     )
 
 
-def _days_per_event(events: DataFrame, pairs: DataFrame, names: list[str]) -> DataFrame:
+def _days_per_event(events: DataFrame, zone_dates: DataFrame, names: list[str]) -> DataFrame:
     """Number of distinct baseline dates per event and mode, over all zones of the event id.
 
     Events are reduced to their distinct zone sets first: nearly always single zones, so the date
@@ -160,12 +173,9 @@ def _days_per_event(events: DataFrame, pairs: DataFrame, names: list[str]) -> Da
     """
     sets = events.filter(F.col("start_location_id").isNotNull()).groupBy("event_id").agg(
         F.sort_array(F.collect_set("start_location_id")).alias("zone_set"))
-    zone_dates = pairs.groupBy("zone_id", "baseline_date").agg(
-        *[F.max(f"{n}_day").alias(f"{n}_day") for n in names])
     set_dates = sets.select("zone_set").distinct().withColumn("zone_id", F.explode("zone_set")).join(
-        zone_dates, "zone_id").groupBy("zone_set", "baseline_date").agg(
-        *[F.max(f"{n}_day").alias(f"{n}_day") for n in names])
-    per_set = set_dates.groupBy("zone_set").agg(*[F.count(f"{n}_day").alias(f"{n}_days") for n in names])
+        zone_dates, "zone_id").groupBy("zone_set", "pos").agg(*[F.max(f"{n}_seen").alias(f"{n}_seen") for n in names])
+    per_set = set_dates.groupBy("zone_set").agg(*[F.count_if(f"{n}_seen").alias(f"{n}_days") for n in names])
     return sets.join(per_set, "zone_set").drop("zone_set")
 
 
@@ -175,26 +185,30 @@ def baseline_average(
     """Mean of the daily baselines per event and mode, without building the daily rows.
 
     A mean of daily sums is the total over all eligible days divided by their number, so trips are
-    reduced to at most 86,400 positions per zone and direction before they meet the events. All modes
-    share one pass. A mode without an eligible day for the event gives null.
+    reduced to at most 86,400 positions and one row per date for each zone before they meet the events.
+    Each trip table is scanned once; that reduced table is what both the sums and the day counts read.
+    A mode without an eligible day for the event gives null.
     """
     names = [m.name for m in tables]
-    excluded = broadcast_if_small(event_exclude_dates(events))
+    inputs = _zones_and_dates(events)
     windows = _clock_windows(events)
-    ticks, day_marks = [], []
-    for mode, trips in tables.items():
-        pairs = _eligible_trips(trips, mode, excluded)
-        weights = weight_columns(mode, F.col("w"), names)
-        ticks.append(_clock_ticks(pairs, directional, *weights))
-        marks = [(F.lit(1) if n == mode.name else F.lit(None)).cast("int").alias(f"{n}_day") for n in names]
-        day_marks.append(pairs.select("zone_id", "baseline_date", *marks))
-    all_ticks = reduce(DataFrame.unionByName, ticks)
     keys = ["zone_id", "direction"]
-    sums = window_sums(all_ticks, windows, keys, names, SECOND_BUCKET, DAY_SECONDS)
+    ticks = []
+    for mode, trips in tables.items():
+        seen = [F.lit(True if n == mode.name else None).cast("boolean").alias(f"{n}_seen") for n in names]
+        extra = [*weight_columns(mode, F.col("w"), names), *seen]
+        ticks.append(_clock_ticks(_eligible_trips(trips, mode, *inputs), directional, *extra, with_days=True))
+    clock = materialize(
+        reduce(DataFrame.unionByName, ticks).groupBy(*keys, "pos").agg(
+            *[F.sum(n).alias(n) for n in names], *[F.max(f"{n}_seen").alias(f"{n}_seen") for n in names]),
+        "clock",
+    )
+    is_day = F.col("direction") == "day"
+    sums = window_sums(clock.filter(~is_day), windows, keys, names, SECOND_BUCKET, DAY_SECONDS)
     totals = windows.join(sums, [*keys, "lo", "hi"]).groupBy("event_id").agg(
         *[F.sum(F.when(F.col("direction") == d, F.col(n))).alias(f"{n}_{d}") for n in names for d in ("in", "out")]
     )
-    counts = _days_per_event(events, reduce(DataFrame.unionByName, day_marks), names)
+    counts = _days_per_event(events, clock.filter(is_day), names)
     mean = [
         F.try_divide(F.col(f"{n}_{d}").cast("double"), F.col(f"{n}_days")).alias(f"baseline_{n}_{name}")
         for n in names for d, name in (("in", "inbound"), ("out", "outbound"))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepulse import schemas as S
 from zonepulse.functions import validators as V
-from zonepulse.functions.parsing import parse_event_ts
+from zonepulse.functions.parsing import with_timestamps
 from zonepulse.functions.plan import spread
-from zonepulse.functions.text import is_blank, strip_padding
+from zonepulse.functions.text import is_empty, strip_padding
 from zonepulse.functions.timeparts import from_epoch_micros
 from zonepulse.operators.cleaning import bike_columns
 
@@ -54,12 +54,16 @@ def profile_trips(raw: DataFrame, kind: str) -> DataFrame:
     for short, name in (("PU_LOCATION", layout.pickup_zone), ("DO_LOCATION", layout.dropoff_zone)):
         states[short] = F.lit(False), F.coalesce(V.zone_ok(raw, name), F.lit(False))
 
+    # one state per check and row, so that each check is evaluated once for its three counters
+    outcome = [
+        F.when(missing, "NULL").when(valid, "VALID").otherwise("INVALID").alias(short)
+        for short, (missing, valid) in states.items()
+    ]
     counts = {TOTAL: F.count(F.lit(1))}
-    for short, (missing, valid) in states.items():
-        counts[f"NULL_{short}"] = F.count_if(missing)
-        counts[f"VALID_{short}"] = F.count_if(~missing & valid)
-        counts[f"INVALID_{short}"] = F.count_if(~missing & ~valid)
-    one_row = raw.agg(*[c.alias(n) for n, c in counts.items()])
+    for short in states:
+        for state in ("NULL", "VALID", "INVALID"):
+            counts[f"{state}_{short}"] = F.count_if(F.col(short) == state)
+    one_row = raw.select(*outcome).agg(*[c.alias(n) for n, c in counts.items()])
     return _unpivot_counts(one_row, list(counts)).filter(F.col("n") > 0)
 
 
@@ -72,7 +76,6 @@ def profile_report(profile: DataFrame) -> DataFrame:
     is_check = F.col("metric") != TOTAL
     n = F.col("n")
     summary = profile.agg(
-        F.sum(F.when(~is_check, n)).alias("total"),
         F.sum(F.when(is_check, n)).alias("checks"),
         F.sum(F.when(F.col("metric").startswith("VALID_"), n)).alias("good"),
         F.sum(F.when(is_check & F.col("metric").contains("VALID"), n)).alias("literal"),
@@ -84,12 +87,13 @@ def profile_report(profile: DataFrame) -> DataFrame:
             [F.lit("QUALITY_SCORE_LITERAL"), F.col("literal"), _percent(F.col("literal"), F.col("checks"))],
         )
     )
-    # the profile has one row per counter, so the one-row summary is the only other input
-    lines = profile.crossJoin(F.broadcast(summary)).select("metric", "n", _percent(n, F.col("total")).alias("pct"))
+    # a profile has one row per counter, about twenty in all
+    total = F.sum(F.when(~is_check, n)).over(Window.partitionBy())
+    lines = profile.select("metric", "n", _percent(n, total).alias("pct"))
     return lines.unionByName(scores).orderBy("metric")
 
 
-# -- bikes
+# -- bikes (text columns without padding, as ``bike_columns`` gives them)
 
 _ID_AND_NAME = ("ride_id", "start_station_name", "end_station_name")
 _CATEGORIES = ("rideable_type", "member_casual")
@@ -99,7 +103,7 @@ _COORDINATES = {"start_lat": S.LAT_RANGE, "start_lng": S.LNG_RANGE, "end_lat": S
 
 
 def _base(c: Column) -> dict[str, Column]:
-    return {"total": F.count(F.lit(1)), "missing": F.count_if(is_blank(c))}
+    return {"total": F.count(F.lit(1)), "missing": F.count_if(is_empty(c))}
 
 
 def id_or_name_measures(c: Column) -> dict[str, Column]:
@@ -109,21 +113,21 @@ def id_or_name_measures(c: Column) -> dict[str, Column]:
 
 def categorical_measures(c: Column) -> dict[str, Column]:
     """Counts for a category column; the values themselves come from ``category_counts``."""
-    return {**_base(c), "unique_values": F.count_distinct(F.when(~is_blank(c), strip_padding(c)))}
+    return {**_base(c), "unique_values": F.count_distinct(F.when(~is_empty(c), c))}
 
 
 def station_id_measures(c: Column) -> dict[str, Column]:
-    return {**_base(c), "invalid": F.count_if(~is_blank(c) & ~V.valid_station_id(c))}
+    return {**_base(c), "invalid": F.count_if(~is_empty(c) & ~V.valid_station_id(c))}
 
 
 def time_measures(c: Column) -> dict[str, Column]:
     """Counts and text bounds of a time column; only texts of an accepted length enter the bounds."""
     full = V.full_time_text(c)
-    usable = ~is_blank(c) & full.isNotNull()
+    usable = full.isNotNull()
     return {
         **_base(c),
-        "invalid": F.count_if(~is_blank(c) & full.isNull()),
-        "miss_precision": F.count_if(usable & (F.length(strip_padding(c)) == 19)),
+        "invalid": F.count_if(~is_empty(c) & full.isNull()),
+        "miss_precision": F.count_if(usable & (F.length(c) == 19)),
         "out_of_range": F.count_if(usable & ~full.between(S.BIKE_TIME_MIN, S.BIKE_TIME_MAX)),
         "min_time": F.min(F.when(usable, full)),
         "max_time": F.max(F.when(usable, full)),
@@ -134,7 +138,7 @@ def coordinate_measures(c: Column, bounds: tuple[float, float]) -> dict[str, Col
     value = V.finite_number(c)
     return {
         **_base(c),
-        "invalid": F.count_if(~is_blank(c) & value.isNull()),
+        "invalid": F.count_if(~is_empty(c) & value.isNull()),
         "out_of_range": F.count_if(value.isNotNull() & ~value.between(*bounds)),
     }
 
@@ -194,26 +198,24 @@ def category_counts(df: DataFrame, names: list[str]) -> DataFrame:
 
     A table rather than one map per column, so a dirty column with many values stays distributed.
     """
-    pairs = [[F.lit(n), strip_padding(F.col(n))] for n in names]
-    long = df.select(spread(["column_name", "value"], *pairs)).filter(~is_blank(F.col("value")))
+    pairs = [[F.lit(n), F.col(n)] for n in names]
+    long = df.select(spread(["column_name", "value"], *pairs)).filter(~is_empty(F.col("value")))
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_categorical(df: DataFrame, name: str) -> DataFrame:
-    """Total, missing and unique counts next to every value's count; one row with a null value if all are blank."""
-    counts = df.groupBy(F.when(~is_blank(F.col(name)), strip_padding(F.col(name))).alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
+    """Total, missing and unique counts next to the count of every value; blanks are the row of the null value."""
+    value = F.when(~is_empty(F.col(name)), F.col(name))
+    counts = df.groupBy(F.lit(name).alias("column_name"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     known = F.col("value").isNotNull()
-    summary = counts.agg(
+    summary = counts.groupBy("column_name").agg(
         F.sum("n").alias("total"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
         F.count_if(known).alias("unique_values"),
     )
-    rows = counts.filter(known)
-    joined = F.broadcast(summary).join(rows, F.lit(True), "left")
-    return joined.select(
-        F.lit(name).alias("column_name"), "total", "missing",
-        _percent(F.col("missing"), F.col("total")).alias("missing_pct"), "unique_values", "value", "n",
+    return counts.join(F.broadcast(summary), "column_name").select(
+        "column_name", "total", "missing", _percent(F.col("missing"), F.col("total")).alias("missing_pct"),
+        "unique_values", "value", "n",
     )
 
 
@@ -255,6 +257,10 @@ def _event_columns(lines: DataFrame) -> DataFrame:
     )
 
 
+def _with_event_times(rows: DataFrame) -> DataFrame:
+    return with_timestamps(rows, {"start_ts": "start_time", "end_ts": "end_time"}, strict=True)
+
+
 def profile_events(lines: DataFrame) -> DataFrame:
     """Counters as (metric, n); counters that stay 0 are absent."""
     ok = F.col("well_formed")
@@ -262,10 +268,10 @@ def profile_events(lines: DataFrame) -> DataFrame:
     for name in S.EVENT_FIELDS:
         counts[f"empty_{name}"] = F.count_if(ok & (F.col(name) == ""))
     for side in ("start", "end"):
-        c = F.col(f"{side}_time")
-        counts[f"invalid_timestamp_{side}"] = F.count_if(ok & (c != "") & parse_event_ts(c).isNull())
+        unparsed = (F.col(f"{side}_time") != "") & F.col(f"{side}_ts").isNull()
+        counts[f"invalid_timestamp_{side}"] = F.count_if(ok & unparsed)
     counts["location_mapping_missing"] = F.count_if(ok & (F.col("event_location") == ""))
-    one_row = _event_columns(lines).agg(*[c.alias(n) for n, c in counts.items()])
+    one_row = _with_event_times(_event_columns(lines)).agg(*[c.alias(n) for n, c in counts.items()])
     return _unpivot_counts(one_row, list(counts)).filter(F.col("n") > 0)
 
 
@@ -279,11 +285,10 @@ def event_value_counts(lines: DataFrame) -> DataFrame:
 
 def event_time_bounds(lines: DataFrame) -> DataFrame:
     """Earliest and latest start and end among the texts that parse, in one row."""
-    rows = _event_columns(lines).filter("well_formed")
-    start, end = parse_event_ts(F.col("start_time")), parse_event_ts(F.col("end_time"))
+    rows = _with_event_times(_event_columns(lines).filter("well_formed"))
     return rows.agg(
-        F.min(start).alias("min_start_time"), F.max(start).alias("max_start_time"),
-        F.min(end).alias("min_end_time"), F.max(end).alias("max_end_time"),
+        F.min("start_ts").alias("min_start_time"), F.max("start_ts").alias("max_start_time"),
+        F.min("end_ts").alias("min_end_time"), F.max("end_ts").alias("max_end_time"),
     )
 
 

@@ -18,7 +18,7 @@ from zonepulse.functions.plan import spread
 from zonepulse.functions.timeparts import epoch_micro, epoch_second, from_epoch_micros
 from zonepulse.schemas import MODES, Mode
 
-SECOND_BUCKET = 3_600
+SECOND_BUCKET = 21_600
 MICRO = 1_000_000
 
 

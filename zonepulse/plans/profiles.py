@@ -132,7 +132,7 @@ def _rides(v: Views) -> DataFrame:
 @query("p06_profile_categorical", f"""
 WITH r AS {_RIDES},
      s AS ({_head('rideable_type')}, count(DISTINCT nullif(rideable_type, '')) AS unique_values FROM r),
-     c AS (SELECT rideable_type AS value, count(*) AS n FROM r WHERE rideable_type <> '' GROUP BY 1)
+     c AS (SELECT nullif(rideable_type, '') AS value, count(*) AS n FROM r GROUP BY 1)
 SELECT column_name, total, missing, missing_pct, unique_values, value, n FROM s, c""")
 def p06(v: Views) -> DataFrame:
     return P.profile_categorical(_rides(v), "rideable_type")

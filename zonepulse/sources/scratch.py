@@ -29,10 +29,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """A count shows at most ``max_rows`` rows. One small job on a side that might be broadcast."""
+    return df.count() <= max_rows
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the scratch folder, for a small result of a large scan that is used twice.
+
+    The table also cuts the lineage, so a lost executor does not cause the large scan again. On a
+    cluster that names no scratch folder the frame is returned as it is and computed per use.
+    """
+    spark = df.sparkSession
+    try:
+        path = scratch_path(spark, name)
+    except RuntimeError:
+        return df
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when a count shows it is small.
 
     Above the limit the frame is returned as it is, and Spark joins it with a shuffle (AQE splits the
-    partitions of hot keys). The count is one small job on the side that might be broadcast.
+    partitions of hot keys).
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
