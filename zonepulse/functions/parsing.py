@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonepulse.functions.plan import evaluate_once
+
 _STRICT_EVENT_TIME = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$"
 
 
@@ -29,13 +31,18 @@ def _clock_hour(text: Column, mark: Column) -> Column:
     return F.when((mark != "") & hour.between(1, 12), shifted).otherwise(text)
 
 
-def _timestamp(year: Column, month: Column, day: Column, clock: Column) -> Column:
-    """Zone-less timestamp from the texts of its parts, null for impossible parts.
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """Date text, null when a part is missing."""
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day)
+
+
+def _timestamp(date: Column, clock: Column) -> Column:
+    """Zone-less timestamp from date and clock text, null for impossible parts.
 
     Casting text reports bad parts as null; building from numbers would throw and catch an exception
     for each bad row.
     """
-    return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock).try_cast("timestamp_ntz")
+    return F.concat(date, F.lit(" "), clock).try_cast("timestamp_ntz")
 
 
 def multi_ts(parts: Column, mark: Column) -> Column:
@@ -55,12 +62,7 @@ def multi_ts(parts: Column, mark: Column) -> Column:
     clock = F.when(
         has_clock, F.concat_ws(":", _clock_hour(_part(parts, 3), mark), _part(parts, 4), second_text)
     ).otherwise("0:0:0")
-    return _timestamp(
-        F.when(year_first, first).otherwise(year),
-        F.when(year_first, second).otherwise(first),
-        F.when(year_first, third).otherwise(second),
-        clock,
-    )
+    return _timestamp(F.when(year_first, _date(first, second, third)).otherwise(_date(year, first, second)), clock)
 
 
 def strict_event_ts(parts: Column, mark: Column, text: Column) -> Column:
@@ -68,7 +70,7 @@ def strict_event_ts(parts: Column, mark: Column, text: Column) -> Column:
     month, day, year, hour, minute, second = (_part(parts, i) for i in range(6))
     clock = F.concat_ws(":", _clock_hour(hour, mark), minute, second)
     fits = text.rlike(_STRICT_EVENT_TIME) & hour.try_cast("int").between(1, 12)
-    return F.when(fits, _timestamp(year, month, day, clock))
+    return F.when(fits, _timestamp(_date(year, month, day), clock))
 
 
 def parse_multi_ts(c: Column) -> Column:
@@ -85,18 +87,16 @@ def with_timestamps(df: DataFrame, columns: dict[str, str], strict: bool) -> Dat
     """``df`` with the text columns (values) parsed into new columns (keys).
 
     The number parts become columns of a projection of their own, so each text is cut up once; inside
-    one expression Spark would repeat the cut for every use under a condition.
+    one expression Spark would repeat the cut for every use under a condition. One column is done at a
+    time, which keeps the generated methods short enough for the JVM to compile.
     """
-    cut = df.withColumns({
-        name: c
-        for out, text in columns.items()
-        for name, c in ((f"{out}:parts", number_parts(F.col(text))), (f"{out}:mark", half_day_mark(F.col(text))))
-    })
-    made = {}
     for out, text in columns.items():
+        cut = df.select(
+            "*", number_parts(F.col(text)).alias(f"{out}:parts"), half_day_mark(F.col(text)).alias(f"{out}:mark"))
         parts, mark = F.col(f"`{out}:parts`"), F.col(f"`{out}:mark`")
-        made[out] = strict_event_ts(parts, mark, F.col(text)) if strict else multi_ts(parts, mark)
-    return cut.withColumns(made).select(*df.columns, *columns)
+        made = strict_event_ts(parts, mark, F.col(text)) if strict else multi_ts(parts, mark)
+        df = evaluate_once(cut.select(*df.columns, made.alias(out)))
+    return df
 
 
 def parse_iso_text(c: Column) -> Column:
