@@ -1,4 +1,4 @@
-"""Times the headline queries: one warm-up on the smallest data, then one timed run each.
+"""Times the headline queries: one warm-up on smaller data, then one timed run each.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8). Prints one JSON line.
 """
@@ -55,7 +55,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = session(cpus)
-    small = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    small = os.path.join(os.path.dirname(sf_dir), "sf0.01")
     for name in names:
         run(spark, name, small if os.path.isdir(small) else sf_dir)
     times = {name: run(spark, name, sf_dir) for name in names}

@@ -267,7 +267,10 @@ def sample_midweek_events(
     events: DataFrame, subway: DataFrame, n: int = 12, seed: int | None = None, salt: str | None = None,
     year: int = 2024, max_hours: int = 5,
 ) -> DataFrame:
-    """``n`` of the mid-week events at random. With ``salt`` the pick is the same on every run and engine."""
+    """``n`` of the mid-week events at random. With ``salt`` the pick is the same on every run and engine.
+
+    Without ``salt`` save the sample before using it twice, since each use may draw again.
+    """
     pool = events_on_mid_dates(events, subway, year, max_hours)
     if salt is None:
         return pool.orderBy(F.rand(seed)).limit(n)

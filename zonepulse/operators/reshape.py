@@ -46,7 +46,12 @@ def type_and_partition_trips(trips: DataFrame) -> DataFrame:
         _as_time(trips, "dropoff_ts").alias("dropoff_ts"),
         *[F.col(n).try_cast(k).alias(n) for n, k in S.TRIP_COLUMNS.items() if not n.endswith("_ts")],
     )
-    dated = typed.withColumns({"year": F.year("pickup_ts"), "month": F.month("pickup_ts")})
+    # the same period as a plain time range, which typed sources can push into the scan
+    first, last = min(S.CURATED_PERIOD), max(S.CURATED_PERIOD)
+    begin = F.lit(f"{first}-{S.CURATED_PERIOD[first][0]:02d}-01 00:00:00").cast("timestamp_ntz")
+    end = F.lit(f"{last + 1}-01-01 00:00:00").cast("timestamp_ntz")
+    in_span = typed.filter((F.col("pickup_ts") >= begin) & (F.col("pickup_ts") < end))
+    dated = in_span.withColumns({"year": F.year("pickup_ts"), "month": F.month("pickup_ts")})
     return dated.filter(in_curated_period(F.col("year"), F.col("month")))
 
 

@@ -22,6 +22,8 @@ def select_typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         if name not in present:
             return F.lit(None).cast(kind).alias(name)
         c = F.col(name)
+        if present[name].simpleString() == kind:
+            return c  # without a cast, later filters can reach the scan
         if isinstance(present[name], (T.FloatType, T.DoubleType)) and kind in ("int", "bigint"):
             # a whole number stored as floating point is still that number
             return F.when(c == F.floor(c), c).try_cast(kind).alias(name)

@@ -11,25 +11,33 @@ PARTITION = ("year", "month")
 _CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def _laid_out(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def _laid_out(df: DataFrame, by: Sequence[str], clustered: bool) -> DataFrame:
     """Rows of one partition brought together before a partitioned write.
 
     REBALANCE lets AQE cut a large year/month into many advisory-size tasks and join small ones, so
-    neither does one task write a whole month nor does every task write one file per month.
+    neither does one task write a whole month nor does every task write one file per month. Input that
+    is ``clustered`` already (monthly source files) needs no shuffle and is written as it comes.
     """
-    return df.hint("rebalance", *by)
+    return df if clustered else df.hint("rebalance", *by)
 
 
-def write_curated(df: DataFrame, path: str, by: Sequence[str] = PARTITION, fmt: str = "orc") -> None:
+def write_curated(
+    df: DataFrame, path: str, by: Sequence[str] = PARTITION, fmt: str = "orc", clustered: bool = False
+) -> None:
     """Partitioned columnar write that replaces what was there."""
-    _laid_out(df, by).write.partitionBy(*by).mode("overwrite").format(fmt).save(path)
+    _laid_out(df, by, clustered).write.partitionBy(*by).mode("overwrite").format(fmt).save(path)
 
 
 def insert_curated(
-    df: DataFrame, path: str, overwrite: bool = False, by: Sequence[str] = PARTITION, fmt: str = "orc"
+    df: DataFrame,
+    path: str,
+    overwrite: bool = False,
+    by: Sequence[str] = PARTITION,
+    fmt: str = "orc",
+    clustered: bool = False,
 ) -> None:
     """Insert into a partitioned table. ``overwrite`` replaces only the partitions present in ``df``."""
-    writer = _laid_out(df, by).write.partitionBy(*by).format(fmt)
+    writer = _laid_out(df, by, clustered).write.partitionBy(*by).format(fmt)
     if overwrite:
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path)
     else:
