@@ -204,19 +204,29 @@ def category_counts(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def profile_categorical(df: DataFrame, name: str) -> DataFrame:
-    """Total, missing and unique counts next to the count of every value; blanks are the row of the null value."""
+    """Rows (column_name, measure, value, n, pct): total, missing, unique_values, and one row per value.
+
+    The value counts stay rows of a table, so a dirty column with many values is no problem; only the
+    three totals are reduced to one row.
+    """
     value = F.when(~is_empty(F.col(name)), F.col(name))
-    counts = df.groupBy(F.lit(name).alias("column_name"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     known = F.col("value").isNotNull()
-    summary = counts.groupBy("column_name").agg(
-        F.sum("n").alias("total"),
+    summary = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
         F.count_if(known).alias("unique_values"),
     )
-    return counts.join(F.broadcast(summary), "column_name").select(
-        "column_name", "total", "missing", _percent(F.col("missing"), F.col("total")).alias("missing_pct"),
-        "unique_values", "value", "n",
-    )
+    no_share = F.lit(None).cast("double")
+    measures = summary.select(spread(
+        ["measure", "n", "pct"],
+        [F.lit("total"), F.col("total"), no_share],
+        [F.lit("missing"), F.col("missing"), _percent(F.col("missing"), F.col("total"))],
+        [F.lit("unique_values"), F.col("unique_values"), no_share],
+    ))
+    values = counts.filter(known).select(F.lit("value").alias("measure"), "value", "n")
+    every = measures.unionByName(values, allowMissingColumns=True)
+    return every.select(F.lit(name).alias("column_name"), "measure", "value", "n", "pct")
 
 
 def profile_bikes(lines: DataFrame) -> DataFrame:

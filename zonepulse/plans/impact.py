@@ -120,11 +120,11 @@ def _baseline(v: Views, directional: bool = False) -> DataFrame:
     return E.baseline_average(v["permits"], dict(zip(_MODES, _tables(v), strict=True)), directional)
 
 
-query("e07_baseline_average", f"SELECT event_id, {sql_rounded(_BASELINES, 3)} FROM ({_average_sql()}) b")(
-    lambda v: rounded(_baseline(v), 3))
+query("e07_baseline_average", f"SELECT event_id, {sql_rounded(_BASELINES, 6)} FROM ({_average_sql()}) b")(
+    lambda v: rounded(_baseline(v), 6))
 query("e07_baseline_average_directional",
-      f"SELECT event_id, {sql_rounded(_BASELINES, 3)} FROM ({_average_sql(True)}) b")(
-    lambda v: rounded(_baseline(v, directional=True), 3))
+      f"SELECT event_id, {sql_rounded(_BASELINES, 6)} FROM ({_average_sql(True)}) b")(
+    lambda v: rounded(_baseline(v, directional=True), 6))
 
 
 def _ratio(m: Mode, side: str, when: str) -> str:
@@ -138,11 +138,11 @@ _RATIOS = ", ".join(_ratio(m, s, w) for m in _MODES for s, w in (("inbound", "pr
 @query("e08_event_impact", f"""
 SELECT a.* REPLACE (round(subway_inbound_pre, 4) AS subway_inbound_pre,
                     round(subway_outbound_post, 4) AS subway_outbound_post),
-       {sql_rounded(_BASELINES, 3)}, {_RATIOS}
+       {sql_rounded(_BASELINES, 6)}, {_RATIOS}
 FROM ({ACTUAL}) a LEFT JOIN ({_average_sql()}) b USING (event_id)""")
 def e08(v: Views) -> DataFrame:
     impact = E.event_impact(v["permits"], *_tables(v), whole_seconds=True)
-    return rounded(rounded(impact, 3, _BASELINES), 4, ["subway_inbound_pre", "subway_outbound_post"])
+    return rounded(rounded(impact, 6, _BASELINES), 4, ["subway_inbound_pre", "subway_outbound_post"])
 
 
 MID_WEEK = """

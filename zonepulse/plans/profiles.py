@@ -131,9 +131,12 @@ def _rides(v: Views) -> DataFrame:
 
 @query("p06_profile_categorical", f"""
 WITH r AS {_RIDES},
-     s AS ({_head('rideable_type')}, count(DISTINCT nullif(rideable_type, '')) AS unique_values FROM r),
-     c AS (SELECT nullif(rideable_type, '') AS value, count(*) AS n FROM r GROUP BY 1)
-SELECT column_name, total, missing, missing_pct, unique_values, value, n FROM s, c""")
+     s AS ({_head('rideable_type')}, count(DISTINCT nullif(rideable_type, '')) AS unique_values FROM r)
+SELECT 'rideable_type' AS column_name, * FROM (
+  SELECT 'total' AS measure, CAST(NULL AS VARCHAR) AS value, total AS n, CAST(NULL AS DOUBLE) AS pct FROM s
+  UNION ALL SELECT 'missing', NULL, missing, missing_pct FROM s
+  UNION ALL SELECT 'unique_values', NULL, unique_values, NULL FROM s
+  UNION ALL SELECT 'value', rideable_type, count(*), NULL FROM r WHERE rideable_type <> '' GROUP BY 2) u""")
 def p06(v: Views) -> DataFrame:
     return P.profile_categorical(_rides(v), "rideable_type")
 
