@@ -193,7 +193,10 @@ def screen_events_multiformat(rows: DataFrame) -> DataFrame:
 
 def clean_events_multiformat(rows: DataFrame, zones: DataFrame) -> DataFrame:
     events = _kept(screen_events_multiformat(rows))
-    matched = match_zone_by_name(events, zones, "event_location")
+    # the locations of all rows, kept or not, so that matching does not need the time parsing
+    place = F.col(f"f{S.EVENT_FIELDS['event_location']}")
+    places = rows.select(unquote(place).alias("event_location"))
+    matched = match_zone_by_name(events, zones, "event_location", places=places)
     return matched.select(
         "event_id", squeeze(F.col("event_name")).alias("event_name"), "start_ts", "end_ts", "event_type",
         F.col("location_id").alias("start_location_id"), F.col("location_id").alias("end_location_id"),

@@ -43,15 +43,20 @@ def _head(text: Column) -> Column:
     return F.substring(text, 1, _GRAM)
 
 
-def match_zone_by_name(events: DataFrame, zones: DataFrame, on: str, default: int = -1) -> DataFrame:
+def match_zone_by_name(
+    events: DataFrame, zones: DataFrame, on: str, default: int = -1, places: DataFrame | None = None
+) -> DataFrame:
     """Zone whose standardised name contains, or is contained in, the standardised location.
 
     The longest overlap wins, then the smallest id; no match or no location gives ``default``.
     A text that contains another contains its first characters, so candidate pairs come from an
     equality join on short pieces and only those are compared. Each distinct location is matched once.
+    ``places`` may give the locations (column ``on``) from a cheaper source than ``events``; it must hold
+    at least those of ``events``.
     """
     keyed = events.withColumn("_std", standardize_name(F.col(on)))
-    names = keyed.filter(F.col("_std") != "").select("_std").distinct()
+    known_places = (events if places is None else places).select(standardize_name(F.col(on)).alias("_std"))
+    names = known_places.filter(F.col("_std") != "").distinct()
     known = zones.filter(F.col("zone_name") != "").select("zone_name", "location_id")
 
     zone_in_location = names.withColumn("_key", F.explode(_grams(F.col("_std")))).join(

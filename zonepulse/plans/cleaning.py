@@ -162,7 +162,7 @@ def c04(v: Views) -> DataFrame:
 
 @query("c05_clean_subway", CLEAN_SUBWAY)
 def c05(v: Views) -> DataFrame:
-    return C.clean_subway(parsed_subway(v), ordered=True)
+    return C.clean_subway(parsed_subway(v))
 
 
 SQL_STRICT_TIME = "try_strptime({0}, '%m/%d/%Y %I:%M:%S %p')"
