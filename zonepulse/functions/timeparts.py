@@ -39,5 +39,9 @@ def minutes(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' MINUTE")
 
 
+def hours(n: int) -> Column:
+    return F.expr(f"INTERVAL '{n}' HOUR")
+
+
 def days(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' DAY")

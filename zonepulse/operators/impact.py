@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.functions.plan import spread
-from zonepulse.functions.timeparts import DAY_SECONDS, days, epoch_day, minutes, second_of_day
+from zonepulse.functions.timeparts import DAY_SECONDS, days, epoch_day, hours, minutes, second_of_day
 from zonepulse.operators.windows import (
     SECOND_BUCKET,
     all_movements,
@@ -257,7 +257,7 @@ def events_on_mid_dates(events: DataFrame, subway: DataFrame, year: int = 2024,
     mid = mid_sample_dates(subway, year)  # at most twelve rows
     start = F.col("start_time")
     dated = events.filter((start >= _year_start(year)) & (start < _year_start(year + 1))).filter(
-        F.expr("timestampdiff(HOUR, start_time, end_time)") <= max_hours)
+        F.col("end_time") < start + hours(max_hours + 1))
     return dated.withColumn("mid_sample_date", F.to_date(start)).join(
         F.broadcast(mid), "mid_sample_date", "left_semi"
     ).select("event_id", "event_name", "event_type", "start_location_id", "end_location_id", "start_time", "end_time")
