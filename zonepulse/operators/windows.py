@@ -126,16 +126,17 @@ def timeline_sums(
     """
     keys, weights = ["direction", "zone_id"], list(weights)
     spans = windows.select(*keys, "t_lo", "t_hi").dropna().distinct()
-    lo_us, hi_us = epoch_micro(F.col("t_lo")), epoch_micro(F.col("t_hi"))
     lo_s, hi_s = epoch_second(F.col("t_lo")), epoch_second(F.col("t_hi"))
-    lo_up = lo_s + F.when(lo_us > lo_s * MICRO, 1).otherwise(0)
-
-    whole = spans.withColumns({"lo": lo_up, "hi": hi_s})
     by_second = moves.select(*keys, epoch_second(F.col("t")).alias("pos"), *weights)
-    second_sums = window_sums(by_second, whole, keys, weights, SECOND_BUCKET)
     if whole_seconds:
+        second_sums = window_sums(by_second, spans.withColumns({"lo": lo_s, "hi": hi_s}), keys, weights, SECOND_BUCKET)
         times = [from_epoch_micros(F.col(c) * MICRO).alias(f"t_{c}") for c in ("lo", "hi")]
         return second_sums.select(*keys, *times, *weights)
+
+    lo_us, hi_us = epoch_micro(F.col("t_lo")), epoch_micro(F.col("t_hi"))
+    lo_up = lo_s + F.when(lo_us > lo_s * MICRO, 1).otherwise(0)
+    whole = spans.withColumns({"lo": lo_up, "hi": hi_s})
+    second_sums = window_sums(by_second, whole, keys, weights, SECOND_BUCKET)
     sums = whole.join(second_sums, [*keys, "lo", "hi"]).select(*keys, "t_lo", "t_hi", *weights)
 
     first_end = F.least(lo_up * MICRO, hi_us)
