@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,8 +113,3 @@ def zone_traffic_daily(taxi: DataFrame, subway: DataFrame, citibike: DataFrame)
         *[f"{m.name}_daily_passengers" for m in tables],
         "total_daily_passengers", *shares,
     )
-
-
-def traffic_of(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``zone_traffic_daily`` from a mapping with the keys taxi, subway and citibike."""
-    return zone_traffic_daily(tables["taxi"], tables["subway"], tables["citibike"])

@@ -197,12 +197,11 @@ def c06(v: Views) -> DataFrame:
 # Best zone of every distinct location, by comparing all pairs.
 MATCHED_ZONES = f"""
 SELECT std, -low AS location_id FROM (
-  SELECT std, max((least(length(std), length(zone_name)), -location_id)) AS best, best[2] AS low
+  SELECT std, max([least(length(std), length(zone_name)), -location_id])[2] AS low
   FROM (SELECT DISTINCT {STANDARD_NAME.format('location_text')} AS std FROM raw_events) n,
        ({LOADED_ZONES}) z
   WHERE std <> '' AND zone_name <> '' AND (contains(std, zone_name) OR contains(zone_name, std))
-  GROUP BY std) m""".replace("max((least(length(std), length(zone_name)), -location_id)) AS best, best[2] AS low",
-                              "max([least(length(std), length(zone_name)), -location_id])[2] AS low")
+  GROUP BY std) m"""
 
 
 @query("c07_clean_events_multiformat", f"""
@@ -303,9 +302,6 @@ def x06(v: Views) -> DataFrame:
     return X.type_and_partition_events(text)
 
 
-BIKE_TIMES = "CASE WHEN length({0}) IN (19, 23) THEN try_cast({0} AS TIMESTAMP) END"
-
-
 @query("x07_type_and_partition_bikes", f"""
 SELECT ride_id, trim(rideable_type) AS rideable_type, CAST(started_at AS TIMESTAMP) AS started_at,
        CAST(ended_at AS TIMESTAMP) AS ended_at, start_station_name, start_station_id, end_station_name, end_station_id,

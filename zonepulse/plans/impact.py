@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from zonepulse.operators import impact as E
 from zonepulse.plans.registry import query, rounded, sql_rounded
