@@ -2,31 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+WAREHOUSE_CONF = "spark.sql.warehouse.dir"
 BROADCAST_ROWS = 500_000
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named in ``spark.checkpoint.dir``, else one in the warehouse; executors share both."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="zonepulse-")
-    spark.conf.set(CHECKPOINT_CONF, made)
-    return made
+    return named.rstrip("/") if named else f"{spark.conf.get(WAREHOUSE_CONF).rstrip('/')}/zonepulse_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the scratch root; never reused, so no run can see another run's files."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the scratch root; never reused, so no run can see another run's files.
+
+    It lies in a folder of the application, which is removed when the driver ends.
+    """
+    own = f"{scratch_root(spark)}/zonepulse-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -35,18 +37,13 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the scratch folder, for a small result of a large scan that is used twice.
+    """``df`` as a table in the scratch folder, for a result of a large scan that is used twice.
 
-    The table also cuts the lineage, so a lost executor does not cause the large scan again. On a
-    cluster that names no scratch folder the frame is returned as it is and computed per use.
+    The table also cuts the lineage, so a lost executor does not cause the large scan again.
     """
-    spark = df.sparkSession
-    try:
-        path = scratch_path(spark, name)
-    except RuntimeError:
-        return df
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
