@@ -24,20 +24,20 @@ from zonepulse.functions.plan import evaluate_once
 from zonepulse.llm.common import named, salted_join, words
 from zonepulse.sources.scratch import materialize
 
-#: Shares with a fence, in thousandths of the named whole.
-MEASURES = ("word_length", "symbols", "upper", "marks", "dup_lines", "repeat_words")
+#: Shares with a fence, in thousandths of the named whole, and the least range that counts as their spread
+#: (also in thousandths of the median). Repeated lines and words are common in clean documents, hence wider.
+MEASURES = {"word_length": 25, "symbols": 25, "upper": 25, "marks": 25, "dup_lines": 100, "repeat_words": 100}
 _EXACT = 64  # values below are their own bucket; above, five bits after the leading one are kept
 
 
 @dataclass(frozen=True)
 class Rules:
-    """``reach``: interquartile ranges above the third quartile; ``floor``: least range, in thousandths of
-    the whole or of the median; ``min_docs``: documents that a group needs to have thresholds of its own."""
+    """``reach``: interquartile ranges above the third quartile; ``min_docs``: documents that a group needs to
+    have thresholds of its own."""
 
     min_words: int = 50
     max_repeat_share: int = 50
     reach: int = 4
-    floor: int = 25
     min_docs: int = 200
 
 
@@ -125,7 +125,7 @@ def merge(*sketches: DataFrame) -> DataFrame:
 
 
 def _fences(sketches: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Upper fences of every group of ``keys``, one column per measure, and the group's size."""
+    """Upper fence of every group of ``keys`` and measure, and the group's size."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*keys, "measure")
     ranked = merged.select(*keys, "measure", "bucket", F.sum("n").over(w).alias("total"), F.sum("n").over(w.orderBy("bucket")).alias("upto"))
@@ -134,26 +134,22 @@ def _fences(sketches: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
         return F.min(F.when(F.col("upto") * 4 >= F.col("total") * part, F.col("bucket")))
 
     q = ranked.groupBy(*keys, "measure").agg(quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"), F.max("total").alias("total"))
-    spread = F.expr(f"greatest(q3 - q1, {rules.floor}L, (q2 * {rules.floor}) DIV 1000)")
-    fence = F.col("q3") + spread * rules.reach
-    return q.groupBy(*keys).agg(F.max("total").alias("total"), *[F.max(F.when(F.col("measure") == i, fence)).alias(m) for i, m in enumerate(MEASURES)])
+    floor = F.get(F.array(*[F.lit(n) for n in MEASURES.values()]), F.col("measure")).cast("long")
+    spread = F.greatest(F.expr("q3 - q1"), floor, F.floor(F.col("q2") * floor / 1000))
+    return q.select(*keys, "measure", "total", (F.col("q3") + spread * rules.reach).cast("long").alias("fence"))
 
 
 def thresholds(sketches: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Fences for every (lang, source) of the sketches: its own, its language's or the corpus's."""
-    def renamed(df: DataFrame, prefix: str, keys: list[str]) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"{prefix}_{k}") for k in keys], *[F.col(c).alias(f"{prefix}_{c}") for c in ("total", *MEASURES)])
-
     own = _fences(sketches, ["lang", "source"], rules)
-    by_lang = renamed(_fences(sketches, ["lang"], rules), "l", ["lang"])
-    overall = renamed(_fences(sketches.withColumn("one", F.lit(1)), ["one"], rules), "a", ["one"])
-    joined = own.join(by_lang, own["lang"].eqNullSafe(by_lang["l_lang"]), "left").withColumn("one", F.lit(1))
-    joined = joined.join(overall, F.col("one") == F.col("a_one"), "left")
-
-    def chosen(m: str) -> Column:
-        return F.when(F.col("total") >= rules.min_docs, F.col(m)).when(F.col("l_total") >= rules.min_docs, F.col(f"l_{m}")).otherwise(F.col(f"a_{m}"))
-
-    return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *[chosen(m).alias(f"t_{m}") for m in MEASURES])
+    by_lang = _fences(sketches, ["lang"], rules).toDF("l_lang", "l_measure", "l_total", "l_fence")
+    overall = _fences(sketches, [], rules).toDF("a_measure", "a_total", "a_fence")
+    joined = own.join(by_lang, own["lang"].eqNullSafe(by_lang["l_lang"]) & (own["measure"] == by_lang["l_measure"]), "left")
+    joined = joined.join(overall, joined["measure"] == overall["a_measure"], "left")
+    fence = F.when(F.col("total") >= rules.min_docs, F.col("fence")).when(F.col("l_total") >= rules.min_docs, F.col("l_fence")).otherwise(F.col("a_fence"))
+    return joined.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(
+        *[F.max(F.when(F.col("measure") == i, fence)).alias(f"t_{m}") for i, m in enumerate(MEASURES)],
+    )
 
 
 def _with_ids(docs: DataFrame) -> DataFrame:
@@ -212,12 +208,13 @@ def oracle_sql(rules: Rules = Rules()) -> str:
 
     def level(name: str, keys: str) -> str:
         part = f"{keys}, m" if keys else "m"
+        floor = f"CASE m {' '.join(f"WHEN '{m}' THEN {n}" for m, n in MEASURES.items())} END"
         return f"""
     {name}_c AS (SELECT {part}, b, count(*) AS n FROM buckets GROUP BY ALL),
     {name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {part}) AS total, sum(n) OVER (PARTITION BY {part} ORDER BY b) AS upto FROM {name}_c),
     {name}_q AS (SELECT {part}, max(total) AS total, min(b) FILTER (upto * 4 >= total) AS q1, min(b) FILTER (upto * 4 >= total * 2) AS q2,
                  min(b) FILTER (upto * 4 >= total * 3) AS q3 FROM {name}_r GROUP BY {part}),
-    {name} AS (SELECT {part}, total, q3 + {rules.reach} * greatest(q3 - q1, {rules.floor}, (q2 * {rules.floor}) // 1000) AS fence FROM {name}_q)"""
+    {name} AS (SELECT {part}, total, q3 + {rules.reach} * greatest(q3 - q1, {floor}, (q2 * {floor}) // 1000) AS fence FROM {name}_q)"""
 
     gap = r"[\x20\x09-\x0D]+"
     return f"""

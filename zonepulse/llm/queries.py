@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonepulse.llm import quality_rules
+from zonepulse.llm import bpe_transducer, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text through the transducer and back."""
+    return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op10_bpe_transducer": op10_bpe_transducer,
 }
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
