@@ -148,8 +148,10 @@ class Encoder(ChunkEncoder):
         return self.machine.encode(piece.encode())
 
 
-#: One per worker process: the next task goes on with the machine that the last one has built.
-encoder_of = lru_cache(2)(Encoder)
+@lru_cache(2)
+def encoder_of(path: str) -> Encoder:
+    """One per worker process: the next task goes on with the machine that the last one has built."""
+    return Encoder(path)
 
 
 class Utf8Machine:

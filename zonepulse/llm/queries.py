@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, quality_rules
+from zonepulse.llm import bpe_transducer, orc_tokens, packing, quality_rules
+from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    packed = packing.pack(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents through ORC files."""
+    path = scratch_path(spark, "orc-tokens")
+    orc_tokens.write(table(spark, sf_dir, "documents"), path)
+    return orc_tokens.digests(spark, path)
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text through the transducer and back."""
     return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
@@ -27,6 +42,8 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
+    "op6_orc_tokens": op6_orc_tokens,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 LLM_SQL: dict[str, str] = {

@@ -130,5 +130,7 @@ class LibraryEncoder(ChunkEncoder):
         return self.chunks.keep(chunk, array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes())
 
 
-#: One per worker process: the next task goes on with the tables that the last one has filled.
-library_encoder = lru_cache(2)(LibraryEncoder)
+@lru_cache(2)
+def library_encoder(path: str) -> LibraryEncoder:
+    """One per worker process: the next task goes on with the tables that the last one has filled."""
+    return LibraryEncoder(path)
