@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, orc_tokens, packing, quality_rules
+from zonepulse.llm import bpe_transducer, language_id, orc_tokens, packing, quality_model, quality_rules
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents through ORC files."""
     path = scratch_path(spark, "orc-tokens")
@@ -35,6 +40,11 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.digests(spark, path)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the labels that are not held out."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text through the transducer and back."""
     return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
@@ -43,7 +53,9 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_quality_model": op3_quality_model,
     "op6_orc_tokens": op6_orc_tokens,
+    "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 LLM_SQL: dict[str, str] = {
