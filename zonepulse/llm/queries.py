@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, orc_tokens, packing, quality_model, quality_rules
+from zonepulse.llm import bpe_transducer, language_id, near_duplicates, orc_tokens, packing, quality_model, quality_rules
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.digests(spark, path)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of near-equal shingle sets."""
+    return near_duplicates.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the labels that are not held out."""
     return language_id.identify(table(spark, sf_dir, "documents"))
@@ -55,6 +60,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_quality_model": op3_quality_model,
     "op6_orc_tokens": op6_orc_tokens,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
