@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, near_duplicates, orc_tokens, packing, quality_model, quality_rules
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, orc_tokens, packing, quality_model, quality_rules
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and dropped lines of every document, and the checksum of the text that stays."""
+    done = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents through ORC files."""
     path = scratch_path(spark, "orc-tokens")
@@ -59,6 +65,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op3_quality_model": op3_quality_model,
+    "op4_line_dedup": op4_line_dedup,
     "op6_orc_tokens": op6_orc_tokens,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_language_id": op9_language_id,
@@ -66,4 +73,5 @@ LLM_QUERIES: dict[str, Query] = {
 }
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
+    "op4_line_dedup": line_dedup.oracle_sql(),
 }
