@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, orc_tokens, packing, quality_model, quality_rules
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the labels that are not held out."""
     return language_id.identify(table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op6_orc_tokens": op6_orc_tokens,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
