@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from zonepulse.llm.common import per_batch
 from zonepulse.llm.tokens import PATTERN, ChunkEncoder, vocabulary
 
-MAX_STATES = 150_000
+MAX_STATES = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -140,7 +140,7 @@ class Encoder(ChunkEncoder):
     """Texts to ids: pieces by the pattern of the rank files, each through the transducer."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(400_000)
         self.machine = Transducer(read_ranks(path))
         self.split = regex.compile(PATTERN).findall
 
