@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, warc_fixity
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that differ between the pages' WARC files and a damaged replica of them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    good, bad = scratch_path(spark, "warc"), scratch_path(spark, "warc")
+    files = warc_fixity.files_for(pages)
+    warc_fixity.write(pages, good, files)
+    warc_fixity.write(warc_fixity.damaged(pages), bad, files)
+    return warc_fixity.compare(spark, good, bad).select("record_id", "status", "length_a", "length_b", "hash_a", "hash_b")
+
+
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents through ORC files."""
     path = scratch_path(spark, "orc-tokens")
@@ -71,6 +81,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_quality_model": op3_quality_model,
     "op4_line_dedup": op4_line_dedup,
+    "op5_warc_fixity": op5_warc_fixity,
     "op6_orc_tokens": op6_orc_tokens,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_nearest": op8_nearest,
@@ -80,4 +91,5 @@ LLM_QUERIES: dict[str, Query] = {
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
     "op4_line_dedup": line_dedup.oracle_sql(),
+    "op5_warc_fixity": warc_fixity.oracle_sql(),
 }
