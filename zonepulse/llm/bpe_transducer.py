@@ -140,7 +140,7 @@ class Encoder(ChunkEncoder):
     """Texts to ids: pieces by the pattern of the rank files, each through the transducer."""
 
     def __init__(self, path: str):
-        super().__init__(400_000)
+        super().__init__()
         self.machine = Transducer(read_ranks(path))
         self.split = regex.compile(PATTERN).findall
 

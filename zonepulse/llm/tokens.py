@@ -66,7 +66,7 @@ class ChunkEncoder:
     whole text. Subclasses say which pieces a chunk has and which ids a piece has.
     """
 
-    def __init__(self, limit: int = 250_000):
+    def __init__(self, limit: int = 400_000):
         self.chunks, self.pieces = Memory(limit), Memory(limit)
         gc.set_threshold(100_000, 20, 100)  # the tables hold many small objects and no cycles
 
@@ -77,14 +77,14 @@ class ChunkEncoder:
         raise NotImplementedError
 
     def _piece(self, piece: str) -> bytes:
-        if (ids := self.pieces.older(piece)) is None:
-            ids = array("I", self.ids(piece)).tobytes()
-        return self.pieces.keep(piece, ids)
+        ids = self.pieces.before.get(piece)
+        return self.pieces.keep(piece, array("I", self.ids(piece)).tobytes() if ids is None else ids)
 
     def _chunk(self, chunk: str) -> bytes:
-        if (ids := self.chunks.older(chunk)) is None:
-            get = self.pieces.get
-            ids = b"".join([get(p) or self._piece(p) for p in self.split(chunk)])
+        ids = self.chunks.before.get(chunk)
+        if ids is None:
+            get, pieces = self.pieces.get, self.split(chunk)
+            ids = (get(pieces[0]) or self._piece(pieces[0])) if len(pieces) == 1 else b"".join([get(p) or self._piece(p) for p in pieces])
         return self.chunks.keep(chunk, ids)
 
     def encode(self, text: str | None) -> bytes:
@@ -122,10 +122,12 @@ class LibraryEncoder(ChunkEncoder):
         return self.find(chunk)
 
     def ids(self, piece: str) -> Iterable[int]:
-        return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(_BYTES))]
+        plain = piece.isascii() and piece.isprintable()
+        text = piece.replace(" ", _BYTES[32]) if plain else piece.encode().decode("latin-1").translate(_BYTES)
+        return [t.id for t in self.merge(text)]
 
     def _chunk(self, chunk: str) -> bytes:
-        if max(chunk, default="") <= _LATIN:
+        if chunk.isascii() or max(chunk) <= _LATIN:
             return super()._chunk(chunk)
         return self.chunks.keep(chunk, array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes())
 
