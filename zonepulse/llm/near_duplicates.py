@@ -2,7 +2,7 @@
 
 Texts with the same set of shingles are one node, so copies cost one comparison however many there are. Nodes
 that share a band are first compared with one of them only, its hub; what links is joined, and only nodes of
-one band that are still apart are compared with each other, in blocks, on their signatures. Every candidate
+a band that are still apart are compared with each other, in blocks, on their signatures. Every candidate
 is confirmed on the full shingle sets. So no group is spelled out as pairs, and no link between different
 components is lost (but for pairs that share no band: with 40 bands of 5 minima about 2 in 100,000 at a
 similarity of 0.75, fewer above).
@@ -186,10 +186,10 @@ def link(docs: DataFrame) -> DataFrame:
     known = materialize(features(docs), "minhash")
     nodes = known.filter(F.col("node").isNotNull())
     rows = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    hubs = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("top")).filter("hub.node != top")
-    hubs = hubs.select(F.col("key").alias("of"), F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    members = salted_join(rows, hubs, lambda a, b: a["key"] == b["of"], F.col("node"), "inner")
-    members = materialize(members.select("key", "node", "n", "hub", "hub_n").distinct(), "bands")
+    met = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("top"), F.count("*").alias("size")).filter("low != top")
+    met = met.select(F.col("key").alias("of"), "size")
+    members = salted_join(rows, met, lambda a, b: a["key"] == b["of"], F.col("node"), "inner")
+    members = materialize(_with_hubs(members.select("key", "node", "n", "size").distinct()), "bands")
     texts = _texts(docs, nodes, members.select("node").distinct())
     near = members.filter("node != hub").filter(_alike("n", "hub_n")).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(_verified(near, texts), "links")
@@ -210,6 +210,18 @@ def link(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """``members`` with the hub of their band: the node that meets most others over all its bands.
+
+    The text that others were made from has more in common with them than they have with each other, so
+    it meets them in more bands, and one comparison with it joins most of a group.
+    """
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
+    hubs = hubs.select(F.col("key").alias("of"), F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    return salted_join(members, hubs, lambda a, b: a["key"] == b["of"], F.col("node"), "inner").select("key", "node", "n", "hub", "hub_n")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes, one row each, written once for both rounds of checks."""
     first = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).join(wanted, "node", "left_semi")
