@@ -115,9 +115,17 @@ def test_event_actual(spark, subsecond):
     expected = brute_actual(events, hourly)
     assert {(r.event_id, r.zone_id): (r.subway_inbound_pre, r.subway_outbound_post)
             for r in got.collect()} == expected
-    if not subsecond:
-        same = impact.event_actual(frame, taxi, subway, bikes, whole_seconds=True)
-        assert same.exceptAll(got).isEmpty() and got.exceptAll(same).isEmpty()
+
+
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), 1e17])
+def test_nothing_outside_a_window_touches_its_sum(spark, odd):
+    """The odd weight lies in the same zone and hour, before the window."""
+    day = dt.datetime(2024, 5, 1)
+    events = [(1, "n", "t", day.replace(hour=11), day.replace(hour=12), 4, 4)]
+    rides = [(day.replace(hour=9, minute=10), 9, 4, odd), (day.replace(hour=10), 9, 4, 5.0), (day.replace(hour=10, microsecond=500_000), 9, 4, 0.25)]
+    subway = spark.createDataFrame(rides, "transit_timestamp timestamp_ntz, origin_location_id int, destination_location_id int, estimated_average_ridership double")
+    frame = spark.createDataFrame(events, EVENTS)
+    assert impact.sampled_impact(frame, subway, SUBWAY).first().subway_inbound_pre == 5.25
 
 
 def clock(t):

@@ -143,7 +143,7 @@ def test_few_events_filter_trips_before_the_first_shuffle(spark, sf_dir, curated
     """The touched buckets are joined below the partial aggregate, in the scan stage."""
     v = Views(spark, sf_dir)
     events = impact.sample_midweek_events(v["permits"], v["subway_rides"], salt="s")
-    df = impact.sampled_impact(events, readers.read_curated(spark, curated, "trips"), TAXI, whole_seconds=True)
+    df = impact.sampled_impact(events, readers.read_curated(spark, curated, "trips"), TAXI)
     lines = plan_of(df).splitlines()
     semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line and "bucket" in line)
     above = next(line for line in reversed(lines[:semi]) if "HashAggregate" in line or "Exchange" in line)

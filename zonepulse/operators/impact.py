@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zonepulse.functions.plan import spread
 from zonepulse.functions.timeparts import DAY_SECONDS, days, epoch_day, hours, minutes, second_of_day
 from zonepulse.operators.windows import (
-    SECOND_BUCKET,
+    SECOND_BLOCKS,
     all_movements,
     movements,
     timeline_sums,
@@ -55,16 +55,15 @@ def _sum_of(column: str, direction: str, k: Column, kind: str) -> Column:
 
 
 def event_actual(
-    events: DataFrame, taxi: DataFrame, subway: DataFrame, citibike: DataFrame, whole_seconds: bool = False
+    events: DataFrame, taxi: DataFrame, subway: DataFrame, citibike: DataFrame
 ) -> DataFrame:
     """Arrivals before the start and departures after the end, per event and mode; 0 without traffic.
 
     Modes are summed on their own, so the rows of one mode do not multiply those of another.
-    ``whole_seconds`` promises event times without a sub-second part.
     """
     tables = {TAXI: taxi, SUBWAY: subway, CITIBIKE: citibike}
     spread = _spread_windows(event_windows(events), 0)
-    sums = timeline_sums(all_movements(tables), spread, [m.name for m in tables], whole_seconds)
+    sums = timeline_sums(all_movements(tables), spread, [m.name for m in tables])
     every = F.lit(True)
     out = []
     for m in tables:
@@ -157,7 +156,7 @@ def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional:
     dated = windows.select("zone_id", "direction", "lo", "hi").distinct().join(dates, "zone_id")
     ticks = _clock_ticks(pairs, directional, "baseline_date", "w")
     keys = ["zone_id", "direction", "baseline_date"]
-    sums = window_sums(ticks, dated, keys, ["w"], SECOND_BUCKET, DAY_SECONDS)
+    sums = window_sums(ticks, dated, keys, ["w"], SECOND_BLOCKS, DAY_SECONDS)
     joined = windows.join(sums, ["zone_id", "direction", "lo", "hi"])
     return joined.groupBy("event_id", "baseline_date").agg(
         *[_sum_of("w", d, F.lit(True), mode.weight_type).alias(f"baseline_{name}")
@@ -204,7 +203,7 @@ def baseline_average(
         "clock",
     )
     is_day = F.col("direction") == "day"
-    sums = window_sums(clock.filter(~is_day), windows, keys, names, SECOND_BUCKET, DAY_SECONDS)
+    sums = window_sums(clock.filter(~is_day), windows, keys, names, SECOND_BLOCKS, DAY_SECONDS)
     totals = windows.join(sums, [*keys, "lo", "hi"]).groupBy("event_id").agg(
         *[F.sum(F.when(F.col("direction") == d, F.col(n))).alias(f"{n}_{d}") for n in names for d in ("in", "out")]
     )
@@ -222,11 +221,10 @@ def event_impact(
     subway: DataFrame,
     citibike: DataFrame,
     directional: bool = False,
-    whole_seconds: bool = False,
 ) -> DataFrame:
     """Actual traffic next to its baseline and their ratio, per event; ordered by event id."""
     tables = {TAXI: taxi, SUBWAY: subway, CITIBIKE: citibike}
-    actual = event_actual(events, taxi, subway, citibike, whole_seconds)
+    actual = event_actual(events, taxi, subway, citibike)
     joined = actual.join(baseline_average(events, tables, directional), "event_id", "left")
     ratios = []
     for m in tables:
@@ -283,7 +281,6 @@ _COUNTED = {"citibike"}
 
 def sampled_impact(
     events: DataFrame, trips: DataFrame, mode: Mode, baseline_days: int = 3, year: int | None = 2024,
-    whole_seconds: bool = False,
 ) -> DataFrame:
     """Actual traffic and the mean of the same windows on the days before (arrivals) or after (departures).
 
@@ -298,7 +295,7 @@ def sampled_impact(
     weight = F.lit(1) if mode.name in _COUNTED else None
     keys = [*EVENT_KEYS, "start_time", "end_time"]
     spread = _spread_windows(event_windows(events), baseline_days)
-    sums = timeline_sums(movements(trips, mode, weight), spread, [mode.name], whole_seconds)
+    sums = timeline_sums(movements(trips, mode, weight), spread, [mode.name])
     actual, before = F.col("k") == 0, F.col("k") > 0
     n = mode.name
 

@@ -1,9 +1,10 @@
 """Sums of weights inside many time windows, without pairing movements with windows.
 
-A window sum is a difference of running sums. Movements are first added up per (key, position), then
-laid on a line together with the window borders, and one running sum per (key, bucket) gives every
-border its value. The cost is that of movements plus windows, however many windows overlap; a busy
-zone is spread over its buckets, and inside a bucket there is at most one row per position.
+Time is cut into aligned blocks of several sizes, each a multiple of the one before. A window is a few dozen
+blocks; a movement lies in one block of each size. Movements are added up per block and windows add up their
+blocks, so both meet on equal keys, nothing is subtracted, and a sum holds only what is inside its window:
+a NaN or a huge weight elsewhere cannot touch it. Only blocks that some window needs are built. The
+cost is that of movements plus windows, however many windows overlap, and a busy zone is spread over time.
 """
 
 from __future__ import annotations
@@ -11,19 +12,52 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.functions.plan import spread
-from zonepulse.functions.timeparts import epoch_micro, epoch_second, from_epoch_micros
+from zonepulse.functions.plan import evaluate_once, spread
+from zonepulse.functions.timeparts import epoch_micro
 from zonepulse.schemas import MODES, Mode
 
-SECOND_BUCKET = 21_600
-MICRO = 1_000_000
+#: Block sizes for positions in seconds and in microseconds, up to about an hour.
+SECOND_BLOCKS = (1, 16, 256, 4096)
+MICRO_BLOCKS = (*[10**k for k in range(7)], *[n * 1_000_000 for n in SECOND_BLOCKS[1:]])
 
 
-def _bucket(pos: Column, width: int) -> Column:
-    return pos - F.pmod(pos, F.lit(width).cast("bigint"))
+def _down(pos: Column, size: int) -> Column:
+    return pos - F.pmod(pos, F.lit(size).cast("bigint"))
+
+
+def _up(pos: Column, size: int) -> Column:
+    return pos + F.pmod(-pos, F.lit(size).cast("bigint"))
+
+
+def _run(size: int, a: Column, b: Column) -> Column:
+    """The blocks of one size from ``a`` up to ``b`` (both aligned)."""
+    starts = F.sequence(a, b - size, F.lit(size).cast("bigint"))
+    blocks = F.transform(starts, lambda x: F.struct(F.lit(size).alias("size"), x.alias("block")))
+    return F.when(a < b, blocks).otherwise(F.array().cast("array<struct<size:int,block:bigint>>"))
+
+
+def window_blocks(spans: DataFrame, sizes: Sequence[int], low: str = "lo", high: str = "hi") -> DataFrame:
+    """``spans`` with one row for each aligned block (``size``, ``block``) that its [low, high) is made of.
+
+    From both ends, blocks grow from size to size until the next size does not fit any more.
+    """
+    # the range between the aligned borders of each size, worked out once per window
+    named = evaluate_once(spans.withColumns({
+        **{f"a{i}": _up(F.col(low), size) for i, size in enumerate(sizes)}, **{f"b{i}": _down(F.col(high), size) for i, size in enumerate(sizes)},
+    }))
+    fits, runs = [F.col(f"a{i}") <= F.col(f"b{i}") for i in range(len(sizes))], []
+    for i, size in enumerate(sizes):
+        a, b = F.col(f"a{i}"), F.col(f"b{i}")
+        if i + 1 < len(sizes):
+            larger = fits[i + 1]
+            runs.append(_run(size, a, F.when(larger, F.col(f"a{i + 1}")).otherwise(b)))
+            runs.append(_run(size, F.when(larger, F.col(f"b{i + 1}")).otherwise(b), b))
+        else:
+            runs.append(_run(size, a, b))
+    return evaluate_once(named.select(*spans.columns, F.concat(*runs).alias("pieces"))).select(*spans.columns, F.inline("pieces"))
 
 
 def window_sums(
@@ -31,58 +65,44 @@ def window_sums(
     windows: DataFrame,
     keys: Sequence[str],
     weights: Sequence[str],
-    width: int,
+    sizes: int | Sequence[int],
     period: int | None = None,
 ) -> DataFrame:
     """Sum of each weight over ticks with ``lo <= pos < hi``; one row per distinct window.
 
     ``ticks``: keys, bigint ``pos``, weights. ``windows``: keys, bigint ``lo`` and ``hi`` (repeats
-    allowed). ``width`` is the bucket length. With ``period`` (a multiple of ``width``) positions lie in
-    [0, period) and a window may run over the end of the period. A window without ticks sums to 0.
+    allowed). ``sizes`` are the block sizes, ascending, each a multiple of the one before (one number: that
+    size and 1). With ``period`` positions lie in [0, period) and a window may run over the end of the
+    period, once. A window without ticks sums to 0.
     """
     keys, weights = list(keys), list(weights)
-    line = [*keys, "bucket"]
-
-    pieces = windows.select(*keys, "lo", "hi").filter(F.col("lo") < F.col("hi")).dropna(subset=keys).distinct()
-    pieces = pieces.withColumn(
-        "at", F.explode(F.sequence(_bucket(F.col("lo"), width), F.col("hi") - 1, F.lit(width).cast("bigint")))
-    )
-    bucket = F.pmod("at", F.lit(period).cast("bigint")) if period else F.col("at")
-    shift = F.col("at") - bucket
-    borders = pieces.select(
-        *keys, "lo", "hi", bucket.alias("bucket"),
-        spread(
-            ["pos", "sign"],
-            [F.greatest("lo", "at") - shift, F.lit(-1)],
-            [F.least(F.col("hi"), F.col("at") + width) - shift, F.lit(1)],
-        ),
-        # nothing lies before the first position of a bucket
-    ).filter(F.col("pos") > F.col("bucket"))
-
-    totals = (
-        ticks.withColumn("bucket", _bucket(F.col("pos"), width))
-        .groupBy(*line, "pos")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-    )
-    # Buckets no window reaches are left out. When the bucket list is small enough to broadcast,
-    # Catalyst moves this semi join below the aggregate, into the scan stage.
-    totals = totals.join(borders.select(*line).distinct(), line, "left_semi")
-
-    kinds = {f.name: f.dataType for f in totals.schema.fields}
-    none = F.lit(None).cast("bigint")
-    merged = totals.select(
-        *line, "pos", none.alias("lo"), none.alias("hi"), F.lit(None).cast("int").alias("sign"), *weights
-    ).unionByName(
-        borders.select(*line, "pos", "lo", "hi", "sign", *[F.lit(None).cast(kinds[w]).alias(w) for w in weights])
-    )
-    # at equal positions borders come first, so a border sees only what lies strictly before it
-    order = Window.partitionBy(*line).orderBy("pos", F.col("sign").isNull()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = merged.select(*keys, "lo", "hi", "sign", *[F.sum(w).over(order).alias(w) for w in weights])
-    values = running.filter(F.col("sign").isNotNull()).groupBy(*keys, "lo", "hi").agg(
-        *[F.coalesce(F.sum(F.col("sign") * F.col(w)), F.lit(0).cast(kinds[w])).alias(w) for w in weights]
-    )
-    return values
+    sizes = (1, sizes) if isinstance(sizes, int) else tuple(sizes)
+    kinds = {f.name: f.dataType for f in ticks.schema.fields}
+
+    spans = windows.select(*keys, "lo", "hi").filter(F.col("lo") < F.col("hi")).dropna(subset=keys).distinct()
+    if period:
+        wrapped = F.col("hi") > period
+        parts = spans.select(*keys, "lo", "hi", spread(
+            ["from", "to"], [F.col("lo"), F.least(F.col("hi"), F.lit(period).cast("bigint"))], [F.lit(0).cast("bigint"), F.col("hi") - period],
+            when=[None, wrapped],
+        ))
+    else:
+        parts = spans.withColumns({"from": F.col("lo"), "to": F.col("hi")})
+    pieces = window_blocks(parts, sizes, "from", "to").drop("from", "to")
+
+    # the sizes that are needed near a tick: a short list for each key and each block of the largest size
+    needed = pieces.groupBy(*keys, _down(F.col("block"), sizes[-1]).alias("near")).agg(F.collect_set("size").alias("sizes"))
+    met = ticks.withColumn("near", _down(F.col("pos"), sizes[-1])).join(needed, [*keys, "near"])
+    each = met.select(*keys, "pos", *weights, F.explode("sizes").alias("size"))
+    block = F.col("pos") - F.pmod(F.col("pos"), F.col("size").cast("bigint"))
+    totals = each.groupBy(*keys, "size", block.alias("block")).agg(*[F.sum(w).alias(w) for w in weights])
+    # Spark may add a decimal digit to sums; the weights keep their own type
+    return pieces.join(totals, [*keys, "size", "block"], "left").groupBy(*keys, "lo", "hi").agg(
+        *[F.coalesce(F.sum(w), F.lit(0)).cast(_sum_type(kinds[w].simpleString())).alias(w) for w in weights])
+
+
+def _sum_type(kind: str) -> str:
+    return "double" if kind in ("double", "float") else "bigint" if kind in ("int", "bigint", "smallint", "tinyint") else kind
 
 
 def movements(
@@ -115,37 +135,16 @@ def all_movements(tables: dict[Mode, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [movements(t, m, columns=names) for m, t in tables.items()])
 
 
-def timeline_sums(
-    moves: DataFrame, windows: DataFrame, weights: Sequence[str], whole_seconds: bool = False
-) -> DataFrame:
+def timeline_sums(moves: DataFrame, windows: DataFrame, weights: Sequence[str]) -> DataFrame:
     """Weights of the movements with ``t_lo <= t < t_hi``; rows (direction, zone_id, t_lo, t_hi, weights).
 
-    Sums run over whole seconds. Where a border has a sub-second part, the piece of that second inside
-    the window is summed separately in microseconds. ``whole_seconds=True`` promises that no border
-    has one and leaves that part out of the plan.
+    Positions are microseconds, so borders and movements with a sub-second part are as exact as any other;
+    blocks below a second are built only near windows that have such a border.
     """
     keys, weights = ["direction", "zone_id"], list(weights)
     spans = windows.select(*keys, "t_lo", "t_hi").dropna().distinct()
-    lo_s, hi_s = epoch_second(F.col("t_lo")), epoch_second(F.col("t_hi"))
-    by_second = moves.select(*keys, epoch_second(F.col("t")).alias("pos"), *weights)
-    if whole_seconds:
-        second_sums = window_sums(by_second, spans.withColumns({"lo": lo_s, "hi": hi_s}), keys, weights, SECOND_BUCKET)
-        times = [from_epoch_micros(F.col(c) * MICRO).alias(f"t_{c}") for c in ("lo", "hi")]
-        return second_sums.select(*keys, *times, *weights)
-
-    lo_us, hi_us = epoch_micro(F.col("t_lo")), epoch_micro(F.col("t_hi"))
-    lo_up = lo_s + F.when(lo_us > lo_s * MICRO, 1).otherwise(0)
-    whole = spans.withColumns({"lo": lo_up, "hi": hi_s})
-    second_sums = window_sums(by_second, whole, keys, weights, SECOND_BUCKET)
-    sums = whole.join(second_sums, [*keys, "lo", "hi"]).select(*keys, "t_lo", "t_hi", *weights)
-
-    first_end = F.least(lo_up * MICRO, hi_us)
-    edges = spans.select(
-        *keys, "t_lo", "t_hi",
-        spread(["lo", "hi"], [lo_us, first_end], [F.greatest(hi_s * MICRO, first_end), hi_us]),
-    ).filter("lo < hi")
-    by_micro = moves.select(*keys, epoch_micro(F.col("t")).alias("pos"), *weights)
-    edge_sums = edges.join(
-        window_sums(by_micro, edges, keys, weights, MICRO), [*keys, "lo", "hi"]
-    ).select(*keys, "t_lo", "t_hi", *weights)
-    return sums.unionByName(edge_sums).groupBy(*keys, "t_lo", "t_hi").agg(*[F.sum(w).alias(w) for w in weights])
+    spans = spans.withColumns({"lo": epoch_micro(F.col("t_lo")), "hi": epoch_micro(F.col("t_hi"))})
+    ticks = moves.select(*keys, epoch_micro(F.col("t")).alias("pos"), *weights)
+    sums = window_sums(ticks, spans, keys, weights, MICRO_BLOCKS)
+    # windows are distinct by their times, which the positions stand for
+    return spans.join(sums, [*keys, "lo", "hi"]).select(*keys, "t_lo", "t_hi", *weights)

@@ -52,7 +52,7 @@ JOIN ({_actual_sql(CITIBIKE)}) c USING (event_id)"""
 SELECT * REPLACE (round(subway_inbound_pre, 4) AS subway_inbound_pre,
                   round(subway_outbound_post, 4) AS subway_outbound_post) FROM ({ACTUAL}) x""")
 def e02(v: Views) -> DataFrame:
-    return rounded(E.event_actual(v["permits"], *_tables(v), whole_seconds=True))
+    return rounded(E.event_actual(v["permits"], *_tables(v)))
 
 
 EXCLUDED = """
@@ -140,7 +140,7 @@ SELECT a.* REPLACE (round(subway_inbound_pre, 4) AS subway_inbound_pre,
        {sql_rounded(_BASELINES, 6)}, {_RATIOS}
 FROM ({ACTUAL}) a LEFT JOIN ({_average_sql()}) b USING (event_id)""")
 def e08(v: Views) -> DataFrame:
-    impact = E.event_impact(v["permits"], *_tables(v), whole_seconds=True)
+    impact = E.event_impact(v["permits"], *_tables(v))
     return rounded(rounded(impact, 6, _BASELINES), 4, ["subway_inbound_pre", "subway_outbound_post"])
 
 
@@ -200,7 +200,7 @@ GROUP BY 1, 2, 3, 4, 5, 6"""
 
 
 def _sampled(v: Views, m: Mode, events: DataFrame | None = None) -> DataFrame:
-    return E.sampled_impact(v["permits"] if events is None else events, v[_VIEW[m.name]], m, whole_seconds=True)
+    return E.sampled_impact(v["permits"] if events is None else events, v[_VIEW[m.name]], m)
 
 
 for _id, _m in (("e10", TAXI), ("e11", SUBWAY), ("e12", CITIBIKE)):
