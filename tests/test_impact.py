@@ -311,6 +311,6 @@ def test_volume_is_in_plus_out(spark, sf_dir):
 def test_seeded_sample_is_a_subset(spark, sf_dir):
     v = Views(spark, sf_dir)
     pool = impact.events_on_mid_dates(v["permits"], v["subway_rides"])
-    picked = impact.sample_midweek_events(v["permits"], v["subway_rides"], n=5, seed=3)
+    picked = impact.sample_midweek_events(v["permits"], v["subway_rides"], n=5, salt="3")
     assert picked.count() == 5
     assert picked.join(pool, "event_id", "left_anti").isEmpty()

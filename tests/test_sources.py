@@ -5,7 +5,9 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from zonepulse.functions.parsing import parse_multi_ts
 from zonepulse.operators import cleaning, impact, profiling, reshape
+from zonepulse.plans import CATALOG
 from zonepulse.plans.views import Views
 from zonepulse.schemas import TAXI
 from zonepulse.sources import lookups, readers, scratch, writers
@@ -140,11 +142,45 @@ def test_clean_trips_filters_reach_the_scan(spark, sf_dir, tmp_path):
 
 
 def test_few_events_filter_trips_before_the_first_shuffle(spark, sf_dir, curated, tmp_path):
-    """The touched buckets are joined below the partial aggregate, in the scan stage."""
+    """The needed blocks are joined below the partial aggregate, in the scan stage, and totals are shuffled once."""
     v = Views(spark, sf_dir)
     events = impact.sample_midweek_events(v["permits"], v["subway_rides"], salt="s")
     df = impact.sampled_impact(events, readers.read_curated(spark, curated, "trips"), TAXI)
     lines = plan_of(df).splitlines()
-    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line and "bucket" in line)
-    above = next(line for line in reversed(lines[:semi]) if "HashAggregate" in line or "Exchange" in line)
-    assert "partial_sum" in above
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "near#" in line)
+    above = [line for line in reversed(lines[:join]) if "HashAggregate" in line or "Exchange" in line]
+    assert "partial_sum" in above[0] and "Exchange hashpartitioning" in above[1] and " sum(" in above[2].replace("[sum(", " sum(")
+    assert sum("pickup_ts" in line and "FileScan" in line for line in lines) == 1
+
+
+def test_mixed_trip_files_lose_nothing(spark, tmp_path):
+    """A column that only some files have, numbers of several types; the order of the files does not matter."""
+    rows = [(i, float(i % 7), i / 2, 1 + i % 263, 1 + i % 200) for i in range(60)]
+    names = ["t", "passenger_count", "trip_distance", "PULocationID", "DOLocationID"]
+    whole = spark.createDataFrame(rows, names).withColumn("t", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    whole = whole.select(F.col("t").alias("tpep_pickup_datetime"), F.col("t").alias("tpep_dropoff_datetime"), *names[1:])
+    found = []
+    for order in ("abc", "cba"):
+        for k, name in enumerate(order):
+            part = whole.filter(F.col("PULocationID") % 3 == "abc".index(name))
+            if name == "a":
+                part = part.drop("passenger_count").withColumn("PULocationID", F.col("PULocationID").cast("double"))
+            if name == "b":
+                part = part.withColumn("passenger_count", F.col("passenger_count").cast("int"))
+            part.coalesce(1).write.parquet(str(tmp_path / order / f"{k} of 3"))
+        read = readers.read_trips(spark, str(tmp_path / order), "yellow", recursive=True)
+        found.append(sorted(tuple(r) for r in read.fillna(-1.0, ["passenger_count"]).collect()))
+        assert cleaning.clean_yellow(read).count() > 0
+    assert found[0] == found[1] and len(found[0]) == 60
+    assert sum(r[2] == -1.0 for r in found[0]) == 20 and {r[3] for r in found[0]} == {i / 2 for i in range(60)}
+
+
+def test_key_lookup_reads_one_folder(spark, sf_dir):
+    plan = plan_of(CATALOG["p16_find_by_ids"].run(spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(year" in plan and "month" in plan.split("PartitionFilters:")[1][:120]
+
+
+def test_clock_without_seconds(spark):
+    texts = {"01/02/2024 13:05": "2024-01-02 13:05:00", "2024-01-02 13:05": "2024-01-02 13:05:00", "01/02/2024 1:05 PM": "2024-01-02 13:05:00", "2024-01-02": "2024-01-02 00:00:00"}
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: str(r.p) for r in frame.select("t", parse_multi_ts(F.col("t")).alias("p")).collect()} == texts

@@ -49,7 +49,7 @@ def multi_ts(parts: Column, mark: Column) -> Column:
     """Timestamp from number parts and AM/PM mark.
 
     A four-digit first number means year-month-day, anything else month-day-year (a two-digit year is
-    20xx). Six numbers give a full time, five give hour and minute when an AM/PM mark is present, fewer
+    20xx). Six numbers give a full time, five give hour and minute, with or without an AM/PM mark, fewer
     give midnight.
     """
     first, second, third = (_part(parts, i) for i in range(3))
@@ -57,7 +57,7 @@ def multi_ts(parts: Column, mark: Column) -> Column:
     digits = F.length(third)
     year = F.when(digits <= 2, F.concat(F.lit("20"), F.lpad(third, 2, "0"))).when(digits <= 4, third)
     has_seconds = F.size(parts) >= 6
-    has_clock = has_seconds | ((F.size(parts) == 5) & (mark != ""))
+    has_clock = F.size(parts) >= 5
     second_text = F.when(has_seconds, _part(parts, 5)).otherwise("0")
     clock = F.when(
         has_clock, F.concat_ws(":", _clock_hour(_part(parts, 3), mark), _part(parts, 4), second_text)

@@ -262,16 +262,13 @@ def events_on_mid_dates(events: DataFrame, subway: DataFrame, year: int = 2024,
 
 
 def sample_midweek_events(
-    events: DataFrame, subway: DataFrame, n: int = 12, seed: int | None = None, salt: str | None = None,
-    year: int = 2024, max_hours: int = 5,
+    events: DataFrame, subway: DataFrame, n: int = 12, salt: str = "mobility", year: int = 2024, max_hours: int = 5,
 ) -> DataFrame:
-    """``n`` of the mid-week events at random. With ``salt`` the pick is the same on every run and engine.
+    """``n`` of the mid-week events at random: those with the least hash of ``salt`` and event id.
 
-    Without ``salt`` save the sample before using it twice, since each use may draw again.
+    The pick is the same on every run, engine and use; another ``salt`` gives another sample.
     """
     pool = events_on_mid_dates(events, subway, year, max_hours)
-    if salt is None:
-        return pool.orderBy(F.rand(seed)).limit(n)
     ticket = F.md5(F.concat(F.lit(salt), F.col("event_id").cast("string")).cast("binary"))
     return pool.orderBy(ticket, "event_id", "start_time").limit(n)
 

@@ -340,14 +340,20 @@ def partition_counts(table: DataFrame) -> DataFrame:
     return table.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).orderBy("year", "month")
 
 
-def preview(table: DataFrame, n: int = 10) -> DataFrame:
-    """The first rows, in no particular order."""
-    return table.limit(n)
-
-
-def find_by_ids(table: DataFrame, key: str, ids: list, year: int | None = None, month: int | None = None) -> DataFrame:
-    """Rows of the given keys, optionally inside one partition (pruned before the scan)."""
-    picked = table.filter(F.col(key).isin(*ids))
+def preview(table: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The ``n`` rows with the smallest keys: a top-n of each task, not a sort of the table."""
+    return table.orderBy(key).limit(n)
+
+
+def find_by_ids(
+    table: DataFrame, key: str, ids: list | DataFrame, year: int | None = None, month: int | None = None
+) -> DataFrame:
+    """Rows of the given keys (a list, or a frame with the key column), optionally inside one partition, which
+    is then the only one that is scanned."""
+    if isinstance(ids, DataFrame):
+        picked = table.join(ids.select(key), key, "left_semi")
+    else:
+        picked = table.filter(F.col(key).isin(*ids))
     if year is not None:
         picked = picked.filter(F.col("year") == year)
     if month is not None:

@@ -165,9 +165,11 @@ def c05(v: Views) -> DataFrame:
     return C.clean_subway(parsed_subway(v))
 
 
-SQL_STRICT_TIME = "try_strptime({0}, '%m/%d/%Y %I:%M:%S %p')"
-SQL_MULTI_TIME = """try_strptime({0}, ['%m/%d/%Y %I:%M:%S %p', '%m/%d/%Y %H:%M:%S', '%Y-%m-%d %H:%M:%S',
-  '%Y/%m/%d %H:%M:%S', '%m-%d-%Y %I:%M:%S %p', '%m/%d/%Y %I:%M %p', '%m/%d/%Y'])"""
+# a year of two digits is not in the strict layout
+SQL_STRICT_TIME = "CASE WHEN split_part({0}, ' ', 1) LIKE '%/____' THEN try_strptime({0}, '%m/%d/%Y %I:%M:%S %p') END"
+SQL_MULTI_TIME = """try_strptime({0}, ['%m/%d/%y %I:%M:%S %p', '%m/%d/%Y %I:%M:%S %p', '%m/%d/%Y %H:%M:%S', '%Y-%m-%d %H:%M:%S',
+  '%Y/%m/%d %H:%M:%S', '%m-%d-%Y %I:%M:%S %p', '%m/%d/%Y %I:%M %p', '%m/%d/%Y %H:%M',
+  '%Y-%m-%d %H:%M', '%m-%d-%Y %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y'])"""
 SQL_SQUEEZE = r"regexp_replace(trim({0}), '\s+', ' ', 'g')"
 
 LOADED_LOCATIONS = """
@@ -215,17 +217,23 @@ def c07(v: Views) -> DataFrame:
     return C.clean_events_multiformat(event_rows(v), lookups.load_zones(v["raw_zone_lookup"]))
 
 
-@query("c08_reject_summary_trips", f"""
-WITH r AS (SELECT CASE
-    WHEN NOT {SQL_WHOLE.format('passenger_count', 1, 6)} THEN 'PASSENGER_COUNT'
-    WHEN NOT {SQL_NUMBER.format('trip_distance', 0, 100)} THEN 'TRIP_DISTANCE'
+def _trip_reasons(view: str, passengers: bool, distance: str) -> str:
+    count = f"WHEN NOT {SQL_WHOLE.format('passenger_count', 1, 6)} THEN 'PASSENGER_COUNT'" if passengers else ""
+    return f"""
+WITH r AS (SELECT CASE {count}
+    WHEN NOT {SQL_NUMBER.format(distance, 0, 100)} THEN 'TRIP_DISTANCE'
     WHEN NOT {SQL_ZONE.format('"PULocationID"')} THEN 'PU_LOCATION'
-    WHEN NOT {SQL_ZONE.format('"DOLocationID"')} THEN 'DO_LOCATION' END AS reason FROM raw_yellow)
+    WHEN NOT {SQL_ZONE.format('"DOLocationID"')} THEN 'DO_LOCATION' END AS reason FROM {view})
 SELECT 'TOTAL' AS counter, count(*) AS n FROM r
 UNION ALL SELECT CASE WHEN reason IS NULL THEN 'VALID' ELSE 'INVALID' END, count(*) FROM r GROUP BY 1
-UNION ALL SELECT reason, count(*) FROM r WHERE reason IS NOT NULL GROUP BY 1""")
-def c08_trips(v: Views) -> DataFrame:
-    return C.reject_summary(C.screen_trips(v["raw_yellow"], "yellow"))
+UNION ALL SELECT reason, count(*) FROM r WHERE reason IS NOT NULL GROUP BY 1"""
+
+
+for _name, _kind, _passengers, _distance in (
+    ("trips", "yellow", True, "trip_distance"), ("green_trips", "green", True, "trip_distance"), ("fhv_trips", "fhv", False, "trip_miles"),
+):
+    query(f"c08_reject_summary_{_name}", _trip_reasons(f"raw_{_kind}", _passengers, _distance))(
+        lambda v, k=_kind: C.reject_summary(C.screen_trips(v[f"raw_{k}"], k)))
 
 
 @query("c08_reject_summary_subway", """

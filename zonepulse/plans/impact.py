@@ -8,6 +8,7 @@ from zonepulse.operators import impact as E
 from zonepulse.plans.registry import query, rounded, sql_rounded
 from zonepulse.plans.views import Views
 from zonepulse.schemas import CITIBIKE, SUBWAY, TAXI, Mode
+from zonepulse.sources.scratch import materialize
 
 _VIEW = {"taxi": "taxi_rides", "subway": "subway_rides", "citibike": "bike_rides"}
 _MODES = (TAXI, SUBWAY, CITIBIKE)
@@ -241,4 +242,5 @@ _SAMPLE = f"""(SELECT * FROM ({MID_WEEK}) p
 
 @query("e13_sampled_transit_summary", _summary_sql(*[_sampled_sql(m, _SAMPLE) for m in _MODES]))
 def e13_sampled(v: Views) -> DataFrame:
-    return _summary(v, E.sample_midweek_events(v["permits"], v["subway_rides"], salt="mobility"))
+    """The sample is built once and saved; every mode reads the saved rows."""
+    return _summary(v, materialize(E.sample_midweek_events(v["permits"], v["subway_rides"]), "sample"))

@@ -48,6 +48,27 @@ def s01(v: Views) -> DataFrame:
     return readers.read_trips(v.spark, path, "yellow")
 
 
+@query("s01_read_trips_mixed", """
+SELECT tpep_pickup_datetime, tpep_dropoff_datetime,
+       CASE CAST("PULocationID" AS INT) % 3 WHEN 0 THEN NULL ELSE passenger_count END AS passenger_count,
+       CASE CAST("PULocationID" AS INT) % 3 WHEN 1 THEN CAST(CAST(trip_distance AS INT) AS DOUBLE) ELSE trip_distance END
+         AS trip_distance,
+       CAST("PULocationID" AS INT) AS "PULocationID", CAST("DOLocationID" AS INT) AS "DOLocationID"
+FROM typed_yellow""")
+def s01_mixed(v: Views) -> DataFrame:
+    """Three folders that store the columns differently: one lacks the passengers, numbers have other types."""
+    path, trips = scratch_path(v.spark, "mixed"), v["typed_yellow"]
+    for part, kinds in enumerate((
+        {"PULocationID": "double", "DOLocationID": "bigint"},
+        {"passenger_count": "bigint", "trip_distance": "int", "PULocationID": "int"},
+        {"passenger_count": "float", "DOLocationID": "int"},
+    )):
+        one = trips.filter(F.col("PULocationID").cast("int") % 3 == part)
+        one = one.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+        (one.drop("passenger_count") if part == 0 else one).write.parquet(f"{path}/month{part}")
+    return readers.read_trips(v.spark, path, "yellow", recursive=True)
+
+
 @query("s02_read_delimited_drop_trailing", r"""
 SELECT value AS line, CAST(len(string_split(regexp_replace(value, ',+$', ''), ',')) AS INT) AS n_fields,
        string_split(value, ',')[1] AS first_field

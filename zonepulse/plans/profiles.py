@@ -20,6 +20,8 @@ from zonepulse.plans.cleaning import (
 )
 from zonepulse.plans.registry import query
 from zonepulse.plans.views import Views
+from zonepulse.sources import readers, writers
+from zonepulse.sources.scratch import scratch_path
 
 
 def _profile_sql(kind: str) -> str:
@@ -257,15 +259,20 @@ def p15(v: Views) -> DataFrame:
     return P.partition_counts(v["trips_all"])
 
 
-# A preview shows any rows, so only their number and columns can be compared.
-@query("p16_preview")
+@query("p16_preview", "SELECT * FROM bike_rides ORDER BY ride_id LIMIT 10")
 def p16_preview(v: Views) -> DataFrame:
-    return P.preview(v["bike_rides"], 10)
+    return P.preview(v["bike_rides"], "ride_id", 10)
 
 
 @query("p16_find_by_ids", """
 SELECT * FROM bike_rides WHERE year = 2024 AND month = 1
   AND ride_id IN (SELECT CAST(max(event_id) - k AS VARCHAR) FROM events, (SELECT unnest(range(20)) AS k) r GROUP BY k)""")
 def p16_ids(v: Views) -> DataFrame:
-    last = v["events"].agg(F.max("event_id")).first()[0]
-    return P.find_by_ids(v["bike_rides"], "ride_id", [str(last - k) for k in range(20)], 2024, 1)
+    """On a table with a folder for each month."""
+    path = scratch_path(v.spark, "bikes")
+    rides = v["bike_rides"]
+    writers.write_curated(rides, path)
+    last = v["events"].agg(F.max("event_id").alias("last"))
+    ids = last.select(F.explode(F.sequence(F.col("last") - 19, F.col("last"))).alias("id"))
+    ids = ids.select(F.col("id").cast("string").alias("ride_id"))
+    return P.find_by_ids(readers.read_curated(v.spark, path), "ride_id", ids, 2024, 1).select(*rides.columns)

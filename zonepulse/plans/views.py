@@ -33,6 +33,11 @@ class Dialect:
         "us12_dash": "MM-dd-yyyy hh:mm:ss a",
         "us12_no_seconds": "MM/dd/yyyy hh:mm a",
         "us_date": "MM/dd/yyyy",
+        "us24_no_seconds": "MM/dd/yyyy HH:mm",
+        "sql_no_seconds": "yyyy-MM-dd HH:mm",
+        "us24_dash": "MM-dd-yyyy HH:mm:ss",
+        "iso_date": "yyyy-MM-dd",
+        "us12_two_digits": "MM/dd/yy hh:mm:ss a",
     }
 
     def fmt(self, ts: str, layout: str) -> str:
@@ -84,6 +89,11 @@ class DuckDialect(Dialect):
         "us12_dash": "%m-%d-%Y %I:%M:%S %p",
         "us12_no_seconds": "%m/%d/%Y %I:%M %p",
         "us_date": "%m/%d/%Y",
+        "us24_no_seconds": "%m/%d/%Y %H:%M",
+        "sql_no_seconds": "%Y-%m-%d %H:%M",
+        "us24_dash": "%m-%d-%Y %H:%M:%S",
+        "iso_date": "%Y-%m-%d",
+        "us12_two_digits": "%m/%d/%y %I:%M:%S %p",
     }
 
     def fmt(self, ts: str, layout: str) -> str:
@@ -292,9 +302,10 @@ def text_trips(d: Dialect) -> str:
 
 
 def _event_time(d: Dialect, ts: str) -> str:
-    layouts = ["us12", "sql", "slash_ymd", "us12_short", "us24", "us12_dash", "us12_no_seconds", "us_date"]
+    layouts = ["us12", "sql", "slash_ymd", "us12_short", "us24", "us12_dash", "us12_no_seconds", "us_date",
+               "us24_no_seconds", "sql_no_seconds", "us24_dash", "iso_date", "us12_two_digits"]
     cases = " ".join(f"WHEN {i} THEN {d.fmt(ts, layout)}" for i, layout in enumerate(layouts))
-    return f"CASE event_id % 10 {cases} WHEN 8 THEN '13/45/2024 01:00:00 PM' ELSE '' END"
+    return f"CASE event_id % 15 {cases} WHEN 13 THEN '13/45/2024 01:00:00 PM' ELSE '' END"
 
 
 @view

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import types as T
 
 from zonepulse import schemas as S
 from zonepulse.functions.text import is_blank
+from zonepulse.functions.timeparts import from_epoch_micros
 
 _QUOTED = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -32,19 +36,48 @@ def select_typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[one(name, kind) for name, kind in columns.items()])
 
 
+def _same_layout(spark: SparkSession, raw: DataFrame, columns: Sequence[str]) -> list[list[str]]:
+    """The files of ``raw`` in groups that store the named columns alike, whatever the order of files.
+
+    Each footer is read once, some at a time; monthly trip files are few. One group means one plain scan.
+    """
+    files = sorted(unquote(f) for f in raw.inputFiles())
+
+    def layout(file: str) -> tuple:
+        stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(file).schema.fields}
+        return tuple(stored.get(c) for c in columns)
+
+    groups: dict[tuple, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, key in zip(files, pool.map(layout, files), strict=True):
+            groups.setdefault(key, []).append(file)
+    return [groups[k] for k in sorted(groups, key=str)]
+
+
 def read_trips(spark: SparkSession, path: str, kind: str, recursive: bool = False) -> DataFrame:
-    """Raw taxi parquet of one kind. Times keep their stored type (timestamp or epoch microseconds)."""
+    """Raw taxi parquet of one kind. Times keep their stored type (timestamp or epoch microseconds).
+
+    Files may lack columns (null there only) and may store numbers in any numeric type. Where files also
+    differ in the type of a time, all times become zone-less timestamps.
+    """
     layout = S.TRIP_LAYOUTS[kind]
     raw = spark.read.option("recursiveFileLookup", recursive).parquet(path)
-    stored = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
-    wanted = {
-        layout.pickup: stored.get(layout.pickup, "timestamp_ntz"),
-        layout.dropoff: stored.get(layout.dropoff, "timestamp_ntz"),
-        layout.distance: "double", layout.pickup_zone: "int", layout.dropoff_zone: "int",
-    }
+    times = (layout.pickup, layout.dropoff)
+    groups = _same_layout(spark, raw, layout.columns)
+    parts = [raw] if len(groups) < 2 else [spark.read.parquet(*files) for files in groups]
+    stored = [dict(part.dtypes) for part in parts]
+    wanted = {layout.distance: "double", layout.pickup_zone: "int", layout.dropoff_zone: "int"}
+    for t in times:
+        kinds = {s[t] for s in stored if t in s}
+        wanted[t] = kinds.pop() if len(kinds) == 1 else "timestamp_ntz"
     if layout.passengers:
         wanted[layout.passengers] = "double"
-    return select_typed(raw, {name: wanted[name] for name in layout.columns})
+    for i, part in enumerate(parts):
+        for t in times:
+            if stored[i].get(t) == "bigint" and wanted[t] == "timestamp_ntz":
+                parts[i] = parts[i].withColumn(t, from_epoch_micros(F.col(t)))
+    typed = [select_typed(part, {name: wanted[name] for name in layout.columns}) for part in parts]
+    return reduce(DataFrame.unionByName, typed)
 
 
 def read_lines(spark: SparkSession, path: str, header_prefix: str | None = None, recursive: bool = False) -> DataFrame:
