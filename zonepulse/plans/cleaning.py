@@ -110,7 +110,7 @@ def v09(v: Views) -> DataFrame:
 # -- cleaning
 
 
-def _clean_trips_sql(kind: str) -> str:
+def clean_trips_sql(kind: str) -> str:
     layout = S.TRIP_LAYOUTS[kind]
     count = "CAST(CAST(passenger_count AS DOUBLE) AS INT) AS passenger_count," if layout.passengers else ""
     count_ok = SQL_WHOLE.format("passenger_count", 1, 6) + " AND" if layout.passengers else ""
@@ -123,9 +123,9 @@ WHERE {count_ok} {SQL_NUMBER.format(layout.distance, 0, 100)}
   AND {SQL_ZONE.format('"PULocationID"')} AND {SQL_ZONE.format('"DOLocationID"')}"""
 
 
-query("c01_clean_yellow", _clean_trips_sql("yellow"))(lambda v: C.clean_yellow(v["raw_yellow"]))
-query("c02_clean_green", _clean_trips_sql("green"))(lambda v: C.clean_green(v["raw_green"]))
-query("c03_clean_fhv", _clean_trips_sql("fhv"))(lambda v: C.clean_fhv(v["raw_fhv"]))
+query("c01_clean_yellow", clean_trips_sql("yellow"))(lambda v: C.clean_yellow(v["raw_yellow"]))
+query("c02_clean_green", clean_trips_sql("green"))(lambda v: C.clean_green(v["raw_green"]))
+query("c03_clean_fhv", clean_trips_sql("fhv"))(lambda v: C.clean_fhv(v["raw_fhv"]))
 
 
 def bike_pieces(v: Views) -> DataFrame:
@@ -206,13 +206,16 @@ SELECT std, -low AS location_id FROM (
   GROUP BY std) m"""
 
 
-@query("c07_clean_events_multiformat", f"""
+CLEAN_EVENTS = f"""
 SELECT id_text AS event_id, {SQL_SQUEEZE.format("replace(name_text, chr(34), '')")} AS event_name,
        {SQL_MULTI_TIME.format('start_text')} AS start_ts, {SQL_MULTI_TIME.format('end_text')} AS end_ts,
        type_text AS event_type, CAST(coalesce(location_id, -1) AS INT) AS start_location_id,
        CAST(coalesce(location_id, -1) AS INT) AS end_location_id
 FROM raw_events LEFT JOIN ({MATCHED_ZONES}) m ON std = {STANDARD_NAME.format('location_text')}
-WHERE name_text <> '' AND {SQL_MULTI_TIME.format('start_text')} <= {SQL_MULTI_TIME.format('end_text')}""")
+WHERE name_text <> '' AND {SQL_MULTI_TIME.format('start_text')} <= {SQL_MULTI_TIME.format('end_text')}"""
+
+
+@query("c07_clean_events_multiformat", CLEAN_EVENTS)
 def c07(v: Views) -> DataFrame:
     return C.clean_events_multiformat(event_rows(v), lookups.load_zones(v["raw_zone_lookup"]))
 
