@@ -2,7 +2,7 @@
 
 Texts with the same set of shingles are one node, so copies cost one comparison however many there are. Nodes
 that share a band are first compared with one of them only, its hub; what links is joined, and only nodes of
-a band that are still apart are compared with each other, in blocks, on their signatures. Every candidate
+a band that are still apart are compared with each other, in blocks, on signatures and short hashes. Every candidate
 is confirmed on the full shingle sets. So no group is spelled out as pairs, and no link between different
 components is lost (but for pairs that share no band: with 40 bands of 5 minima about 2 in 100,000 at a
 similarity of 0.75, fewer above).
@@ -79,7 +79,7 @@ _FEATURES = "doc_id bigint, text_hash bigint, node bigint, n bigint, signature b
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """One row per document: its node (null without words), set size, signature and band keys."""
+    """One row per document: its node (null without words), set size, signature (a byte of each minimum) and band keys."""
     def make():
         shingles, (a, b) = Shingles(), _functions()
         salts = np.arange(BANDS, dtype=np.uint64)
@@ -95,7 +95,7 @@ def features(docs: DataFrame) -> DataFrame:
                     keys = (keys ^ parts[:, i]) * _P
                     keys ^= keys >> np.uint64(31)
             node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
-            return node, len(s), sig.tobytes(), keys.view(np.int64)
+            return node, len(s), sig.astype(np.uint8).tobytes(), keys.view(np.int64)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [one(t) for t in batch["text"].to_pylist()]
@@ -143,15 +143,34 @@ def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.select("u", "v", "text").mapInArrow(run, "u bigint, v bigint")
 
 
-def _still_apart(members: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs of nodes of one band in different components whose signatures look alike."""
+def _short_sets(texts: DataFrame) -> DataFrame:
+    """(node, set): shingle sets with hashes of 32 bits, enough to tell which pairs are worth a full check."""
+    def make():
+        shingles = Shingles()
+
+        def short(text: str | None) -> bytes:
+            return (shingles.of(text) >> np.uint64(32)).astype(np.uint32).tobytes()
+
+        return lambda b: pa.record_batch({"node": b["node"], "set": pa.array([short(t) for t in b["text"].to_pylist()], pa.binary())})
+
+    return texts.select("node", "text").mapInArrow(per_batch(make), "node bigint, set binary")
+
+
+def _still_apart(members: DataFrame, labels: DataFrame, texts: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs of nodes of one band in different components whose signatures and sets, by short hashes, are alike.
+
+    Nodes of a band are compared block by block within tasks, first on signatures, then on short sets, and only
+    pairs that are alike leave a task. Both limits are lower than the one of the full check that follows.
+    """
     known = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low != high")
     open_keys = open_keys.select(F.col("key").alias("open"), F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
     rows = salted_join(known, open_keys, lambda a, b: a["key"] == b["open"], F.col("node"), "inner")
-    rows = materialize(rows.select("key", "node", "n", "root", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)").alias("block")), "apart")
+    rows = materialize(rows.select("key", "node", "root", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)").alias("block")), "apart")
+    sets = _short_sets(texts.join(rows.select("node").distinct(), "node", "left_semi"))
     one = signed.join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    cells = rows.join(one, "node").groupBy("key", "block").agg(F.collect_list(F.struct("node", "n", "root", "signature")).alias("cell"))
+    filled = rows.join(sets.join(one, "node"), "node")
+    cells = filled.groupBy("key", "block").agg(F.collect_list(F.struct("node", "root", "signature", "set")).alias("cell"))
     other = cells.select(F.col("key").alias("key_"), F.col("block").alias("block_"), F.col("cell").alias("cell_"))
     met = cells.join(other, (F.col("key") == F.col("key_")) & (F.col("block") <= F.col("block_"))).select("cell", "cell_")
 
@@ -159,10 +178,16 @@ def _still_apart(members: DataFrame, labels: DataFrame, signed: DataFrame) -> Da
         for batch in batches:
             us, vs = [], []
             for a, b in zip(batch["cell"], batch["cell_"], strict=True):
-                (ida, na, ra, sa), (idb, nb, rb, sb) = _columns(a.as_py()), _columns(b.as_py())
-                ok = (ra[:, None] != rb) & (100 * np.minimum(na[:, None], nb) >= SHARE * np.maximum(na[:, None], nb))
-                for i, j in zip(*np.nonzero(ok), strict=True):
-                    if np.mean(sa[i] == sb[j]) >= SHARE / 100 - _SLACK:
+                (ida, ra, ga, sa), (idb, rb, gb, sb) = _columns(a.as_py()), _columns(b.as_py())
+                near = (ga[:, None, :] == gb[None, :, :]).mean(2) >= SHARE / 100 - _SLACK
+                sizes = np.array([len(x) for x in sb])
+                flat, owner = np.concatenate(sb), np.repeat(np.arange(len(sb)), sizes)
+                for i, own in enumerate(sa):
+                    far = near[i] & (rb != ra[i]) & (100 * np.minimum(sizes, len(own)) >= (SHARE - 1) * np.maximum(sizes, len(own)))
+                    if not far.any():
+                        continue
+                    both = np.bincount(owner[np.isin(flat, own)], minlength=len(sb))
+                    for j in np.flatnonzero(far & (100 * both >= (SHARE - 1) * (sizes + len(own) - both))):
                         us.append(min(ida[i], idb[j]))
                         vs.append(max(ida[i], idb[j]))
             yield pa.record_batch({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
@@ -170,8 +195,9 @@ def _still_apart(members: DataFrame, labels: DataFrame, signed: DataFrame) -> Da
     return met.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
-def _columns(cell: list[dict]) -> tuple[np.ndarray, ...]:
-    return (*(np.array([c[k] for c in cell], np.int64) for k in ("node", "n", "root")), np.array([np.frombuffer(c["signature"], np.uint32) for c in cell]))
+def _columns(cell: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    ids, roots = (np.array([c[k] for c in cell], np.int64) for k in ("node", "root"))
+    return ids, roots, np.array([np.frombuffer(c["signature"], np.uint8) for c in cell]), [np.frombuffer(c["set"], np.uint32) for c in cell]
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -193,7 +219,7 @@ def link(docs: DataFrame) -> DataFrame:
     texts = _texts(docs, nodes, members.select("node").distinct())
     near = members.filter("node != hub").filter(_alike("n", "hub_n")).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(_verified(near, texts), "links")
-    apart = _still_apart(members.select("key", "node", "n"), components(links), nodes.select("node", "signature"))
+    apart = _still_apart(members.select("key", "node"), components(links), texts, nodes.select("node", "signature"))
     more = materialize(_verified(apart, texts), "links")
     roots = components(links.union(more))
 
