@@ -43,9 +43,8 @@ def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that differ between the pages' WARC files and a damaged replica of them."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     good, bad = scratch_path(spark, "warc"), scratch_path(spark, "warc")
-    files = warc_fixity.files_for(pages)
-    warc_fixity.write(pages, good, files)
-    warc_fixity.write(warc_fixity.damaged(pages), bad, files)
+    warc_fixity.write(pages, good)
+    warc_fixity.write(warc_fixity.damaged(pages), bad)
     return warc_fixity.compare(spark, good, bad).select("record_id", "status", "length_a", "length_b", "hash_a", "hash_b")
 
 

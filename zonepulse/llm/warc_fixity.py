@@ -23,7 +23,6 @@ FAN = 16
 #: Line end of headers, and what follows a record; fixed by the format.
 CRLF = "\r\n"
 END = CRLF + CRLF
-_PART_BYTES = 24 << 20
 _LEAF = "file int, number bigint, offset bigint, length bigint, record_id string, hash string"
 
 
@@ -42,16 +41,16 @@ def records(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.concat(lines, F.lit(END), body).alias("record"))
 
 
-def files_for(pages: DataFrame) -> int:
-    """Number of WARC files of bounded size that the pages fill."""
-    total = records(pages).agg(F.coalesce(F.sum(F.octet_length("record")), F.lit(0))).first()[0]
-    return int(max(1, -(-total // _PART_BYTES)))
+def write(pages: DataFrame, path: str, files: int | None = None) -> None:
+    """Writes the pages as gzip WARC files, in the order of page_id within a file (nulls first).
 
-
-def write(pages: DataFrame, path: str, files: int) -> None:
-    """Writes the pages as ``files`` gzip WARC files: dealt by a hash of page_id and url, so that every replica has the
-    same layout, and in the order of page_id within a file (nulls first)."""
-    rows = records(pages).repartition(files, "page_id", "url").sortWithinPartitions("page_id", "url", F.octet_length("record"), F.xxhash64("record"))
+    Without ``files`` each task writes what it scans, so nothing is shuffled and replicas of one table have one
+    layout. With ``files`` records are dealt over so many files by a hash of page_id and url.
+    """
+    rows = records(pages)
+    if files is not None:
+        rows = rows.repartition(files, "page_id", "url")
+    rows = rows.sortWithinPartitions("page_id", "url", F.octet_length("record"), F.xxhash64("record"))
     rows.select("record").write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
