@@ -92,3 +92,44 @@ def test_lost_tail_and_unreadable_file(spark, tmp_path):
     warc_fixity.write(pages.limit(0), empty, 1)
     assert warc_fixity.compare(spark, empty, empty).count() == 0
     assert {r.status for r in warc_fixity.compare(spark, a, empty).collect()} == {"missing"}
+
+
+def members(n: int, **other: str) -> list[bytes]:
+    """Records of ``n`` pages as WARC files usually have them, each in a gzip member of its own."""
+    made = []
+    for i in range(n):
+        body = other.get(f"p{i}", f"text of {i}").encode()
+        made.append(gzip.compress(b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(body), body), mtime=0))
+    return made
+
+
+@pytest.mark.parametrize(
+    ("change", "want"),
+    [
+        (lambda m: members(40, p31="other words"), {(31, "changed", "urn:page:31")}),  # behind the first member
+        (lambda m: m[:-1], {(39, "missing", "urn:page:39")}),
+        (lambda m: [*m, b"appended"], {(40, "extra", None)}),
+        (lambda m: [*m, b"\0" * 512], {(40, "extra", None)}),
+        (lambda m: [*m, gzip.compress(b"", mtime=0)], {(40, "extra", None)}),
+        (lambda m: [*m[:-1], m[-1][:-5]], {(40, "extra", None)}),  # only the trailer is cut off
+        (lambda m: [*m[:38], m[38][:-8] + b"\0" * 8, m[39]], {(38, "changed", "urn:page:38"), (39, "missing", "urn:page:39")}),  # a wrong checksum
+    ],
+)
+def test_files_of_many_members(spark, tmp_path, change, want):
+    a, b = tmp_path / "a", tmp_path / "b"
+    for top, name, data in ((a, "CC-0001.warc.gz", members(40)), (b, "CC-0001.warc.gz", change(members(40))), (a, "more/x.warc.gz", members(3)), (b, "more/x.warc.gz", members(3))):
+        (top / name).parent.mkdir(parents=True, exist_ok=True)
+        (top / name).write_bytes(b"".join(data))
+    assert warc_fixity.leaves(spark, str(a)).count() == 43
+    assert {(r.number, r.status, r.record_id) for r in warc_fixity.compare(spark, str(a), str(b)).collect()} == want
+    assert warc_fixity.compare(spark, str(b), str(b)).count() == 0
+
+
+def test_files_of_any_name(spark, tmp_path):
+    a, b = tmp_path / "a", tmp_path / "b"
+    for top, names in ((a, ("one.warc.gz", "two.warc.gz", "x y%20.warc.gz")), (b, ("0.warc.gz", "one.warc.gz", "x y%20.warc.gz"))):
+        top.mkdir()
+        for name in names:
+            (top / name).write_bytes(b"".join(members(2, p0=name)))
+    found = warc_fixity.compare(spark, str(a), str(b)).collect()
+    assert sorted((r.status, r.number) for r in found) == [("extra", 0), ("extra", 1), ("missing", 0), ("missing", 1)]

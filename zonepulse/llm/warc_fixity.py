@@ -5,11 +5,16 @@ that follow each other make a node, whose hash is that of its children's hashes
 nodes make the next level, files are joined the same way, and one root stands for the replica. Two replicas
 with one root are equal. Otherwise only the children of nodes that differ are looked at, level by level, down
 to the records.
+
+A file may be one gzip member or many (usually one for each record); whatever stands in it that is not a whole
+member is a leaf of its own, so no byte of a file goes unseen.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,6 +28,8 @@ FAN = 16
 #: Line end of headers, and what follows a record; fixed by the format.
 CRLF = "\r\n"
 END = CRLF + CRLF
+_PART = re.compile(r"(.*/)?part-(\d+)-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?:-c(\d+))?[^/]*")
+_STEP = 1 << 16  # bytes given to a gzip member at once, which bounds what is copied behind its end
 _LEAF = "file int, number bigint, offset bigint, length bigint, record_id string, hash string"
 
 
@@ -72,24 +79,88 @@ def _parsed(data: bytes) -> Iterator[tuple[int, int, str | None, bytes]]:
         at = stop + len(end) if data.startswith(end, stop) else stop
 
 
-def leaves(spark: SparkSession, path: str) -> DataFrame:
-    """(file, number, offset, length, record_id, hash) of every record under ``path``; one file is held at a time."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    number = F.regexp_extract(F.col("path"), r"part-(\d+)", 1).cast("int").alias("file")
+def _unpacked(content: pa.Buffer | bytes) -> tuple[bytes, bytes]:
+    """The bytes of all gzip members of a file, and what else there is: a mark with the file's own bytes, or nothing.
+
+    What is not gzip, or is damaged, counts as it stands from that member on. A member without its end gives what it can and is
+    marked as well, and so are members without content behind the first.
+    """
+    raw, out, at, hollow = memoryview(content), io.BytesIO(), 0, 0
+    while at < len(raw):
+        start, before, member = at, out.tell(), zlib.decompressobj(31)
+        try:
+            while at < len(raw) and not member.eof:
+                out.write(member.decompress(raw[at : at + _STEP]))
+                at = min(at + _STEP, len(raw))
+        except zlib.error:
+            out.seek(before)
+            out.truncate()
+            return out.getvalue(), b"\0" + raw[start:]
+        at -= len(member.unused_data)
+        if not member.eof:
+            return out.getvalue(), b"\1" + raw[start:]
+        hollow += start > 0 and out.tell() == before
+    return out.getvalue(), b"\2%d" % hollow if hollow else b""
+
+
+def _names(spark: SparkSession, path: str) -> dict[str, str]:
+    """The files under ``path`` and a name for each that its counterpart in another replica has too.
+
+    It is the path below ``path``; names that Spark gave are without what differs from write to write. Of files that would
+    share a name all but the first get a number.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString() + "/"
+    found: dict[str, str] = {}
+    taken: set[str] = set()
+    for full in sorted(r[0] for r in _files(spark, path).select("path").collect()):
+        name = full[len(top) :] if full.startswith(top) else full.rpartition("/")[2]
+        if part := _PART.fullmatch(name):
+            name = f"{part[1] or ''}part-{int(part[2]):010}-c{int(part[3] or 0):03}"
+        again, base = 1, name
+        while name in taken:
+            again += 1
+            name = f"{base}#{again}"
+        taken.add(name)
+        found[full] = name
+    return found
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+
+def _places(names: set[str]) -> dict[str, int]:
+    """A number for every name: that of its part where all are plain part files, else its place in their order."""
+    plain = {n: int(n[5:15]) for n in names if re.fullmatch(r"part-\d{10}-c000", n)}
+    return plain if len(plain) == len(names) else {n: i for i, n in enumerate(sorted(names))}
+
+
+def leaves(spark: SparkSession, path: str, places: dict[str, int] | None = None) -> DataFrame:
+    """(file, number, offset, length, record_id, hash) of every record under ``path``; one file is held at a time.
+
+    Bytes behind the records, and a missing end, are one more row without a record id. ``places`` tells the
+    number of every file, so that two replicas number theirs alike. Files of no bytes count as absent.
+    """
+    if places is None:
+        names = _names(spark, path)
+        numbers = _places(set(names.values()))
+        places = {full: numbers[name] for full, name in names.items()}
+    shared = spark.sparkContext.broadcast(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch["file"].to_pylist(), batch["content"], strict=True):
-                try:
-                    data = zlib.decompressobj(31).decompress(content.as_buffer())
-                except zlib.error:
-                    data = b"\0" + content.as_py()  # unreadable: one record, unlike any other
+            for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                file = shared.value[name]
+                data, rest = _unpacked(content.as_buffer())
                 rows = [(file, i, at, n, who, hashlib.sha256(raw).hexdigest()) for i, (at, n, who, raw) in enumerate(_parsed(data))]
+                if rest:
+                    rows.append((file, len(rows), len(data), len(rest) - 1, None, hashlib.sha256(rest).hexdigest()))
                 columns = list(zip(*rows, strict=True)) or [[]] * 6
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _LEAF.split(", ")])
 
-    return files.select(number, "content").mapInArrow(run, _LEAF)
+    return _files(spark, path).select("path", "content").mapInArrow(run, _LEAF)
 
 
 def _above(nodes: DataFrame, keys: list[str], place: str) -> DataFrame:
@@ -151,7 +222,9 @@ def compare(spark: SparkSession, replica_a: str, replica_b: str) -> DataFrame:
     ``status``: ``changed``, ``missing`` (only in the first) or ``extra`` (only in the second). Equal replicas, two
     empty ones too, give no rows. A record that was lost within a file moves those behind it, which then differ.
     """
-    a, b = materialize(leaves(spark, replica_a), "leaves"), materialize(leaves(spark, replica_b), "leaves")
+    names = [_names(spark, replica) for replica in (replica_a, replica_b)]
+    numbers = _places({n for found in names for n in found.values()})
+    a, b = (materialize(leaves(spark, replica, {full: numbers[n] for full, n in found.items()}), "leaves") for replica, found in zip((replica_a, replica_b), names, strict=True))
     in_a, in_b = tree(a), tree(b)
     high = max(len(in_a), len(in_b))
     in_a, in_b = _padded(in_a, high, ["file"], "number"), _padded(in_b, high, ["file"], "number")
