@@ -4,6 +4,7 @@ import random
 import duckdb
 import pytest
 
+import corpus_pipeline
 from tests.llm.data import docs, prose, rows
 from tests.oracle import differences
 from zonepulse.llm import line_dedup, near_duplicates
@@ -107,3 +108,17 @@ def test_one_open_quarter(spark):
     some = [(i, line.format(w), "en", "s", 0, "", "", "", "") for i, w in enumerate(["house", "senate", "council", "board"])]
     some.append((9, "The committee of the house came together for quite other reasons than those that are given here", "en", "s", 0, "", "", "", ""))
     assert {r.doc_id for r in line_dedup.clean_documents(docs(spark, some)).collect()} == {0, 9}
+
+
+def left_by_pipeline(spark, texts: list[str]) -> dict[int, str]:
+    frame = docs(spark, [(i, t, "en", "s", 0, "", "", "", "") for i, t in enumerate(texts)])
+    return {r.doc_id: r.text for r in corpus_pipeline.lines(spark, frame, "").collect()}
+
+
+def test_short_lines_recur_in_the_pipeline(spark):
+    unspaced = "本页面的全部内容均由用户提供" * 4
+    texts = [f"{prose(9, 70 + i)}\nLes.\n \nAnd  ornd.\nPage {i}\n{unspaced}\n" for i in range(4)]
+    left = left_by_pipeline(spark, [*texts, "rare.\nx", "rare.\ny"])
+    assert left[0] == texts[0] and left[4] == "rare.\nx" and left[5] == "rare.\ny"
+    for i in (1, 2, 3):  # blank lines and other numbers stay
+        assert left[i] == f"{texts[i].split(chr(10))[0]}\n \nPage {i}\n"

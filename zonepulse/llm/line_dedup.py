@@ -27,21 +27,27 @@ _DIGIT = regex.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 
 @dataclass(frozen=True)
 class Tree:
-    """``min_docs``: documents that make a template recur; ``min_tokens``: shorter lines are left alone;
-    ``lead``: leading tokens on the path; ``open_from``: tokens from which a quarter may be open."""
+    """``min_docs``: documents that make a template recur; ``min_tokens``: shorter lines are left alone, unless
+    ``short``: then they recur as they stand, fields with digits too; ``lead``: leading tokens on the path;
+    ``open_from``: tokens from which a quarter may be open."""
 
     min_docs: int = 3
     min_tokens: int = 3
     lead: int = 3
     open_from: int = 12
+    short: bool = False
+
+
+#: Every line that is not blank may recur, however few tokens it has (text without spaces has one token a line).
+WHOLE = Tree(short=True)
 
 
 def templates(line: bytes, tree: Tree) -> list[bytes]:
-    """The templates of a line: its exact one first, then those with one quarter open; none for short lines."""
+    """The templates of a line: its exact one first, then those with one quarter open; short lines have at most one."""
     tokens = _DIGIT.sub(FIELD.encode(), line).split()
     n = len(tokens)
     if n < tree.min_tokens:
-        return []
+        return [b" ".join(line.split())] if n and tree.short else []
     out = [b" ".join(tokens)]
     if n >= tree.open_from:
         rest = n - tree.lead
