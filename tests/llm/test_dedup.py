@@ -122,3 +122,13 @@ def test_short_lines_recur_in_the_pipeline(spark):
     assert left[0] == texts[0] and left[4] == "rare.\nx" and left[5] == "rare.\ny"
     for i in (1, 2, 3):  # blank lines and other numbers stay
         assert left[i] == f"{texts[i].split(chr(10))[0]}\n \nPage {i}\n"
+
+
+def test_passages_of_two_documents_recur_in_the_pipeline(spark):
+    long, unspaced, short = prose(60, 90) + " on 12 May", "本页面的全部内容均由用户提供" * 6, prose(10, 91)
+    table = " ".join(str(n) for n in range(1000, 1030))
+    texts = [f"first\n{long}\n{unspaced}\n{short}\n{table}", f"second\n{long}\n{unspaced}\n{short}\n{table.replace('10', '77')}", f"third\n{prose(60, 92)} on 13 May"]
+    left = left_by_pipeline(spark, texts)
+    assert left[0] == texts[0]
+    assert left[1] == f"second\n{short}\n{table.replace('10', '77')}"  # other numbers are another passage
+    assert left[2] == texts[2]

@@ -29,17 +29,22 @@ _DIGIT = regex.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 class Tree:
     """``min_docs``: documents that make a template recur; ``min_tokens``: shorter lines are left alone, unless
     ``short``: then they recur as they stand, fields with digits too; ``lead``: leading tokens on the path;
-    ``open_from``: tokens from which a quarter may be open."""
+    ``open_from``: tokens from which a quarter may be open. With ``pairs``, a line of ``long_tokens`` tokens, or of
+    ``long_bytes`` where there are few spaces, recurs from two documents on that have it word for word."""
 
     min_docs: int = 3
     min_tokens: int = 3
     lead: int = 3
     open_from: int = 12
     short: bool = False
+    pairs: bool = False
+    long_tokens: int = 20
+    long_bytes: int = 120
 
 
-#: Every line that is not blank may recur, however few tokens it has (text without spaces has one token a line).
-WHOLE = Tree(short=True)
+#: Every line that is not blank may recur, however few tokens it has (text without spaces has one token a line), and
+#: a passage that two documents share does.
+WHOLE = Tree(short=True, pairs=True)
 
 
 def templates(line: bytes, tree: Tree) -> list[bytes]:
@@ -57,31 +62,43 @@ def templates(line: bytes, tree: Tree) -> list[bytes]:
     return out
 
 
+def passage(line: bytes, tree: Tree) -> bytes | None:
+    """What makes a long line recur from two documents on: all its tokens, numbers too; none for other lines."""
+    tokens = line.split() if tree.pairs else []
+    if len(tokens) >= tree.long_tokens or tokens and len(line) >= tree.long_bytes:
+        return b"\n" + b" ".join(tokens)  # unlike any template
+    return None
+
+
 def line_keys(docs: DataFrame, tree: Tree) -> DataFrame:
-    """(row, doc_id, key, at): the template keys of every document's lines and the lines they stand for, each key once."""
+    """(row, doc_id, key, least, at): the keys of every document's lines, from how many documents on they recur, and the
+    lines they stand for, each key once."""
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows, ids, keys, ats = [], [], [], []
+            rows, ids, keys, leasts, ats = [], [], [], [], []
             for row, doc_id, text in zip(batch["row"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                places: dict[int, list[int]] = {}
+                places: dict[tuple[int, int], list[int]] = {}
                 if text:
-                    seen: dict[bytes, list[int]] = {}
+                    seen: dict[bytes, list[tuple[int, int]]] = {}
                     for i, line in enumerate(text.encode("utf-8", "replace").split(b"\n")):
                         if (known := seen.get(line)) is None:
-                            known = seen[line] = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in templates(line, tree)]
+                            known = seen[line] = [(xxhash.xxh3_64_intdigest(t) - (1 << 63), tree.min_docs) for t in templates(line, tree)]
+                            if (whole := passage(line, tree)) is not None:
+                                known.append((xxhash.xxh3_64_intdigest(whole) - (1 << 63), 2))
                         for key in known:
                             places.setdefault(key, []).append(i)
                 rows += [row] * len(places)
                 ids += [doc_id] * len(places)
-                keys += places
+                keys += [key for key, _ in places]
+                leasts += [least for _, least in places]
                 ats += places.values()
             return pa.record_batch({
-                "row": pa.array(rows, pa.int64()), "doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "at": pa.array(ats, pa.list_(pa.int32())),
+                "row": pa.array(rows, pa.int64()), "doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "least": pa.array(leasts, pa.int32()), "at": pa.array(ats, pa.list_(pa.int32())),
             })
 
         return step
 
-    return docs.mapInArrow(per_batch(make), "row bigint, doc_id bigint, key bigint, at array<int>")
+    return docs.mapInArrow(per_batch(make), "row bigint, doc_id bigint, key bigint, least int, at array<int>")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -94,7 +111,7 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     keys = materialize(line_keys(_numbered(docs), tree), "lines")
     # a null id owns lines only where no other document has them
     owner = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("row").alias("r")))
-    recurring = keys.groupBy("key").agg(F.count("*").alias("n_docs"), owner.alias("owner")).filter(F.col("n_docs") >= tree.min_docs)
+    recurring = keys.groupBy("key", "least").agg(F.count("*").alias("n_docs"), owner.alias("owner")).filter(F.col("n_docs") >= F.col("least"))
     recurring = recurring.select(F.col("key").alias("of"), F.col("owner.r").alias("first"))
     hit = salted_join(keys, recurring, lambda a, b: (a["key"] == b["of"]) & (a["row"] != b["first"]), F.col("row"), "inner")
     return hit.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("lines"))
