@@ -132,3 +132,12 @@ def test_passages_of_two_documents_recur_in_the_pipeline(spark):
     assert left[0] == texts[0]
     assert left[1] == f"second\n{short}\n{table.replace('10', '77')}"  # other numbers are another passage
     assert left[2] == texts[2]
+
+
+def test_rows_of_numbers_stay_in_the_pipeline(spark):
+    long = " ".join(["{0}"] * 14)
+    texts = [f"{prose(9, 95 + i)}\n1{i} 2{i} 3{i}\n1{i} | 2{i} | 3{i}\n{long.format(40 + i)}\n7 8 9\nRow 1{i} of 20" for i in range(4)]
+    left = left_by_pipeline(spark, texts)
+    assert left[0] == texts[0]
+    for i in (1, 2, 3):  # the same numbers, and fields beside words, go
+        assert left[i] == "\n".join(texts[i].split("\n")[:4])

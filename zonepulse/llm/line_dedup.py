@@ -22,6 +22,7 @@ from zonepulse.llm.common import named, per_batch, salted_join
 from zonepulse.sources.scratch import materialize
 
 FIELD = "<*>"
+_LETTER = regex.compile(rb"[A-Za-z\x80-\xff]")
 _DIGIT = regex.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 
 
@@ -30,7 +31,8 @@ class Tree:
     """``min_docs``: documents that make a template recur; ``min_tokens``: shorter lines are left alone, unless
     ``short``: then they recur as they stand, fields with digits too; ``lead``: leading tokens on the path;
     ``open_from``: tokens from which a quarter may be open. With ``pairs``, a line of ``long_tokens`` tokens, or of
-    ``long_bytes`` where there are few spaces, recurs from two documents on that have it word for word."""
+    ``long_bytes`` where there are few spaces, recurs from two documents on that have it word for word. With
+    ``constant``, a template needs a letter outside its fields, else lines recur only as they stand."""
 
     min_docs: int = 3
     min_tokens: int = 3
@@ -40,11 +42,12 @@ class Tree:
     pairs: bool = False
     long_tokens: int = 20
     long_bytes: int = 120
+    constant: bool = False
 
 
 #: Every line that is not blank may recur, however few tokens it has (text without spaces has one token a line), and
-#: a passage that two documents share does.
-WHOLE = Tree(short=True, pairs=True)
+#: a passage that two documents share does; rows of numbers are told apart by their numbers.
+WHOLE = Tree(short=True, pairs=True, constant=True)
 
 
 def templates(line: bytes, tree: Tree) -> list[bytes]:
@@ -59,6 +62,8 @@ def templates(line: bytes, tree: Tree) -> list[bytes]:
         for q in range(4):
             a, b = tree.lead + rest * q // 4, tree.lead + rest * (q + 1) // 4
             out.append(b" ".join(tokens[:a] + [b"<%d>" % (b - a)] + tokens[b:]))
+    if tree.constant:
+        out = [t if _LETTER.search(t) else b" ".join(line.split()) for t in out[:1]] + [t for t in out[1:] if _LETTER.search(t)]
     return out
 
 
