@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, line_dedup, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, warc_fixity
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, merkle_manifest, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, warc_fixity
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verdict of every document under one root."""
+    return merkle_manifest.proofs(merkle_manifest.manifest(table(spark, sf_dir, "documents")))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -86,9 +91,11 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
     "op4_line_dedup": line_dedup.oracle_sql(),
     "op5_warc_fixity": warc_fixity.oracle_sql(),
+    "op13_merkle_manifest": merkle_manifest.oracle_sql(),
 }
