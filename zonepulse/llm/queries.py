@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, line_dedup, merkle_manifest, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, warc_fixity
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, merkle_manifest, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, token_alignment, warc_fixity
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,12 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups of every whole text under two tokenizers, and how usual their links are in the corpus."""
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), digest=True)
+    return token_alignment.corpus_links(aligned).withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and verdict of every document under one root."""
     return merkle_manifest.proofs(merkle_manifest.manifest(table(spark, sf_dir, "documents")))
@@ -91,6 +97,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 LLM_SQL: dict[str, str] = {

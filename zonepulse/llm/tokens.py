@@ -27,6 +27,11 @@ _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
+def byte_values() -> dict[str, int]:
+    """The byte that each visible character of a byte-level vocabulary stands for."""
+    return {**{chr(b): b for b in _VISIBLE}, **{c: b for b, c in _BYTES.items()}}
+
+
 def vocabulary(name: str) -> str:
     """Default path of a public vocabulary file; every operator takes the path as a parameter."""
     import public_tokenizers
