@@ -19,7 +19,7 @@ def sets(texts):
     return out
 
 
-def brute(found: list[tuple]) -> collections.Counter:
+def brute(found: list[tuple], share: int = 75) -> collections.Counter:
     """(doc_id, n_shingles, component_id) by comparing everything with everything."""
     s, up = sets([t for _, t in found]), list(range(len(found)))
 
@@ -31,7 +31,7 @@ def brute(found: list[tuple]) -> collections.Counter:
     for i in range(len(found)):
         for j in range(i):
             both = len(s[i] & s[j])
-            if s[i] and s[j] and 100 * both >= 75 * (len(s[i]) + len(s[j]) - both):
+            if s[i] and s[j] and 100 * both >= share * (len(s[i]) + len(s[j]) - both):
                 up[root(i)] = root(j)
     ids = collections.defaultdict(list)
     for i, (d, _) in enumerate(found):

@@ -116,8 +116,8 @@ def _alike(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {SHARE} * greatest({a}, {b})"
 
 
-def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (u, v) whose full shingle sets are alike. Rows of a hub u stream past its set; none are collected."""
+def verified(candidates: DataFrame, texts: DataFrame, share: int = SHARE) -> DataFrame:
+    """The (u, v) with 100 * intersection >= share * union of their full shingle sets. Rows of a hub u stream past its set; none are collected."""
     pairs = candidates.select("u", "v", F.pmod(F.xxhash64("v"), F.lit(_CHUNKS)).cast("int").alias("chunk"))
     hub, member = texts.select(F.col("node").alias("u"), "text"), texts.select(F.col("node").alias("v"), "text")
     heads = pairs.select("u", "chunk").distinct().join(hub, "u").select("u", "chunk", F.lit(None).cast("bigint").alias("v"), "text")
@@ -132,9 +132,10 @@ def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
                 if v is None:
                     current, own = u, other
                     continue
-                assert u == current
+                if u != current:
+                    raise RuntimeError(f"node {u} is not before its pairs")
                 both = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * both >= SHARE * (len(own) + len(other) - both):
+                if 100 * both >= share * (len(own) + len(other) - both):
                     us.append(u)
                     vs.append(v)
             yield pa.record_batch({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
@@ -216,13 +217,21 @@ def link(docs: DataFrame) -> DataFrame:
     met = met.select(F.col("key").alias("of"), "size")
     members = salted_join(rows, met, lambda a, b: a["key"] == b["of"], F.col("node"), "inner")
     members = materialize(_with_hubs(members.select("key", "node", "n", "size").distinct()), "bands")
-    texts = _texts(docs, nodes, members.select("node").distinct())
+    texts = texts_of(docs, nodes, members.select("node").distinct())
     near = members.filter("node != hub").filter(_alike("n", "hub_n")).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    links = materialize(_verified(near, texts), "links")
+    links = materialize(verified(near, texts), "links")
     apart = _still_apart(members.select("key", "node"), components(links), texts, nodes.select("node", "signature"))
-    more = materialize(_verified(apart, texts), "links")
-    roots = components(links.union(more))
+    more = materialize(verified(apart, texts), "links")
+    out = labelled(known, components(links.union(more)))
+    return out.withColumn("kept", F.col("doc_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
 
+
+def labelled(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles and component_id of every row of ``known`` (doc_id, text_hash, node, n).
+
+    ``roots`` (node, root) holds the nodes that are linked with another one.
+    """
+    nodes = known.filter(F.col("node").isNotNull())
     first = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     rooted = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ends = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -230,10 +239,7 @@ def link(docs: DataFrame) -> DataFrame:
     table = table.select(F.col("node").alias("of"), "component_id")
     out = salted_join(known.select("doc_id", "text_hash", "node", "n"), table, lambda a, b: a["node"] == b["of"], F.struct("doc_id", "text_hash"), "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"),
-        (F.col("doc_id").isNull() | F.col("doc_id").eqNullSafe(own)).alias("kept"),
-    )
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def _with_hubs(members: DataFrame) -> DataFrame:
@@ -248,7 +254,7 @@ def _with_hubs(members: DataFrame) -> DataFrame:
     return salted_join(members, hubs, lambda a, b: a["key"] == b["of"], F.col("node"), "inner").select("key", "node", "n", "hub", "hub_n")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes, one row each, written once for both rounds of checks."""
     first = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at")).join(wanted, "node", "left_semi")
     first = first.select("node", F.col("at.doc_id").alias("id"), F.col("at.text_hash").alias("hash"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import bpe_transducer, language_id, line_dedup, merkle_manifest, near_duplicates, nearest, orc_tokens, packing, quality_model, quality_rules, token_alignment, warc_fixity
+from zonepulse.llm import bpe_transducer, language_id, line_dedup, merkle_manifest, near_duplicates, nearest, ngram_join, orc_tokens, packing, quality_model, quality_rules, token_alignment, warc_fixity
 from zonepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of a Jaccard similarity of 0.8."""
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token groups of every whole text under two tokenizers, and how usual their links are in the corpus."""
     aligned = token_alignment.align(table(spark, sf_dir, "documents"), digest=True)
@@ -97,6 +102,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_language_id": op9_language_id,
     "op10_bpe_transducer": op10_bpe_transducer,
+    "op11_ngram_join": op11_ngram_join,
     "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -104,5 +110,6 @@ LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
     "op4_line_dedup": line_dedup.oracle_sql(),
     "op5_warc_fixity": warc_fixity.oracle_sql(),
+    "op11_ngram_join": ngram_join.oracle_sql(),
     "op13_merkle_manifest": merkle_manifest.oracle_sql(),
 }
