@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from zonepulse.functions.plan import spread
 from zonepulse.functions.timeparts import DAY_SECONDS, days, epoch_day, hours, minutes, second_of_day
 from zonepulse.operators.windows import (
-    SECOND_BLOCKS,
     all_movements,
-    movements,
-    timeline_sums,
+    equal_window_sums,
+    timed_window_sums,
     weight_columns,
-    window_sums,
 )
 from zonepulse.schemas import CITIBIKE, SUBWAY, TAXI, Mode
-from zonepulse.sources.scratch import is_small, materialize
+from zonepulse.sources.scratch import broadcast_if_small, is_small, materialize
 
 WINDOW_MINUTES = 90
 EVENT_KEYS = ["event_id", "event_name", "event_type", "zone_id"]
@@ -43,10 +41,49 @@ def _spread_windows(windows: DataFrame, baseline_days: int) -> DataFrame:
     return windows.select("*", spread(["direction", "k", "t_lo", "t_hi"], *rows))
 
 
-def _joined_sums(spread: DataFrame, sums: DataFrame) -> DataFrame:
-    """Window sums put back on the events. Distinct windows are summed once, so many events that share
-    a window only repeat here; AQE splits the partition of such a window."""
-    return spread.join(sums, ["direction", "zone_id", "t_lo", "t_hi"], "left")
+def _window_totals(
+    windows: DataFrame, tables: dict[Mode, DataFrame], weights: dict[str, Column], longest_trip_days: int | None = None
+) -> DataFrame:
+    """Rows of ``windows`` with the weights of each mode, and one row more per window without any.
+
+    All modes go through one pass; each table is scanned once, within the time that the windows span.
+    """
+    windows = materialize(windows, "windows")
+    tables = within(tables, windows, longest_trip_days)
+    names = [m.name for m in tables]
+    sums = timed_window_sums(all_movements(tables, weights), windows, names, WINDOW_MINUTES)
+    return sums.unionByName(windows, allowMissingColumns=True)
+
+
+def within(tables: dict[Mode, DataFrame], windows: DataFrame, longest_trip_days: int | None = None) -> dict[Mode, DataFrame]:
+    """The trips that may lie in a window, by bounds on their times that the scan can use.
+
+    Year and month of a partitioned table are joined with those of the windows, which prunes its folders. A table with two
+    times is partitioned by the departure; its folders are pruned if ``longest_trip_days`` says how
+    long before its arrival a trip may have begun.
+    """
+    bounds = windows.groupBy("direction").agg(F.min("t_lo").alias("lo"), F.max("t_hi").alias("hi")).collect()  # two rows
+    spans = {r.direction: (r.lo, r.hi) for r in bounds if r.lo is not None}
+    out = {}
+    for mode, trips in tables.items():
+        near = F.lit(False)
+        for way, (lo, hi) in spans.items():
+            t = F.col(mode.end_time if way == "in" else mode.start_time)
+            near = near | ((t >= F.lit(str(lo)).cast("timestamp_ntz")) & (t < F.lit(str(hi)).cast("timestamp_ntz")))
+        out[mode] = trips.filter(near)
+        one_time = mode.start_time == mode.end_time == mode.day_time
+        if {"year", "month"} <= set(trips.columns) and (one_time or longest_trip_days is not None):
+            months = _months(windows, 0 if one_time else longest_trip_days)
+            out[mode] = out[mode].join(F.broadcast(months), ["year", "month"], "left_semi")  # bounded by the calendar
+    return out
+
+
+def _months(windows: DataFrame, days_before: int) -> DataFrame:
+    """(year, month) of all windows, and of the days before them."""
+    first, last = F.to_date(F.col("t_lo") - days(days_before)), F.to_date("t_hi")
+    each = windows.dropna(subset=["t_lo"]).select(F.explode(F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL '1' MONTH"))).alias("d"))
+    months = materialize(each.select(F.year("d").alias("year"), F.month("d").alias("month")).distinct(), "months")
+    return months.filter(F.col("month").between(1, 12))  # a condition, so that Spark takes it for a list to prune by
 
 
 def _sum_of(column: str, direction: str, k: Column, kind: str) -> Column:
@@ -62,8 +99,7 @@ def event_actual(
     Modes are summed on their own, so the rows of one mode do not multiply those of another.
     """
     tables = {TAXI: taxi, SUBWAY: subway, CITIBIKE: citibike}
-    spread = _spread_windows(event_windows(events), 0)
-    sums = timeline_sums(all_movements(tables), spread, [m.name for m in tables])
+    totals = _window_totals(_spread_windows(event_windows(events), 0), tables, {})
     every = F.lit(True)
     out = []
     for m in tables:
@@ -71,7 +107,7 @@ def event_actual(
             _sum_of(m.name, "in", every, m.weight_type).alias(f"{m.name}_inbound_pre"),
             _sum_of(m.name, "out", every, m.weight_type).alias(f"{m.name}_outbound_post"),
         ]
-    return _joined_sums(spread, sums).groupBy(*EVENT_KEYS).agg(*out)
+    return totals.groupBy(*EVENT_KEYS).agg(*out)
 
 
 def event_exclude_dates(events: DataFrame) -> DataFrame:
@@ -129,19 +165,14 @@ def _clock_ticks(pairs: DataFrame, directional: bool, *extra: Column | str, with
     return pairs.select("zone_id", *extra, kept)
 
 
+_CLOCK_SECONDS = WINDOW_MINUTES * 60 + 1
+
+
 def _clock_windows(events: DataFrame) -> DataFrame:
-    """Pre and post window of each event as seconds of the day; closed, and may run past midnight."""
+    """Pre and post window of each event as seconds of the day; closed, _CLOCK_SECONDS long, and may run past midnight."""
     w = event_windows(events).filter(F.col("zone_id").isNotNull())
-    length = WINDOW_MINUTES * 60
     pre, post = second_of_day(F.col("pre_start_time")), second_of_day(F.col("end_time"))
-    return w.select(
-        "event_id", "zone_id",
-        spread(
-            ["direction", "lo", "hi"],
-            [F.lit("in"), pre, pre + length + 1],
-            [F.lit("out"), post, post + length + 1],
-        ),
-    )
+    return w.select("event_id", "zone_id", spread(["direction", "lo"], [F.lit("in"), pre], [F.lit("out"), post]))
 
 
 def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional: bool = False) -> DataFrame:
@@ -151,14 +182,15 @@ def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional:
     row per event and day by nature; ``baseline_average`` gets to the averages without it.
     """
     pairs = _eligible_trips(trips, mode, *_zones_and_dates(events))
-    windows = _clock_windows(events)
-    dates = pairs.select("zone_id", "baseline_date").distinct()
-    dated = windows.select("zone_id", "direction", "lo", "hi").distinct().join(dates, "zone_id")
-    ticks = _clock_ticks(pairs, directional, "baseline_date", "w")
-    keys = ["zone_id", "direction", "baseline_date"]
-    sums = window_sums(ticks, dated, keys, ["w"], SECOND_BLOCKS, DAY_SECONDS)
-    joined = windows.join(sums, ["zone_id", "direction", "lo", "hi"])
-    return joined.groupBy("event_id", "baseline_date").agg(
+    ticks = _clock_ticks(pairs, directional, "baseline_date", "w", with_days=True)
+    keys = ["zone_id", "direction"]
+    clock = materialize(ticks.groupBy(*keys, "baseline_date", "pos").agg(F.sum("w").alias("w")), "clock")
+    dates = clock.filter(F.col("direction") == "day").select("zone_id", "baseline_date")
+    windows = _clock_windows(events).filter(F.col("lo").isNotNull())
+    sums = equal_window_sums(clock.filter(F.col("direction") != "day"), windows, keys, ["w"], _CLOCK_SECONDS, DAY_SECONDS, ["baseline_date"])
+    every = events.select("event_id", F.col("start_location_id").alias("zone_id")).distinct().join(broadcast_if_small(dates), "zone_id")
+    parts = sums.select("event_id", "baseline_date", "direction", "w").unionByName(every.select("event_id", "baseline_date"), allowMissingColumns=True)
+    return parts.groupBy("event_id", "baseline_date").agg(
         *[_sum_of("w", d, F.lit(True), mode.weight_type).alias(f"baseline_{name}")
           for d, name in (("in", "inbound"), ("out", "outbound"))]
     )
@@ -203,16 +235,16 @@ def baseline_average(
         "clock",
     )
     is_day = F.col("direction") == "day"
-    sums = window_sums(clock.filter(~is_day), windows, keys, names, SECOND_BLOCKS, DAY_SECONDS)
-    totals = windows.join(sums, [*keys, "lo", "hi"]).groupBy("event_id").agg(
+    sums = equal_window_sums(clock.filter(~is_day), windows, keys, names, _CLOCK_SECONDS, DAY_SECONDS)
+    totals = sums.groupBy("event_id").agg(
         *[F.sum(F.when(F.col("direction") == d, F.col(n))).alias(f"{n}_{d}") for n in names for d in ("in", "out")]
     )
     counts = _days_per_event(events, clock.filter(is_day), names)
     mean = [
-        F.try_divide(F.col(f"{n}_{d}").cast("double"), F.col(f"{n}_days")).alias(f"baseline_{n}_{name}")
+        F.try_divide(F.coalesce(F.col(f"{n}_{d}"), F.lit(0)).cast("double"), F.col(f"{n}_days")).alias(f"baseline_{n}_{name}")
         for n in names for d, name in (("in", "inbound"), ("out", "outbound"))
     ]
-    return totals.join(counts, "event_id").select("event_id", *mean)
+    return counts.join(totals, "event_id", "left").select("event_id", *mean)
 
 
 def event_impact(
@@ -276,54 +308,62 @@ def sample_midweek_events(
 _COUNTED = {"citibike"}
 
 
-def sampled_impact(
-    events: DataFrame, trips: DataFrame, mode: Mode, baseline_days: int = 3, year: int | None = 2024,
+def sampled_impacts(
+    events: DataFrame, tables: dict[Mode, DataFrame], baseline_days: int = 3, year: int | None = 2024, longest_trip_days: int | None = None,
 ) -> DataFrame:
-    """Actual traffic and the mean of the same windows on the days before (arrivals) or after (departures).
+    """Actual traffic and the mean of the same windows on the days before (arrivals) or after (departures), all modes in one pass.
 
-    Taxi sums passengers, subway sums ridership, bikes count rides. With few events the list of touched
-    (zone, hour) buckets is broadcast into the scan stage, so other trips are dropped before any shuffle.
+    Taxi sums passengers, subway sums ridership, bikes count rides. See ``within`` for ``longest_trip_days``.
     """
-    if year is not None:
-        t = F.col(mode.period_time)
-        trips = trips.filter((t >= _year_start(year)) & (t < _year_start(year + 1)))
-        if mode.period_time == mode.day_time and "year" in trips.columns:
-            trips = trips.filter(F.col("year") == year)
-    weight = F.lit(1) if mode.name in _COUNTED else None
-    keys = [*EVENT_KEYS, "start_time", "end_time"]
-    spread = _spread_windows(event_windows(events), baseline_days)
-    sums = timeline_sums(movements(trips, mode, weight), spread, [mode.name])
+    kept = {}
+    for mode, trips in tables.items():
+        if year is not None:
+            t = F.col(mode.period_time)
+            trips = trips.filter((t >= _year_start(year)) & (t < _year_start(year + 1)))
+            if mode.period_time == mode.day_time and "year" in trips.columns:
+                trips = trips.filter(F.col("year") == year)
+        kept[mode] = trips
+    totals = _window_totals(_spread_windows(event_windows(events), baseline_days), kept, {n: F.lit(1) for n in _COUNTED}, longest_trip_days)
     actual, before = F.col("k") == 0, F.col("k") > 0
-    n = mode.name
+    out = []
+    for m in tables:
+        n, kind = m.name, m.weight_type
+        out += [_sum_of(n, "in", actual, kind).alias(f"{n}_inbound_pre"), _sum_of(n, "out", actual, kind).alias(f"{n}_outbound_post")]
+        out += [(_sum_of(n, d, before, kind).cast("double") / float(baseline_days)).alias(f"avg_{n}_{side}_baseline")
+                for d, side in (("in", "inbound"), ("out", "outbound"))]
+    return totals.groupBy(*EVENT_KEYS, "start_time", "end_time").agg(*out)
 
-    def mean(direction: str) -> Column:
-        return _sum_of(n, direction, before, mode.weight_type).cast("double") / float(baseline_days)
 
-    return _joined_sums(spread, sums).groupBy(*keys).agg(
-        _sum_of(n, "in", actual, mode.weight_type).alias(f"{n}_inbound_pre"),
-        _sum_of(n, "out", actual, mode.weight_type).alias(f"{n}_outbound_post"),
-        mean("in").alias(f"avg_{n}_inbound_baseline"),
-        mean("out").alias(f"avg_{n}_outbound_baseline"),
-    )
+def sampled_impact(
+    events: DataFrame, trips: DataFrame, mode: Mode, baseline_days: int = 3, year: int | None = 2024, longest_trip_days: int | None = None,
+) -> DataFrame:
+    """``sampled_impacts`` of one mode."""
+    return sampled_impacts(events, {mode: trips}, baseline_days, year, longest_trip_days)
+
+
+def _measures(name: str) -> list[str]:
+    return [f"{name}_inbound_pre", f"{name}_outbound_post", f"avg_{name}_inbound_baseline", f"avg_{name}_outbound_baseline"]
+
+
+_SUMMED = [TAXI.name, SUBWAY.name, CITIBIKE.name]
 
 
 def event_transit_summary(taxi: DataFrame, subway: DataFrame, citibike: DataFrame) -> DataFrame:
     """The three sampled results side by side with totals and deltas, ordered by event id."""
-    tables = {"taxi": taxi, "subway": subway, "citibike": citibike}
-    measures = {
-        name: [f"{name}_inbound_pre", f"{name}_outbound_post",
-               f"avg_{name}_inbound_baseline", f"avg_{name}_outbound_baseline"]
-        for name in tables
-    }
-    joined = tables["taxi"]
-    for name in ("subway", "citibike"):
-        joined = joined.join(tables[name].select("event_id", *measures[name]), "event_id", "left")
-    filled = {c: F.coalesce(F.col(c), F.lit(0)) for columns in measures.values() for c in columns}
+    joined = taxi
+    for name, other in (("subway", subway), ("citibike", citibike)):
+        joined = joined.join(other.select("event_id", *_measures(name)), "event_id", "left")
+    return summarize(joined)
+
+
+def summarize(sampled: DataFrame) -> DataFrame:
+    """Totals over the modes and deltas of ``sampled_impacts``, ordered by event id; a missing measure counts as 0."""
+    filled = {c: F.coalesce(F.col(c), F.lit(0)) for name in _SUMMED for c in _measures(name)}
 
     def over_modes(i: int) -> Column:
-        return reduce(Column.__add__, [filled[columns[i]] for columns in measures.values()])
+        return reduce(Column.__add__, [filled[_measures(name)[i]] for name in _SUMMED])
 
-    return joined.select(
+    return sampled.select(
         *EVENT_KEYS, "start_time", "end_time",
         *[c.alias(n) for n, c in filled.items()],
         over_modes(0).alias("total_inbound_pre"),

@@ -1,10 +1,17 @@
 """Sums of weights inside many time windows, without pairing movements with windows.
 
-Time is cut into aligned blocks of several sizes, each a multiple of the one before. A window is a few dozen
+Windows of one length: time is cut into blocks of that length, so every window is the end of one block and the
+beginning of the next. Running sums of each block, from its beginning and from its end, are taken once, and
+every border of a window looks up the one that it falls on. Two numbers are added for a window, however many
+movements it holds.
+
+Windows of any lengths (``window_sums``): time is cut into aligned blocks of several sizes, each a multiple of the one before. A window is a few dozen
 blocks; a movement lies in one block of each size. Movements are added up per block and windows add up their
-blocks, so both meet on equal keys, nothing is subtracted, and a sum holds only what is inside its window:
-a NaN or a huge weight elsewhere cannot touch it. Only blocks that some window needs are built. The
-cost is that of movements plus windows, however many windows overlap, and a busy zone is spread over time.
+blocks, so both meet on equal keys, and only blocks that some window needs are built.
+
+Both ways nothing is subtracted, and a sum holds only what is inside its window: a NaN or a huge weight
+elsewhere cannot touch it. The cost is that of movements plus windows, however many windows overlap, and a busy
+zone is spread over time.
 """
 
 from __future__ import annotations
@@ -12,12 +19,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions.plan import evaluate_once, spread
 from zonepulse.functions.timeparts import epoch_micro
 from zonepulse.schemas import MODES, Mode
+from zonepulse.sources.scratch import broadcast_if_small
 
 #: Block sizes for positions in seconds and in microseconds, up to about an hour.
 SECOND_BLOCKS = (1, 16, 256, 4096)
@@ -105,6 +113,106 @@ def _sum_type(kind: str) -> str:
     return "double" if kind in ("double", "float") else "bigint" if kind in ("int", "bigint", "smallint", "tinyint") else kind
 
 
+# -- windows of one length
+
+_CELLS = 16  # look-ups of a block are dealt over so many keys
+_SECOND = 1_000_000
+
+
+def _start_of(pos: Column, length: int) -> Column:
+    return pos - F.pmod(pos, F.lit(length).cast("bigint"))
+
+
+def window_borders(windows: DataFrame, length: int, period: int | None = None) -> DataFrame:
+    """``windows`` with one row for each border to look up: ``kind``, ``at`` and ``block``.
+
+    The window [lo, lo + length) is the end of lo's block from ``lo`` on, and the next block up to ``lo + length``.
+    With ``period`` positions lie in [0, period), the last block may be shorter, and a window that runs over the
+    end of the period goes on at 0.
+    """
+    lo, end = F.col("lo"), F.col("lo") + length
+    own = _start_of(lo, length)
+    after = own + length
+    rows, when = [[F.lit("end"), lo, own]], [None]
+    if period is None:
+        rows.append([F.lit("begin"), end, after])
+        when.append(end > after)
+    else:
+        last = F.lit(period).cast("bigint")
+        rows += [[F.lit("begin"), F.least(end, last), after], [F.lit("begin"), end - last, F.lit(0).cast("bigint")]]
+        when += [F.least(end, last) > after, end > last]
+    return windows.select("*", spread(["kind", "at", "block"], *rows, when=when))
+
+
+def _running_sums(ticks: DataFrame, groups: list[str], weights: list[str], length: int, period: int | None) -> DataFrame:
+    """For each tick two rows: the borders ``since``..``until`` whose sum it completes, and that sum.
+
+    ``kind`` 'end': all from the tick to the end of its block; 'begin': all from the beginning of the block to the tick.
+    Ticks of one position are added up first, so a block has at most as many rows as positions.
+    """
+    at_once = ticks.groupBy(*groups, "pos").agg(*[F.sum(w).alias(w) for w in weights]).withColumn("block", _start_of(F.col("pos"), length))
+    block = Window.partitionBy(*groups, "block")
+    up, down = block.orderBy("pos"), block.orderBy(F.desc("pos"))
+    until_now = (Window.unboundedPreceding, Window.currentRow)
+    edge = F.col("block") + length if period is None else F.least(F.col("block") + length, F.lit(period).cast("bigint"))
+    known = at_once.select(
+        *groups, "pos", "block",
+        F.coalesce(F.lag("pos").over(up) + 1, F.col("block")).alias("since"), F.coalesce(F.lead("pos").over(up), edge).alias("until"),
+        *[F.sum(w).over(up.rowsBetween(*until_now)).alias(f"begin_{w}") for w in weights],
+        *[F.sum(w).over(down.rowsBetween(*until_now)).alias(f"end_{w}") for w in weights],
+    )
+    return known.select(*groups, spread(
+        ["kind", "since", "until", *weights],
+        [F.lit("end"), F.col("since"), F.col("pos"), *[F.col(f"end_{w}") for w in weights]],
+        [F.lit("begin"), F.col("pos") + 1, F.col("until"), *[F.col(f"begin_{w}") for w in weights]],
+    ))
+
+
+def equal_window_sums(
+    ticks: DataFrame, windows: DataFrame, keys: Sequence[str], weights: Sequence[str], length: int,
+    period: int | None = None, by: Sequence[str] = (),
+) -> DataFrame:
+    """Sums of ticks with ``lo <= pos < lo + length`` in parts: rows of ``windows`` with ``by`` and weights.
+
+    ``ticks``: keys, ``by``, bigint ``pos``, weights. ``windows``: keys, bigint ``lo`` and any other columns; rows may
+    repeat, each gets its own result. A window's sum over each value of ``by`` is the sum of its rows, at
+    most three; where there is no tick there is no row.
+    """
+    return _looked_up(_running_sums(ticks, [*keys, *by], list(weights), length, period), window_borders(windows, length, period), list(keys), list(weights), list(by), length)
+
+
+def _looked_up(runs: DataFrame, borders: DataFrame, keys: list[str], weights: list[str], by: list[str], length: int) -> DataFrame:
+    size = max(1, length // _CELLS)
+    cells = F.sequence(F.expr(f"since div {size}"), F.expr(f"until div {size}"))
+    asked = broadcast_if_small(borders.drop("block").withColumn("cell", F.expr(f"at div {size}")))
+    met = runs.withColumn("cell", F.explode(cells)).join(asked, [*keys, "kind", "cell"])
+    return met.filter("at BETWEEN since AND until").select(*[c for c in borders.columns if c not in ("kind", "at", "block")], *by, *weights)
+
+
+def timed_window_sums(moves: DataFrame, windows: DataFrame, weights: Sequence[str], minutes: int) -> DataFrame:
+    """Weights of the movements with ``t_lo <= t < t_lo + minutes``, in parts: rows of ``windows`` with weights.
+
+    Positions are microseconds. Movements outside the blocks of all windows go before any shuffle if the list of
+    blocks is small, else by a join on (direction, zone, block). The others are added up by whole
+    seconds, but for seconds inside which a window begins or ends.
+    """
+    keys, length = ["direction", "zone_id"], minutes * 60 * _SECOND
+    spans = windows.withColumn("lo", epoch_micro(F.col("t_lo"))).filter(F.col("lo").isNotNull() & F.col("zone_id").isNotNull())
+    borders = window_borders(spans, length)
+    needed = wanted_blocks(borders)
+    ticks = moves.select(*keys, epoch_micro(F.col("t")).alias("pos"), *weights).withColumn("block", _start_of(F.col("pos"), length))
+    ticks = ticks.join(broadcast_if_small(needed), [*keys, "block"])
+    second = _start_of(F.col("pos"), _SECOND)
+    ticks = ticks.withColumn("pos", F.when(F.array_contains("fine", second), F.col("pos")).otherwise(second))
+    return _looked_up(_running_sums(ticks, keys, list(weights), length, None), borders, keys, list(weights), [], length).drop("lo")
+
+
+def wanted_blocks(borders: DataFrame) -> DataFrame:
+    """The blocks in which some window begins or ends, with the seconds that a border cuts (nearly always none)."""
+    second = _start_of(F.col("at"), _SECOND)
+    return borders.groupBy("direction", "zone_id", "block").agg(F.collect_set(F.when(second != F.col("at"), second)).alias("fine"))
+
+
 def movements(
     trips: DataFrame, mode: Mode, weight: Column | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -129,10 +237,10 @@ def weight_columns(mode: Mode, amount: Column, columns: Sequence[str] | None = N
     return [(amount if n == mode.name else F.lit(None)).cast(MODES[n].weight_type).alias(n) for n in names]
 
 
-def all_movements(tables: dict[Mode, DataFrame]) -> DataFrame:
-    """Movements of several modes in one frame, one weight column per mode."""
+def all_movements(tables: dict[Mode, DataFrame], weights: dict[str, Column] | None = None) -> DataFrame:
+    """Movements of several modes in one frame, one weight column per mode; ``weights`` replaces a mode's own weight."""
     names = [m.name for m in tables]
-    return reduce(DataFrame.unionByName, [movements(t, m, columns=names) for m, t in tables.items()])
+    return reduce(DataFrame.unionByName, [movements(t, m, (weights or {}).get(m.name), names) for m, t in tables.items()])
 
 
 def timeline_sums(moves: DataFrame, windows: DataFrame, weights: Sequence[str]) -> DataFrame:

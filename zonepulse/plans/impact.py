@@ -227,7 +227,8 @@ _TOTALS = ["total_inbound_pre", "total_outbound_post", "avg_total_inbound_baseli
 
 
 def _summary(v: Views, events: DataFrame | None = None) -> DataFrame:
-    out = E.event_transit_summary(*[_sampled(v, m, events) for m in _MODES])
+    sampled = E.sampled_impacts(v["permits"] if events is None else events, dict(zip(_MODES, _tables(v), strict=True)))
+    out = E.summarize(sampled)
     return rounded(rounded(out, 3, _TOTALS), 4, [n for n, k in out.dtypes if k == "double" and n not in _TOTALS])
 
 
