@@ -240,7 +240,7 @@ def test_valid_datetime(spark, text, ok):
 @pytest.mark.parametrize("text, expected", [
     ("01/02/2024 12:30:00 AM", "2024-01-02 00:30:00"), ("01/02/2024 12:30:00 PM", "2024-01-02 12:30:00"),
     ("01-02-2024 01:02:03 pm", "2024-01-02 13:02:03"), ("2/29/2024", "2024-02-29 00:00:00"),
-    ("2/29/2023", None), ("2024-01-02T03:04:05", "2024-01-02 03:04:05"), ("01/02/2024 13:00", "2024-01-02 00:00:00"),
+    ("2/29/2023", None), ("2024-01-02T03:04:05", "2024-01-02 03:04:05"), ("01/02/2024 13:00", "2024-01-02 13:00:00"),
     ("01/02/2024 24:00:00", None), ("hello", None), ("", None), (None, None), ("01/02", None),
 ])
 def test_parse_multi_ts(spark, text, expected):

@@ -246,15 +246,50 @@ def test_ratio_and_order(spark):
         assert r.taxi_inbound_ratio == (expected if expected is None else pytest.approx(expected, abs=0.011))
 
 
-# Published results of three sampled events per mode, and the totals they must add up to.
+# Published results of the twelve sampled events per mode, in the published order, and totals of three of them.
 SAMPLED = {
-    "taxi": [(751172, 219, 246, 254.7, 343.3), (757989, 508, 419, 384.7, 459.3), (793006, 85, 97, 74.7, 149.3)],
+    "taxi": [
+        (793006, 85, 97, 74.7, 149.3),
+        (751172, 219, 246, 254.7, 343.3),
+        (751570, 62, 102, 61.7, 136.0),
+        (793055, 73, 116, 86.3, 100.0),
+        (806389, 219, 356, 166.0, 379.0),
+        (810977, 6, 16, 5.7, 8.7),
+        (761847, 38, 28, 39.3, 42.0),
+        (776844, 31, 22, 27.7, 36.3),
+        (797622, 240, 184, 238.3, 350.0),
+        (757989, 508, 419, 384.7, 459.3),
+        (810920, 156, 112, 140.7, 119.7),
+        (751766, 11, 7, 3.0, 6.0),
+    ],
     "subway": [
         (751172, 3419.8761000000013, 3139.4060999999965, 3913.6129333333333, 2699.329733333333),
-        (757989, 2976.473200000001, 7409.896199999993, 2573.4710333333333, 6315.285833333338),
         (793006, 0.0, 0.0, 0.0, 0.0),
+        (810920, 562.9011999999999, 1672.0225999999996, 529.4570666666667, 1641.5806),
+        (757989, 2976.473200000001, 7409.896199999993, 2573.4710333333333, 6315.285833333338),
+        (797622, 2844.3942, 4141.800000000005, 2637.5544000000004, 3622.3161333333323),
+        (751766, 0.0, 0.0, 0.0, 0.0),
+        (761847, 2441.1860000000015, 2907.452199999999, 2399.8849999999993, 2506.6378000000004),
+        (776844, 0.0, 0.0, 0.0, 0.0),
+        (806389, 5401.621400000002, 4998.520400000004, 5809.8997999999965, 5925.352399999999),
+        (810977, 0.0, 0.0, 0.0, 0.0),
+        (793055, 0.0, 0.0, 0.0, 0.0),
+        (751570, 0.0, 0.0, 0.0, 0.0),
+    ],
+    "citibike": [
+        (761847, 0, 5, 2.0, 6.0),
+        (776844, 6, 0, 1.7, 1.7),
+        (806389, 301, 281, 322.0, 518.7),
+        (810977, 3, 4, 4.7, 5.0),
+        (751570, 15, 23, 13.7, 31.0),
+        (793055, 0, 0, 0.0, 0.0),
+        (751172, 381, 214, 311.3, 183.0),
+        (793006, 34, 14, 52.7, 25.3),
+        (751766, 13, 14, 9.7, 25.0),
+        (797622, 133, 49, 233.7, 259.0),
+        (757989, 70, 137, 182.7, 509.3),
+        (810920, 0, 0, 0.0, 0.0),
     ],
-    "citibike": [(751172, 381, 214, 311.3, 183.0), (757989, 70, 137, 182.7, 509.3), (793006, 34, 14, 52.7, 25.3)],
 }
 SUMMARY = {
     751172: (4019.8761, 3599.4061, 4479.6129, 3225.6297, -459.7368, 373.7764),
@@ -273,13 +308,18 @@ def test_event_transit_summary_of_published_values(spark):
             "event_name": F.lit("n"), "event_type": F.lit("t"), "zone_id": F.lit(43),
             "start_time": F.lit(None).cast("timestamp_ntz"), "end_time": F.lit(None).cast("timestamp_ntz")}))
     out = impact.event_transit_summary(*frames).collect()
-    assert [r.event_id for r in out] == [751172, 757989, 793006]
+    assert [r.event_id for r in out] == sorted(r[0] for r in SAMPLED["taxi"])
+    assert (len(out), out[0].event_id, out[-1].event_id) == (12, 751172, 810977)
+    per_mode = {name: {r[0]: r[1:] for r in rows} for name, rows in SAMPLED.items()}
     for r in out:
+        summed = [sum(rows[r.event_id][i] for rows in per_mode.values()) for i in range(4)]
         got = (r.total_inbound_pre, r.total_outbound_post, r.avg_total_inbound_baseline,
                r.avg_total_outbound_baseline, r.total_inbound_delta, r.total_outbound_delta)
-        assert [round(x, 4) for x in got] == list(SUMMARY[r.event_id])
+        assert got == pytest.approx((*summed, summed[0] - summed[2], summed[1] - summed[3]))
+        if r.event_id in SUMMARY:
+            assert [round(x, 4) for x in got] == list(SUMMARY[r.event_id])
     missing = impact.event_transit_summary(frames[0], frames[1].limit(0), frames[2].limit(0)).collect()
-    assert [r.total_inbound_pre for r in missing] == [219.0, 508.0, 85.0]
+    assert {r.event_id: r.total_inbound_pre for r in missing} == {r[0]: float(r[1]) for r in SAMPLED["taxi"]}
 
 
 def test_results_do_not_depend_on_the_session_time_zone(spark):

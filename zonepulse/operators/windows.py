@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from zonepulse.functions.plan import evaluate_once, spread
 from zonepulse.functions.timeparts import epoch_micro
 from zonepulse.schemas import MODES, Mode
-from zonepulse.sources.scratch import broadcast_if_small
+from zonepulse.sources.scratch import broadcast_if_small, materialize
 
 #: Block sizes for positions in seconds and in microseconds, up to about an hour.
 SECOND_BLOCKS = (1, 16, 256, 4096)
@@ -208,9 +208,10 @@ def timed_window_sums(moves: DataFrame, windows: DataFrame, weights: Sequence[st
 
 
 def wanted_blocks(borders: DataFrame) -> DataFrame:
-    """The blocks in which some window begins or ends, with the seconds that a border cuts (nearly always none)."""
+    """The blocks in which some window begins or ends, with the seconds that a border cuts (nearly always none); written, as they are counted too."""
     second = _start_of(F.col("at"), _SECOND)
-    return borders.groupBy("direction", "zone_id", "block").agg(F.collect_set(F.when(second != F.col("at"), second)).alias("fine"))
+    blocks = borders.groupBy("direction", "zone_id", "block").agg(F.collect_set(F.when(second != F.col("at"), second)).alias("fine"))
+    return materialize(blocks, "blocks")
 
 
 def movements(
