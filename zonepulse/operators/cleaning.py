@@ -17,6 +17,7 @@ from zonepulse.functions.parsing import with_timestamps
 from zonepulse.functions.plan import evaluate_once
 from zonepulse.functions.text import is_empty, squeeze, strip_padding, unquote
 from zonepulse.operators.enrich import lookup_location, match_zone_by_name
+from zonepulse.sources.scratch import materialize
 
 REASON = "reject_reason"
 
@@ -192,11 +193,9 @@ def screen_events_multiformat(rows: DataFrame) -> DataFrame:
 
 
 def clean_events_multiformat(rows: DataFrame, zones: DataFrame) -> DataFrame:
-    events = _kept(screen_events_multiformat(rows))
-    # the locations of all rows, kept or not, so that matching does not need the time parsing
-    place = F.col(f"f{S.EVENT_FIELDS['event_location']}")
-    places = rows.select(unquote(place).alias("event_location"))
-    matched = match_zone_by_name(events, zones, "event_location", places=places)
+    # parsed once: both the distinct locations and the rows come from the written table
+    events = materialize(_kept(screen_events_multiformat(rows)), "events")
+    matched = match_zone_by_name(events, zones, "event_location")
     return matched.select(
         "event_id", squeeze(F.col("event_name")).alias("event_name"), "start_ts", "end_ts", "event_type",
         F.col("location_id").alias("start_location_id"), F.col("location_id").alias("end_location_id"),

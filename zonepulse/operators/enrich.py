@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.functions.plan import spread
 from zonepulse.functions.text import standardize_name
-from zonepulse.sources.scratch import broadcast_if_small
+from zonepulse.sources.scratch import broadcast_if_small, is_small, materialize
 
 # Length of the name pieces that candidate pairs must share before `contains` is tried.
 _GRAM = 4
+# Locations with more than one event in so many are joined without a shuffle.
+_HEAVY_SHARE = 10_000
 # Grid resolution for city zones. A power of two, so cell numbers and cell borders are exact in doubles.
 CELLS_PER_DEGREE = 128
 
@@ -27,57 +31,80 @@ def lookup_location(events: DataFrame, locations: DataFrame, on: str) -> DataFra
     )
 
 
-def _grams(text: Column) -> Column:
-    """All distinct pieces of one to ``_GRAM`` characters."""
-    by_length = F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(_GRAM), F.length(text))),
-        lambda q: F.transform(
-            F.sequence(F.lit(1), F.length(text) - q + 1),
-            lambda i: F.substring(text, i, q),
-        ),
-    )
-    return F.array_distinct(F.flatten(by_length))
-
+def _pieces(text: Column, length: int = _GRAM) -> Column:
+    """The distinct pieces of the given length, one per row; a shorter text has none."""
+    starts = F.when(F.length(text) >= length, F.sequence(F.lit(1), F.length(text) - length + 1))
+    return F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length))))
 
-def _head(text: Column) -> Column:
-    return F.substring(text, 1, _GRAM)
 
+def _candidates(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(_std, zone_name, location_id) where one text contains the other. ``names``: distinct locations (_std).
 
-def match_zone_by_name(
-    events: DataFrame, zones: DataFrame, on: str, default: int = -1, places: DataFrame | None = None
-) -> DataFrame:
+    A text that contains another has all of its pieces, so it is enough to look for one: the piece of the
+    contained text that the fewest zone names have. Texts shorter than a piece are looked for whole.
+    """
+    pieces = materialize(known.select("zone_name", "location_id", _pieces(F.col("zone_name")).alias("piece")), "pieces")
+    often = broadcast_if_small(pieces.groupBy("piece").agg(F.count_distinct("zone_name").alias("n")))
+    rarest = F.min_by("piece", F.struct("n", "piece")).alias("piece")
+    zone_keys = pieces.join(often, "piece").groupBy("zone_name", "location_id").agg(rarest)
+    place_pieces = names.select("_std", _pieces(F.col("_std")).alias("piece"))
+    found = [place_pieces.join(broadcast_if_small(zone_keys), "piece")]
+    # a location with a piece that no zone has is in none
+    n_pieces = F.size(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_std") - _GRAM + 1), lambda i: F.substring("_std", i, _GRAM))))
+    place_keys = place_pieces.join(often, "piece").groupBy("_std").agg(rarest, F.count("*").alias("met")).filter(F.col("met") == n_pieces)
+    found.append(place_keys.join(broadcast_if_small(pieces), "piece"))
+    for length in range(1, _GRAM):
+        short = broadcast_if_small(known.filter(F.length("zone_name") == length).withColumn("piece", F.col("zone_name")))
+        found.append(names.select("_std", _pieces(F.col("_std"), length).alias("piece")).join(short, "piece"))
+        longer = broadcast_if_small(known.select("zone_name", "location_id", _pieces(F.col("zone_name"), length).alias("piece")))
+        found.append(names.filter(F.length("_std") == length).withColumn("piece", F.col("_std")).join(longer, "piece"))
+    pairs = reduce(DataFrame.unionByName, [f.select("_std", "zone_name", "location_id") for f in found])
+    return pairs.filter(F.contains("_std", "zone_name") | F.contains("zone_name", "_std"))
+
+
+def match_zone_by_name(events: DataFrame, zones: DataFrame, on: str, default: int = -1) -> DataFrame:
     """Zone whose standardised name contains, or is contained in, the standardised location.
 
     The longest overlap wins, then the smallest id; no match or no location gives ``default``.
-    A text that contains another contains its first characters, so candidate pairs come from an
-    equality join on short pieces and only those are compared. Each distinct location is matched once.
-    ``places`` may give the locations (column ``on``) from a cheaper source than ``events``; it must hold
-    at least those of ``events``.
+    Each distinct location is matched once. Locations of very many events are few by their number, so
+    their zones are broadcast whatever the size of the rest.
     """
-    keyed = events.withColumn("_std", standardize_name(F.col(on)))
-    known_places = (events if places is None else places).select(standardize_name(F.col(on)).alias("_std"))
-    names = known_places.filter(F.col("_std") != "").distinct()
+    std = "_location"
+    keyed = events.withColumn(std, standardize_name(F.col(on)))
+    places = keyed.filter(F.col(std) != "").groupBy(F.col(std).alias("_std")).agg(F.count("*").alias("events"))
+    places = materialize(places, "places")
     known = zones.filter(F.col("zone_name") != "").select("zone_name", "location_id")
 
-    zone_in_location = names.withColumn("_key", F.explode(_grams(F.col("_std")))).join(
-        known.withColumn("_key", _head(F.col("zone_name"))), "_key"
-    ).filter(F.contains("_std", "zone_name"))
-    location_in_zone = names.withColumn("_key", _head(F.col("_std"))).join(
-        known.withColumn("_key", F.explode(_grams(F.col("zone_name")))), "_key"
-    ).filter(F.contains("zone_name", "_std"))
-
     overlap = F.least(F.length("_std"), F.length("zone_name"))
     best = (
-        zone_in_location.unionByName(location_in_zone)
+        _candidates(places.select("_std"), known)
         .groupBy("_std")
         .agg(F.max(F.struct(overlap.alias("overlap"), (-F.col("location_id")).alias("low"))).alias("best"))
         .select("_std", (-F.col("best.low")).alias("location_id"))
     )
-    return (
-        keyed.join(best, "_std", "left")
-        .withColumn("location_id", F.coalesce("location_id", F.lit(default)))
-        .drop("_std")
-    )
+    best = materialize(best, "best")
+    if is_small(best):
+        found = keyed.join(F.broadcast(best), F.col(std) == F.col("_std"), "left")
+    else:
+        found = _matched_back(keyed, places, best, std)
+    return found.select(*events.columns, F.coalesce("location_id", F.lit(default)).alias("location_id"))
+
+
+def _matched_back(keyed: DataFrame, places: DataFrame, best: DataFrame, std: str) -> DataFrame:
+    """``keyed`` with the zones of ``best``, when those are too many to broadcast.
+
+    Locations with more than a ten-thousandth of all events are at most 10,000, so their zones are broadcast. Events of
+    those, and events without a location, need no partner in the shuffle: they get keys of their own, which are spread
+    over all tasks.
+    """
+    limit = places.agg(F.sum("events")).first()[0] / _HEAVY_SHARE
+    heavy = best.join(places.filter(F.col("events") > limit).select("_std"), "_std").select(F.col("_std").alias("_heavy"), F.col("location_id").alias("_zone"))
+    marked = keyed.join(F.broadcast(heavy), F.col(std) == F.col("_heavy"), "left")
+    alone = F.col("_heavy").isNotNull() | (F.col(std) == "")
+    spread_key = F.concat(F.lit("\0"), F.xxhash64(*keyed.columns).cast("string"))
+    marked = marked.withColumn("_key", F.when(alone, spread_key).otherwise(F.col(std)))
+    joined = marked.join(best, F.col("_key") == F.col("_std"), "left")
+    return joined.withColumn("location_id", F.coalesce("_zone", "location_id"))
 
 
 # -- point in polygon

@@ -16,7 +16,7 @@ from zonepulse.operators.windows import (
     weight_columns,
 )
 from zonepulse.schemas import CITIBIKE, SUBWAY, TAXI, Mode
-from zonepulse.sources.scratch import broadcast_if_small, is_small, materialize
+from zonepulse.sources.scratch import is_small, materialize
 
 WINDOW_MINUTES = 90
 EVENT_KEYS = ["event_id", "event_name", "event_type", "zone_id"]
@@ -187,8 +187,9 @@ def daily_baseline(events: DataFrame, trips: DataFrame, mode: Mode, directional:
     clock = materialize(ticks.groupBy(*keys, "baseline_date", "pos").agg(F.sum("w").alias("w")), "clock")
     dates = clock.filter(F.col("direction") == "day").select("zone_id", "baseline_date")
     windows = _clock_windows(events).filter(F.col("lo").isNotNull())
-    sums = equal_window_sums(clock.filter(F.col("direction") != "day"), windows, keys, ["w"], _CLOCK_SECONDS, DAY_SECONDS, ["baseline_date"])
-    every = events.select("event_id", F.col("start_location_id").alias("zone_id")).distinct().join(broadcast_if_small(dates), "zone_id")
+    sums = equal_window_sums(clock.filter(F.col("direction") != "day"), windows, keys, ["w"], _CLOCK_SECONDS, DAY_SECONDS, ["baseline_date"], is_small(windows))
+    zones = events.select("event_id", F.col("start_location_id").alias("zone_id")).distinct()
+    every = zones.join(F.broadcast(dates) if is_small(dates) else dates, "zone_id")
     parts = sums.select("event_id", "baseline_date", "direction", "w").unionByName(every.select("event_id", "baseline_date"), allowMissingColumns=True)
     return parts.groupBy("event_id", "baseline_date").agg(
         *[_sum_of("w", d, F.lit(True), mode.weight_type).alias(f"baseline_{name}")
@@ -235,7 +236,7 @@ def baseline_average(
         "clock",
     )
     is_day = F.col("direction") == "day"
-    sums = equal_window_sums(clock.filter(~is_day), windows, keys, names, _CLOCK_SECONDS, DAY_SECONDS)
+    sums = equal_window_sums(clock.filter(~is_day), windows, keys, names, _CLOCK_SECONDS, DAY_SECONDS, small=is_small(windows))
     totals = sums.groupBy("event_id").agg(
         *[F.sum(F.when(F.col("direction") == d, F.col(n))).alias(f"{n}_{d}") for n in names for d in ("in", "out")]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,10 +151,27 @@ _MEASURES = {
 }
 
 
-def profile_columns(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
-    """One row per column with the given measures and their percentages, from a single aggregate."""
+def _folded(name: str, measure: str) -> Column:
+    """A measure of all rows from those of their groups: counts add up, bounds stay bounds."""
+    c = F.col(f"`{name}:{measure}`")
+    return {"min_time": F.min, "max_time": F.max}.get(measure, lambda n: F.coalesce(F.sum(n), F.lit(0)))(c).alias(f"{name}:{measure}")
+
+
+def profile_columns(df: DataFrame, measures: dict[str, dict[str, Column]], categories: Sequence[str] = ()) -> DataFrame:
+    """One row per column with the given measures and their percentages, in one pass over ``df``.
+
+    Of the ``categories`` among the columns distinct values are counted too: rows are first reduced to one for each
+    combination of values, which holds the measures of all columns, and folded from there. Exact distinct
+    counts in the pass itself would multiply its rows.
+    """
     flat = [c.alias(f"{name}:{m}") for name, per in measures.items() for m, c in per.items()]
-    one_row = df.agg(*flat)
+    if categories:
+        groups = df.groupBy(*categories).agg(*flat)
+        unique = [F.count_distinct(F.when(~is_empty(F.col(c)), F.col(c))).alias(f"{c}:unique_values") for c in categories]
+        one_row = groups.agg(*[_folded(name, m) for name, per in measures.items() for m in per], *unique)
+        measures = {name: {**per, **({"unique_values": F.lit(0)} if name in categories else {})} for name, per in measures.items()}
+    else:
+        one_row = df.agg(*flat)
     rows = [
         [F.lit(name), *[(F.col(f"`{name}:{m}`") if m in per else F.lit(None)).cast(k) for m, k in _MEASURES.items()]]
         for name, per in measures.items()
@@ -236,7 +255,6 @@ def profile_bikes(lines: DataFrame) -> DataFrame:
     for name in S.BIKE_COLUMNS:
         c = F.col(name)
         if name in _CATEGORIES:
-            # exact distinct counts would add an Expand to the pass; the values table has them
             measures[name] = _base(c)
         elif name in _STATION_IDS:
             measures[name] = station_id_measures(c)
@@ -246,10 +264,7 @@ def profile_bikes(lines: DataFrame) -> DataFrame:
             measures[name] = coordinate_measures(c, _COORDINATES[name])
         else:
             measures[name] = id_or_name_measures(c)
-    wide = profile_columns(rides, measures).drop("unique_values")
-    unique = category_counts(rides, list(_CATEGORIES)).groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("unique_values"))
-    return wide.join(unique, "column_name", "left")
+    return profile_columns(rides, measures, _CATEGORIES)
 
 
 def malformed_bikes(lines: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from zonepulse.functions.plan import evaluate_once, spread
 from zonepulse.functions.timeparts import epoch_micro
 from zonepulse.schemas import MODES, Mode
-from zonepulse.sources.scratch import broadcast_if_small, materialize
+from zonepulse.sources.scratch import broadcast_if_small, is_small, materialize
 
 #: Block sizes for positions in seconds and in microseconds, up to about an hour.
 SECOND_BLOCKS = (1, 16, 256, 4096)
@@ -170,21 +170,23 @@ def _running_sums(ticks: DataFrame, groups: list[str], weights: list[str], lengt
 
 def equal_window_sums(
     ticks: DataFrame, windows: DataFrame, keys: Sequence[str], weights: Sequence[str], length: int,
-    period: int | None = None, by: Sequence[str] = (),
+    period: int | None = None, by: Sequence[str] = (), small: bool = False,
 ) -> DataFrame:
     """Sums of ticks with ``lo <= pos < lo + length`` in parts: rows of ``windows`` with ``by`` and weights.
 
     ``ticks``: keys, ``by``, bigint ``pos``, weights. ``windows``: keys, bigint ``lo`` and any other columns; rows may
     repeat, each gets its own result. A window's sum over each value of ``by`` is the sum of its rows, at
-    most three; where there is no tick there is no row.
+    most three; where there is no tick there is no row. ``small`` says that the windows are few enough to broadcast.
     """
-    return _looked_up(_running_sums(ticks, [*keys, *by], list(weights), length, period), window_borders(windows, length, period), list(keys), list(weights), list(by), length)
+    runs = _running_sums(ticks, [*keys, *by], list(weights), length, period)
+    return _looked_up(runs, window_borders(windows, length, period), list(keys), list(weights), list(by), length, small)
 
 
-def _looked_up(runs: DataFrame, borders: DataFrame, keys: list[str], weights: list[str], by: list[str], length: int) -> DataFrame:
+def _looked_up(runs: DataFrame, borders: DataFrame, keys: list[str], weights: list[str], by: list[str], length: int, small: bool) -> DataFrame:
     size = max(1, length // _CELLS)
     cells = F.sequence(F.expr(f"since div {size}"), F.expr(f"until div {size}"))
-    asked = broadcast_if_small(borders.drop("block").withColumn("cell", F.expr(f"at div {size}")))
+    asked = borders.drop("block").withColumn("cell", F.expr(f"at div {size}"))
+    asked = F.broadcast(asked) if small else asked
     met = runs.withColumn("cell", F.explode(cells)).join(asked, [*keys, "kind", "cell"])
     return met.filter("at BETWEEN since AND until").select(*[c for c in borders.columns if c not in ("kind", "at", "block")], *by, *weights)
 
@@ -200,17 +202,18 @@ def timed_window_sums(moves: DataFrame, windows: DataFrame, weights: Sequence[st
     spans = windows.withColumn("lo", epoch_micro(F.col("t_lo"))).filter(F.col("lo").isNotNull() & F.col("zone_id").isNotNull())
     borders = window_borders(spans, length)
     needed = wanted_blocks(borders)
-    ticks = moves.select(*keys, epoch_micro(F.col("t")).alias("pos"), *weights).withColumn("block", _start_of(F.col("pos"), length))
-    ticks = ticks.join(broadcast_if_small(needed), [*keys, "block"])
+    ticks = moves.select(*keys, epoch_micro(F.col("t")).alias("pos"), *weights).withColumn("near", _start_of(F.col("pos"), length))
+    ticks = ticks.join(broadcast_if_small(needed), [*keys, "near"])
     second = _start_of(F.col("pos"), _SECOND)
     ticks = ticks.withColumn("pos", F.when(F.array_contains("fine", second), F.col("pos")).otherwise(second))
-    return _looked_up(_running_sums(ticks, keys, list(weights), length, None), borders, keys, list(weights), [], length).drop("lo")
+    runs = _running_sums(ticks, keys, list(weights), length, None)
+    return _looked_up(runs, borders, keys, list(weights), [], length, is_small(borders)).drop("lo")
 
 
 def wanted_blocks(borders: DataFrame) -> DataFrame:
     """The blocks in which some window begins or ends, with the seconds that a border cuts (nearly always none); written, as they are counted too."""
     second = _start_of(F.col("at"), _SECOND)
-    blocks = borders.groupBy("direction", "zone_id", "block").agg(F.collect_set(F.when(second != F.col("at"), second)).alias("fine"))
+    blocks = borders.groupBy("direction", "zone_id", F.col("block").alias("near")).agg(F.collect_set(F.when(second != F.col("at"), second)).alias("fine"))
     return materialize(blocks, "blocks")
 
 

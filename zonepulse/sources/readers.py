@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,21 +37,27 @@ def select_typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[one(name, kind) for name, kind in columns.items()])
 
 
-def _same_layout(spark: SparkSession, raw: DataFrame, columns: Sequence[str]) -> list[list[str]]:
-    """The files of ``raw`` in groups that store the named columns alike, whatever the order of files.
+def _same_layout(spark: SparkSession, files: Sequence[str], columns: Sequence[str]) -> list[tuple[DataFrame, list[str]]]:
+    """The files in groups that store the named columns alike: a scan of each group, and its files.
 
-    Each footer is read once, some at a time; monthly trip files are few. One group means one plain scan.
+    Spark merges the footers of many files in one job, in tasks. Where types differ it cannot, and the files are halved: sorted by
+    name, files of one layout lie together, so a few layouts cost a few jobs for each border between them, not one for a file.
     """
-    files = sorted(unquote(f) for f in raw.inputFiles())
-
-    def layout(file: str) -> tuple:
-        stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(file).schema.fields}
-        return tuple(stored.get(c) for c in columns)
-
-    groups: dict[tuple, list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, key in zip(files, pool.map(layout, files), strict=True):
-            groups.setdefault(key, []).append(file)
+    def merged(some: Sequence[str]) -> list[tuple[DataFrame, list[str]]]:
+        try:
+            return [(spark.read.option("mergeSchema", True).parquet(*some), list(some))]
+        except (PySparkException, Py4JJavaError) as error:
+            if len(some) == 1 or "CANNOT_MERGE" not in str(error):
+                raise
+        half = len(some) // 2
+        return merged(some[:half]) + merged(some[half:])
+
+    groups: dict[tuple, tuple[DataFrame, list[str]]] = {}
+    for scan, some in merged(files):
+        stored = dict(scan.dtypes)
+        key = tuple(stored.get(c) for c in columns)
+        known = groups.get(key)
+        groups[key] = (scan, some) if known is None else (spark.read.schema(known[0].select(*[c for c in columns if c in stored]).schema).parquet(*known[1], *some), known[1] + some)
     return [groups[k] for k in sorted(groups, key=str)]
 
 
@@ -63,8 +70,7 @@ def read_trips(spark: SparkSession, path: str, kind: str, recursive: bool = Fals
     layout = S.TRIP_LAYOUTS[kind]
     raw = spark.read.option("recursiveFileLookup", recursive).parquet(path)
     times = (layout.pickup, layout.dropoff)
-    groups = _same_layout(spark, raw, layout.columns)
-    parts = [raw] if len(groups) < 2 else [spark.read.parquet(*files) for files in groups]
+    parts = [scan for scan, _ in _same_layout(spark, sorted(unquote(f) for f in raw.inputFiles()), layout.columns)]
     stored = [dict(part.dtypes) for part in parts]
     wanted = {layout.distance: "double", layout.pickup_zone: "int", layout.dropoff_zone: "int"}
     for t in times:
