@@ -220,7 +220,7 @@ def link(docs: DataFrame) -> DataFrame:
     texts = texts_of(docs, nodes, members.select("node").distinct())
     near = members.filter("node != hub").filter(_alike("n", "hub_n")).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(verified(near, texts), "links")
-    apart = _still_apart(members.select("key", "node"), components(links), texts, nodes.select("node", "signature"))
+    apart = materialize(_still_apart(members.select("key", "node"), components(links), texts, nodes.select("node", "signature")), "pairs")
     more = materialize(verified(apart, texts), "links")
     out = labelled(known, components(links.union(more)))
     return out.withColumn("kept", F.col("doc_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
