@@ -15,6 +15,7 @@ from zonepulse.sources.scratch import broadcast_if_small, is_small, materialize
 _GRAM = 4
 # Locations with more than one event in so many are joined without a shuffle.
 _HEAVY_SHARE = 10_000
+_EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 # Grid resolution for city zones. A power of two, so cell numbers and cell borders are exact in doubles.
 CELLS_PER_DEGREE = 128
 
@@ -134,19 +135,36 @@ def _touched(e: Column, x: Column, y: Column) -> Column:
     )
 
 
-def _strictly_inside(edges: Column, x: Column, y: Column) -> Column:
-    odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != _crossed(e, x, y))
-    return odd & ~F.exists(edges, lambda e: _touched(e, x, y))
+def _passes(e: Column, x: Column, y: Column, rx: Column, ry: Column) -> Column:
+    """The way from (x, y) to (rx, ry) crosses the edge. An end of the edge on the line of the way counts to one side."""
+    def side(px: Column, py: Column) -> Column:
+        return (rx - x) * (py - y) - (px - x) * (ry - y) > 0
 
+    return (side(e["x1"], e["y1"]) != side(e["x2"], e["y2"])) & ((_turn(e, x, y) > 0) != (_turn(e, rx, ry) > 0))
 
-def zone_cells(zones: DataFrame, cells_per_degree: int = CELLS_PER_DEGREE) -> DataFrame:
-    """Grid over the zone polygons: per cell the zones that reach into it, smallest id first.
 
-    Input: location_id, zone, borough, ring (array of x/y structs, open or closed); several rows of one
-    zone are its further rings or holes. A cell without an edge in it is wholly inside or outside, so
-    it needs no test later; other cells keep only the edges a ray to the right can meet from there.
-    The table grows with the polygons, not with the points; it is broadcast when it is small.
-    """
+def _reaches(e: Column, x0: Column, y0: Column, step: Column | float) -> Column:
+    """The edge has a point in the closed square: their extents meet, and the corners are not all on one side of it."""
+    x1, y1 = x0 + step, y0 + step
+    turns = [_turn(e, x, y) for x in (x0, x1) for y in (y0, y1)]
+    extents = (F.least(e["x1"], e["x2"]) <= x1) & (F.greatest(e["x1"], e["x2"]) >= x0) & (
+        F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["y1"], e["y2"]) >= y0)
+    return extents & (F.least(*turns) <= 0) & (F.greatest(*turns) >= 0)
+
+
+# Each cell has a point of reference at these shares of its sides; odd numbers, so that no corner or edge of a map lies there.
+_REF_X, _REF_Y = 0.45678912345678, 0.54321987654321
+# A cell with more edges than this is cut into four, at most so many times.
+EDGES_PER_CELL = 64
+MAX_CUTS = 20
+
+
+def _ref(step: Column | float, ix: Column, iy: Column) -> tuple[Column, Column]:
+    return (ix + _REF_X) * step, (iy + _REF_Y) * step
+
+
+def _base_cells(zones: DataFrame, cells_per_degree: int) -> tuple[DataFrame, DataFrame]:
+    """Cells of the grid by zone, with ``odd`` (the point of reference is inside) and ``n`` edges; and their edges, one per row."""
     step = 1.0 / cells_per_degree
 
     def cell(c: Column) -> Column:
@@ -167,11 +185,10 @@ def zone_cells(zones: DataFrame, cells_per_degree: int = CELLS_PER_DEGREE) -> Da
         ).alias("e"),
     )
     e = F.col("e")
-    edges = edges.withColumns({
+    edges = materialize(edges.withColumns({
         "left": F.least(e["x1"], e["x2"]), "right": F.greatest(e["x1"], e["x2"]),
         "low": F.least(e["y1"], e["y2"]), "high": F.greatest(e["y1"], e["y2"]),
-    })
-    bands = edges.withColumn("iy", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
+    }), "edges")
     extent = edges.groupBy("location_id", "zone", "borough").agg(
         F.min("left").alias("x_min"), F.max("right").alias("x_max"),
         F.min("low").alias("y_min"), F.max("high").alias("y_max"),
@@ -182,20 +199,76 @@ def zone_cells(zones: DataFrame, cells_per_degree: int = CELLS_PER_DEGREE) -> Da
         F.sequence(cell(F.col("y_min")), cell(F.col("y_max"))).alias("iys"),
     ).withColumn("iy", F.explode("iys")).drop("iys")
 
+    bands = edges.drop("zone", "borough").withColumn("iy", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
     x0, y0 = F.col("ix") * step, F.col("iy") * step
-    near = grid.join(bands.drop("zone", "borough"), ["location_id", "iy"]).filter(F.col("right") >= x0)
-    cells = near.groupBy("ix", "iy", "location_id", "zone", "borough").agg(
-        (F.count_if(F.col("left") <= x0 + step) > 0).alias("cut"),
-        (F.count_if(_crossed(e, x0 + step / 2, y0 + step / 2)) % 2 == 1).alias("odd"),
-        F.collect_list("e").alias("edges"),
-    )
-    useful = cells.filter(F.col("cut") | F.col("odd"))
-    candidate = F.struct(
-        "location_id", "zone", "borough", (~F.col("cut")).alias("whole"),
-        F.when(F.col("cut"), F.col("edges")).alias("edges"),
-    )
-    by_cell = useful.groupBy("ix", "iy").agg(F.sort_array(F.collect_list(candidate)).alias("candidates"))
-    return broadcast_if_small(by_cell)
+    near = grid.join(bands, ["location_id", "iy"]).filter(F.col("right") >= x0)
+    counted = near.groupBy("ix", "iy", "location_id", "zone", "borough").agg(
+        F.count_if(_reaches(e, x0, y0, step)).alias("n"), (F.count_if(_crossed(e, *_ref(step, F.col("ix"), F.col("iy")))) % 2 == 1).alias("odd"))
+    local = edges.select(
+        "location_id", "e", F.explode(F.sequence(cell(F.col("left")), cell(F.col("right")))).alias("ix"), "low", "high",
+    ).withColumn("iy", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high"))))).filter(_reaches(e, x0, y0, step))
+    return counted.filter("odd OR n > 0"), local.select("ix", "iy", "location_id", "e")
+
+
+def _quarters(df: DataFrame) -> DataFrame:
+    """Each row four times, with the place of a quarter of its cell: jx, jy."""
+    four = df.select("*", F.explode(F.expr("sequence(0, 3)")).alias("q"))
+    return four.withColumns({"jx": 2 * F.col("ix") + F.expr("q % 2"), "jy": 2 * F.col("iy") + F.expr("q div 2")}).drop("q")
+
+
+def _cut(cells: DataFrame, edges: DataFrame, step: float) -> tuple[DataFrame, DataFrame]:
+    """The four quarters of each cell, and their edges. The way between the points of reference tells which are inside."""
+    ix, iy, jx, jy, e = (F.col(c) for c in ("ix", "iy", "jx", "jy", "e"))
+    parted = _quarters(edges).withColumns({
+        "local": _reaches(e, jx * (step / 2), jy * (step / 2), step / 2),
+        "passes": _passes(e, *_ref(step, ix, iy), *_ref(step / 2, jx, jy)),
+    })
+    keys = ["location_id", "jx", "jy"]
+    counts = parted.groupBy(*keys).agg(F.count_if("local").alias("m"), (F.count_if("passes") % 2 == 1).alias("turned"))
+    quarters = _quarters(cells).join(counts, keys, "left").select(
+        jx.alias("ix"), jy.alias("iy"), "location_id", "zone", "borough",
+        F.coalesce("m", F.lit(0)).cast("bigint").alias("n"), (F.col("odd") != F.coalesce("turned", F.lit(False))).alias("odd"))
+    return quarters.filter("odd OR n > 0"), parted.filter("local").select(jx.alias("ix"), jy.alias("iy"), "location_id", "e")
+
+
+def zone_cells(zones: DataFrame, cells_per_degree: int = CELLS_PER_DEGREE, edges_per_cell: int = EDGES_PER_CELL) -> DataFrame:
+    """Quadtree over the zone polygons: per leaf cell the zones that reach into it, smallest id first.
+
+    Input: location_id, zone, borough, ring (array of x/y structs, open or closed); several rows of one
+    zone are its further rings or holes. Cells of the grid with more than ``edges_per_cell`` edges are cut
+    into four until few are left (or MAX_CUTS is reached: so many edges meet in a point), so a row holds few of them however
+    fine a polygon is drawn. A cell without an edge needs no test later; for the others it is known whether their point of
+    reference is inside. Rows: level, ix, iy, candidates; a cell of the grid that is cut has ``levels``, where its leaves are.
+    The table grows with the polygons, not with the points; it is broadcast when it is small.
+    """
+    cells, edges = _base_cells(zones, cells_per_degree)
+    step, level, leaves, places = 1.0 / cells_per_degree, 0, [], None
+    while True:
+        cells, edges = materialize(cells, "cells"), materialize(edges, "cell-edges")
+        full = cells.groupBy("ix", "iy").agg(F.sum("n").alias("all")).filter(F.col("all") > edges_per_cell).select("ix", "iy")
+        full = materialize(full, "full")
+        last = level == MAX_CUTS or full.isEmpty()
+        done, kept = (cells, edges) if last else (cells.join(full, ["ix", "iy"], "left_anti"), edges.join(full, ["ix", "iy"], "left_anti"))
+        lists = kept.groupBy("ix", "iy", "location_id").agg(F.collect_list("e").alias("edges"))
+        candidate = F.struct("location_id", "zone", "borough", "odd", "edges")
+        rows = done.join(lists, ["ix", "iy", "location_id"], "left").groupBy("ix", "iy").agg(F.sort_array(F.collect_list(candidate)).alias("candidates"))
+        if places is not None:  # quarters in no zone are leaves too, so that every point below a cut cell meets one
+            rows = rows.unionByName(places.join(cells, ["ix", "iy"], "left_anti").withColumn("candidates", F.array().cast(rows.schema["candidates"].dataType)))
+        leaves.append(rows.withColumn("level", F.lit(level)))
+        if last:
+            break
+        places = _quarters(full).select(F.col("jx").alias("ix"), F.col("jy").alias("iy"))
+        cells, edges = _cut(cells.join(full, ["ix", "iy"], "left_semi"), edges.join(full, ["ix", "iy"], "left_semi"), step)
+        step, level = step / 2, level + 1
+    table = materialize(reduce(DataFrame.unionByName, leaves), "leaves")
+    if level:
+        size = F.pow(F.lit(2), F.col("level")).cast("bigint")
+        below = table.filter("level > 0").groupBy(F.floor(F.col("ix") / size).alias("ix"), F.floor(F.col("iy") / size).alias("iy"))
+        below = below.agg(F.sort_array(F.collect_set("level")).alias("levels")).withColumn("level", F.lit(0))
+        table = materialize(table.unionByName(below, allowMissingColumns=True), "tree")
+    else:
+        table = table.withColumn("levels", F.lit(None).cast("array<int>"))
+    return broadcast_if_small(table)
 
 
 def assign_zone_by_point(
@@ -209,19 +282,34 @@ def assign_zone_by_point(
 ) -> DataFrame:
     """Zone id of the polygon around each point, null when there is none; a border point is in no zone.
 
-    Each point meets at most one cell row, so the result has exactly the rows of ``points``.
+    A point meets at most one cell of the grid, and below a cell that is cut exactly one leaf, so the result has exactly
+    the rows of ``points``.
     """
     x, y = F.col(lng), F.col(lat)
     real = ~(F.isnan(x) | F.isnan(y))
-    keyed = points.withColumns({
-        "ix": F.when(real, F.floor(x * cells_per_degree)), "iy": F.when(real, F.floor(y * cells_per_degree)),
-    })
-    joined = keyed.join(cells, ["ix", "iy"], "left")
-    hit = F.get(
-        F.filter("candidates", lambda z: z["whole"] | _strictly_inside(z["edges"], x, y)), F.lit(0)
-    )
-    extra = [hit["zone"].alias(f"{out}_zone"), hit["borough"].alias(f"{out}_borough")] if attributes else []
-    return joined.select(*points.columns, hit["location_id"].alias(out), *extra)
+
+    def place(c: Column, size: Column | int) -> Column:
+        return F.when(real, F.floor(c * size))
+
+    keyed = points.withColumns({"level": F.lit(0), "ix": place(x, cells_per_degree), "iy": place(y, cells_per_degree)})
+    joined = keyed.join(cells, ["level", "ix", "iy"], "left")
+    if not cells.filter("level > 0").isEmpty():
+        # below a cut cell: one row for each level that has leaves there, of which one meets a leaf
+        size = cells_per_degree * F.pow(F.lit(2), F.coalesce("level", F.lit(0))).cast("bigint")
+        each = joined.select(*points.columns, F.col("candidates").alias("at_once"), F.explode_outer("levels").alias("level"))
+        each = each.withColumns({"ix": place(x, size), "iy": place(y, size)})
+        joined = each.join(cells.drop("levels").filter("level > 0"), ["level", "ix", "iy"], "left")
+        joined = joined.filter("level IS NULL OR candidates IS NOT NULL").withColumn("candidates", F.coalesce("candidates", "at_once"))
+    step = 1.0 / (cells_per_degree * F.pow(F.lit(2), F.coalesce("level", F.lit(0))))
+
+    def inside(z: Column) -> Column:
+        edges = F.coalesce(z["edges"], F.array().cast(_EDGES))
+        odd = F.aggregate(edges, z["odd"], lambda acc, e: acc != _passes(e, x, y, *_ref(step, F.col("ix"), F.col("iy"))))
+        return odd & ~F.exists(edges, lambda e: _touched(e, x, y))
+
+    hit = F.get(F.filter("candidates", inside), F.lit(0))
+    extra = {f"{out}_zone": hit["zone"], f"{out}_borough": hit["borough"]} if attributes else {}
+    return joined.select(*points.columns, hit["location_id"].alias(out), *[c.alias(n) for n, c in extra.items()])
 
 
 def unmatched_points(rides: DataFrame, key: str = "ride_id") -> DataFrame:
