@@ -9,9 +9,12 @@ from zonepulse import schemas as S
 from zonepulse.operators import cleaning as C
 from zonepulse.operators import profiling as P
 from zonepulse.operators import reshape as X
+from zonepulse.operators import temporal as T
 from zonepulse.operators import volume as A
-from zonepulse.plans.cleaning import CLEAN_EVENTS, clean_trips_sql, event_rows
+from zonepulse.plans.cleaning import CLEAN_EVENTS, TYPED_BIKES, clean_trips_sql, event_rows, typed_bikes
+from zonepulse.plans.impact import IMPACT, impact_of
 from zonepulse.plans.registry import query
+from zonepulse.plans.traffic import profile_sql
 from zonepulse.plans.views import Views
 from zonepulse.sources import lookups, readers, writers
 from zonepulse.sources.scratch import scratch_path
@@ -49,9 +52,29 @@ SELECT CAST(year(start_ts) AS INT) AS year, CAST(month(start_ts) AS INT) AS mont
 FROM ({CLEAN_EVENTS}) e GROUP BY 1, 2""")
 def chain_events(v: Views) -> DataFrame:
     """Clean events with zones (C7, J2), type (X6), insert (K2), count by month (P15)."""
+    return P.partition_counts(_stored_events(v))
+
+
+def _stored_events(v: Views) -> DataFrame:
     clean = C.clean_events_multiformat(event_rows(v), lookups.load_zones(v["raw_zone_lookup"]))
     times = {"start_time": F.col("start_ts"), "end_time": F.col("end_ts")}
     typed = X.type_and_partition_events(clean.withColumns(times))
     path = scratch_path(v.spark, "chain-events")
     writers.insert_curated(typed, path)
-    return P.partition_counts(readers.read_curated(v.spark, path, "events"))
+    return readers.read_curated(v.spark, path, "events")
+
+
+@query("chain_events_to_impact", f"""
+WITH stored AS (SELECT *, start_ts AS start_time, end_ts AS end_time FROM ({CLEAN_EVENTS}) e)
+{IMPACT.replace("permits", "stored")}""")
+def chain_impact(v: Views) -> DataFrame:
+    """Raw event lines, cleaned, typed and stored as before, read back and joined with all three modes (E8)."""
+    return impact_of(v, _stored_events(v))
+
+
+@query("chain_bikes_to_profile", profile_sql(f"({TYPED_BIKES})", S.CITIBIKE, "citibike", "count(*)", weeks=True))
+def chain_bikes(v: Views) -> DataFrame:
+    """Clean rides (C4), zones by point (J3), type (X7), write by month (K1), weekday and hour profile (A7)."""
+    path = scratch_path(v.spark, "chain-bikes")
+    writers.write_curated(typed_bikes(v), path)
+    return T.zone_temporal_profile(readers.read_curated(v.spark, path, "bikes"), S.CITIBIKE, "citibike", T.valid_weeks(v["subway_rides"]))

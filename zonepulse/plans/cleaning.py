@@ -313,21 +313,36 @@ def x06(v: Views) -> DataFrame:
     return X.type_and_partition_events(text)
 
 
-@query("x07_type_and_partition_bikes", f"""
+def _city_zone(side: str) -> str:
+    """The square of ``city_rings`` around a ride end."""
+    x, y = f"CAST({side}_lng AS DOUBLE)", f"CAST({side}_lat AS DOUBLE)"
+    return f"""CASE WHEN {x} BETWEEN -74.1025 AND -73.8525 AND {y} BETWEEN 40.6775 AND 40.9275
+       THEN CAST(1 + floor(({x} + 74.1025) / 0.05) + 5 * floor(({y} - 40.6775) / 0.05) AS INT) END AS {side}_location_id"""
+
+
+TYPED_BIKES = f"""
 SELECT ride_id, trim(rideable_type) AS rideable_type, CAST(started_at AS TIMESTAMP) AS started_at,
        CAST(ended_at AS TIMESTAMP) AS ended_at, start_station_name, start_station_id, end_station_name, end_station_id,
        CAST(start_lat AS DOUBLE) AS start_lat, CAST(start_lng AS DOUBLE) AS start_lng,
        CAST(end_lat AS DOUBLE) AS end_lat, CAST(end_lng AS DOUBLE) AS end_lng, member_casual AS member_type,
-       CAST(1 AS INT) AS passenger_count, CAST(1 AS INT) AS start_location_id, CAST(2 AS INT) AS end_location_id,
+       CAST(1 AS INT) AS passenger_count, {_city_zone('start')}, {_city_zone('end')},
        CAST(year(CAST(started_at AS TIMESTAMP)) AS INT) AS year,
        CAST(month(CAST(started_at AS TIMESTAMP)) AS INT) AS month
-FROM ({BIKE_FIELDS}) b WHERE n_fields >= 13 AND {BIKE_OK}""")
-def x07(v: Views) -> DataFrame:
-    rides = C.clean_bikes(bike_pieces(v)).withColumns(
-        {"start_location_id": F.lit("1"), "end_location_id": F.lit("2")})
+FROM ({BIKE_FIELDS}) b WHERE n_fields >= 13 AND {BIKE_OK}"""
+
+
+def typed_bikes(v: Views) -> DataFrame:
+    """Clean rides (C4) with the zones of both ends (J3), typed (X7)."""
+    rides, cells = C.clean_bikes(bike_pieces(v)), J.zone_cells(v["city_rings"])
+    rides = rides.withColumns({f"{side}_{c}": F.col(f"{side}_{c}").cast("double") for side in ("start", "end") for c in ("lat", "lng")})
+    for side in ("start", "end"):
+        rides = J.assign_zone_by_point(rides, cells, f"{side}_lng", f"{side}_lat", f"{side}_location_id")
     return X.type_and_partition_bikes(rides)
 
 
+query("x07_type_and_partition_bikes", TYPED_BIKES)(typed_bikes)
+
+
 _TRIP_LIST = ", ".join([*S.TRIP_COLUMNS, "year", "month"])
 
 

@@ -28,18 +28,33 @@ def _tables(v: Views) -> list[DataFrame]:
     return [v[_VIEW[m.name]] for m in _MODES]
 
 
+def _moves(m: Mode, weight: str | None = None, where: str = "true") -> str:
+    """Departures and arrivals as rows."""
+    sides = (("in", m.end_zone, m.end_time), ("out", m.start_zone, m.start_time))
+    return " UNION ALL ".join(
+        f"SELECT '{way}' AS way, {zone} AS place, {t} AS t, {weight or m.weight} AS w FROM {_VIEW[m.name]} WHERE {where}" for way, zone, t in sides)
+
+
+def _spans(last_day: int) -> str:
+    """The windows of each event as rows: arrivals k days before, departures k days after."""
+    return f"""
+SELECT event_id, event_name, event_type, zone_id, start_time, end_time, k, way,
+       CASE way WHEN 'in' THEN pre_start_time - to_days(k) ELSE end_time + to_days(k) END AS lo,
+       CASE way WHEN 'in' THEN start_time - to_days(k) ELSE post_end_time + to_days(k) END AS hi
+FROM ({WINDOWS}) w, (SELECT CAST(unnest(range({last_day + 1})) AS INT) AS k) n, (SELECT unnest(['in', 'out']) AS way) d"""
+
+
+def _total(condition: str) -> str:
+    return f"coalesce(sum(w) FILTER ({condition}), 0)"
+
+
 def _actual_sql(m: Mode) -> str:
     n, kind = m.name, m.weight_type
     return f"""
-SELECT e.event_id, e.event_name, e.event_type, e.zone_id,
-       CAST(sum(CASE WHEN t.{m.end_time} >= e.pre_start_time AND t.{m.end_time} < e.start_time
-                      AND t.{m.end_zone} = e.zone_id THEN t.{m.weight} ELSE 0 END) AS {kind}) AS {n}_inbound_pre,
-       CAST(sum(CASE WHEN t.{m.start_time} >= e.end_time AND t.{m.start_time} < e.post_end_time
-                      AND t.{m.start_zone} = e.zone_id THEN t.{m.weight} ELSE 0 END) AS {kind}) AS {n}_outbound_post
-FROM ({WINDOWS}) e LEFT JOIN {_VIEW[n]} t ON
-     (t.{m.end_time} BETWEEN e.pre_start_time AND e.start_time AND t.{m.end_zone} = e.zone_id)
-  OR (t.{m.start_time} BETWEEN e.end_time AND e.post_end_time AND t.{m.start_zone} = e.zone_id)
-GROUP BY 1, 2, 3, 4"""
+SELECT event_id, event_name, event_type, zone_id, CAST({_total("s.way = 'in'")} AS {kind}) AS {n}_inbound_pre,
+       CAST({_total("s.way = 'out'")} AS {kind}) AS {n}_outbound_post
+FROM ({_spans(0)}) s LEFT JOIN ({_moves(m)}) x ON x.way = s.way AND x.place = s.zone_id AND x.t >= s.lo AND x.t < s.hi
+GROUP BY ALL"""
 
 
 ACTUAL = f"""
@@ -70,28 +85,21 @@ def _clock(t: str) -> str:
     return f"(hour({t}) * 3600 + minute({t}) * 60 + second({t}))"
 
 
-def _in_clock_window(t: str, lo: str, hi: str) -> str:
-    return f"""(CASE WHEN {_clock(hi)} < {_clock(lo)} THEN {_clock(t)} >= {_clock(lo)} OR {_clock(t)} <= {_clock(hi)}
-    ELSE {_clock(t)} BETWEEN {_clock(lo)} AND {_clock(hi)} END)"""
+def _daily_sql(m: Mode, directional: bool = False) -> str:
+    """Trips by the zones they touch, on days without events there; a window is 5,400 seconds of the clock's circle from its start."""
+    known = f"{m.end_time} AS arrival, {m.start_time} AS departure, {m.end_zone} AS to_zone, {m.start_zone} AS from_zone, {m.weight} AS w FROM {_VIEW[m.name]}"
 
+    def side(t: str, since: str, zone: str) -> str:
+        own = f" AND {zone} = zone_id" if directional else ""
+        return f"CAST({_total(f'({_clock(t)} - {since} + 86400) % 86400 <= 5400{own}')} AS {m.weight_type})"
 
-def _daily_sql(m: Mode, directional: bool = False) -> str:
-    two_times = m.start_time != m.end_time
-    second = f"""LEFT JOIN ({EXCLUDED}) ex2 ON ex2.zone_id = e.zone_id
-      AND ex2.exclude_date = CAST(t.{m.start_time} AS DATE)""" if two_times else ""
-    inward = f"AND t.{m.end_zone} = e.zone_id" if directional else ""
-    outward = f"AND t.{m.start_zone} = e.zone_id" if directional else ""
     return f"""
-SELECT e.event_id, CAST(t.{m.end_time} AS DATE) AS baseline_date,
-       CAST(sum(CASE WHEN {_in_clock_window(f't.{m.end_time}', 'e.pre_start_time', 'e.start_time')} {inward}
-                THEN t.{m.weight} ELSE 0 END) AS {m.weight_type}) AS baseline_inbound,
-       CAST(sum(CASE WHEN {_in_clock_window(f't.{m.start_time}', 'e.end_time', 'e.post_end_time')} {outward}
-                THEN t.{m.weight} ELSE 0 END) AS {m.weight_type}) AS baseline_outbound
-FROM ({WINDOWS}) e
-JOIN {_VIEW[m.name]} t ON t.{m.end_zone} = e.zone_id OR t.{m.start_zone} = e.zone_id
-LEFT JOIN ({EXCLUDED}) ex ON ex.zone_id = e.zone_id AND ex.exclude_date = CAST(t.{m.end_time} AS DATE)
-{second}
-WHERE ex.exclude_date IS NULL {'AND ex2.exclude_date IS NULL' if two_times else ''}
+SELECT event_id, CAST(arrival AS DATE) AS baseline_date, {side('arrival', 'since_in', 'to_zone')} AS baseline_inbound,
+       {side('departure', 'since_out', 'from_zone')} AS baseline_outbound
+FROM (SELECT event_id, zone_id, {_clock('pre_start_time')} AS since_in, {_clock('end_time')} AS since_out FROM ({WINDOWS}) w) e
+JOIN (SELECT {m.end_zone} AS zone_id, {known} UNION ALL
+      SELECT {m.start_zone} AS zone_id, {known} WHERE {m.start_zone} IS DISTINCT FROM {m.end_zone}) p USING (zone_id)
+WHERE NOT EXISTS (SELECT 1 FROM ({EXCLUDED}) x WHERE x.zone_id = p.zone_id AND x.exclude_date IN (CAST(arrival AS DATE), CAST(departure AS DATE)))
 GROUP BY 1, 2"""
 
 
@@ -135,13 +143,20 @@ def _ratio(m: Mode, side: str, when: str) -> str:
 _RATIOS = ", ".join(_ratio(m, s, w) for m in _MODES for s, w in (("inbound", "pre"), ("outbound", "post")))
 
 
-@query("e08_event_impact", f"""
+IMPACT = f"""
 SELECT a.* REPLACE (round(subway_inbound_pre, 4) AS subway_inbound_pre,
                     round(subway_outbound_post, 4) AS subway_outbound_post),
        {sql_rounded(_BASELINES, 6)}, {_RATIOS}
-FROM ({ACTUAL}) a LEFT JOIN ({_average_sql()}) b USING (event_id)""")
+FROM ({ACTUAL}) a LEFT JOIN ({_average_sql()}) b USING (event_id)"""
+
+
+@query("e08_event_impact", IMPACT)
 def e08(v: Views) -> DataFrame:
-    impact = E.event_impact(v["permits"], *_tables(v))
+    return impact_of(v, v["permits"])
+
+
+def impact_of(v: Views, events: DataFrame) -> DataFrame:
+    impact = E.event_impact(events, *_tables(v))
     return rounded(rounded(impact, 6, _BASELINES), 4, ["subway_inbound_pre", "subway_outbound_post"])
 
 
@@ -167,36 +182,15 @@ def e09_sample(v: Views) -> DataFrame:
 
 
 def _sampled_sql(m: Mode, events: str = "permits") -> str:
-    n = m.name
-    weight = "1" if m is CITIBIKE else f"t.{m.weight}"
-    arrive, leave = f"t.{m.end_time}", f"t.{m.start_time}"
-    at_end, at_start = f"t.{m.end_zone} = e.zone_id", f"t.{m.start_zone} = e.zone_id"
-    windows = WINDOWS.replace("FROM permits", f"FROM {events}")
-
-    def pre(k: int) -> str:
-        return f"""({arrive} >= e.pre_start_time - INTERVAL '{k}' DAY
-           AND {arrive} < e.start_time - INTERVAL '{k}' DAY AND {at_end})"""
-
-    def post(k: int) -> str:
-        return f"""({leave} >= e.end_time + INTERVAL '{k}' DAY
-           AND {leave} < e.post_end_time + INTERVAL '{k}' DAY AND {at_start})"""
-
-    def total(condition: str) -> str:
-        return f"sum(CASE WHEN {condition} THEN {weight} ELSE 0 END)"
-
-    any_pre, any_post = " OR ".join(map(pre, (1, 2, 3))), " OR ".join(map(post, (1, 2, 3)))
-    # windows of different days never overlap, so one CASE may hold the three of them
-    touched = " OR ".join([pre(k) for k in range(4)] + [post(k) for k in range(4)])
+    n, kind = m.name, m.weight_type
+    year = f"{m.period_time} >= TIMESTAMP '2024-01-01' AND {m.period_time} < TIMESTAMP '2025-01-01'"
     number = (lambda x: f"round({x}, 4)") if m is SUBWAY else (lambda x: x)
+    columns = [f"""{number(f"CAST({_total(f"s.way = '{way}' AND k = 0")} AS {kind})")} AS {n}_{name}""" for way, name in (("in", "inbound_pre"), ("out", "outbound_post"))]
+    columns += [f"""round(CAST({_total(f"s.way = '{way}' AND k > 0")} AS DOUBLE) / 3.0, 4) AS avg_{n}_{name}_baseline""" for way, name in (("in", "inbound"), ("out", "outbound"))]
+    spans = _spans(3).replace("FROM permits", f"FROM {events}")
     return f"""
-SELECT e.event_id, e.event_name, e.event_type, e.zone_id, e.start_time, e.end_time,
-       {number(f"CAST({total(pre(0))} AS {m.weight_type})")} AS {n}_inbound_pre,
-       {number(f"CAST({total(post(0))} AS {m.weight_type})")} AS {n}_outbound_post,
-       round(CAST({total(any_pre)} AS DOUBLE) / 3.0, 4) AS avg_{n}_inbound_baseline,
-       round(CAST({total(any_post)} AS DOUBLE) / 3.0, 4) AS avg_{n}_outbound_baseline
-FROM ({windows}) e
-LEFT JOIN {_VIEW[n]} t ON (t.{m.start_zone} = e.zone_id OR t.{m.end_zone} = e.zone_id) AND ({touched})
-  AND t.{m.period_time} >= TIMESTAMP '2024-01-01' AND t.{m.period_time} < TIMESTAMP '2025-01-01'
+SELECT event_id, event_name, event_type, zone_id, start_time, end_time, {", ".join(columns)}
+FROM ({spans}) s LEFT JOIN ({_moves(m, "1" if m is CITIBIKE else None, year)}) x ON x.way = s.way AND x.place = s.zone_id AND x.t >= s.lo AND x.t < s.hi
 GROUP BY 1, 2, 3, 4, 5, 6"""
 
 

@@ -84,7 +84,7 @@ def _side_sql(view: str, zone: str, time: str, label: str, amount: str, directio
   FROM {view} t {join} WHERE {zone} IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6"""
 
 
-def _profile_sql(view: str, m: Mode, label: str, amount: str, weeks: bool) -> str:
+def profile_sql(view: str, m: Mode, label: str, amount: str, weeks: bool) -> str:
     return f"""
 SELECT zone_id, mode, year, month, day_of_week, hour_of_day, CAST(sum(population_in) AS BIGINT) AS population_in,
        CAST(sum(population_out) AS BIGINT) AS population_out
@@ -93,7 +93,7 @@ FROM ({_side_sql(view, m.start_zone, m.start_time, label, amount, 'out', weeks)}
 GROUP BY ALL"""
 
 
-@query("a05_temporal_profile_subway", _profile_sql(
+@query("a05_temporal_profile_subway", profile_sql(
     "subway_rides", SUBWAY, "subway", "CAST(trunc(sum(estimated_average_ridership)) AS BIGINT)", weeks=False))
 def a05(v: Views) -> DataFrame:
     return T.subway_temporal_profile(v["subway_rides"])
@@ -104,19 +104,19 @@ def _taxi_kind(kind: str) -> str:
 
 
 for _kind, _label in (("yellow", "yellow_taxi"), ("fhv", "fhvhv")):
-    query(f"a06_temporal_profile_{_label}", _profile_sql(_taxi_kind(_kind), TAXI, _label, "count(*)", weeks=True))(
+    query(f"a06_temporal_profile_{_label}", profile_sql(_taxi_kind(_kind), TAXI, _label, "count(*)", weeks=True))(
         lambda v, kind=_kind, label=_label: T.zone_temporal_profile(
             v["taxi_rides"].filter(F.col("taxi_type") == kind), TAXI, label, T.valid_weeks(v["subway_rides"])))
 
 # Green taxis come from the multi-year trips, whose weeks the subway table of those years covers.
 _GREEN = "(SELECT * FROM trips_all WHERE taxi_type = 'green')"
-query("a06_temporal_profile_green_taxi", _profile_sql(_GREEN, TAXI, "green_taxi", "count(*)", weeks=True).replace(
+query("a06_temporal_profile_green_taxi", profile_sql(_GREEN, TAXI, "green_taxi", "count(*)", weeks=True).replace(
     "subway_rides", "subway_volume"))(
     lambda v: T.zone_temporal_profile(
         v["trips_all"].filter(F.col("taxi_type") == "green"), TAXI, "green_taxi", T.valid_weeks(v["subway_volume"])))
 
 
-@query("a07_temporal_profile_citibike", _profile_sql("bike_rides", CITIBIKE, "citibike", "count(*)", weeks=True))
+@query("a07_temporal_profile_citibike", profile_sql("bike_rides", CITIBIKE, "citibike", "count(*)", weeks=True))
 def a07(v: Views) -> DataFrame:
     return T.zone_temporal_profile(v["bike_rides"], CITIBIKE, "citibike", T.valid_weeks(v["subway_rides"]))
 

@@ -426,6 +426,16 @@ def zone_rings(d: Dialect) -> str:
     FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
+@view
+def city_rings(d: Dialect) -> str:
+    """A 5 x 5 grid of squares over the ends of the bike rides, whose borders no ride end lies on."""
+    x0, y0 = "(n_nationkey % 5) * 0.05 - 74.1025", f"{d.div('n_nationkey', '5')} * 0.05 + 40.6775"
+    square = [(x0, y0), (f"{x0} + 0.05", y0), (f"{x0} + 0.05", f"{y0} + 0.05"), (x0, f"{y0} + 0.05")]
+    return f"""
+    SELECT n_nationkey + 1 AS location_id, n_name AS zone, r_name AS borough, {d.ring(square)} AS ring
+    FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+
 @view
 def ride_points(d: Dialect) -> str:
     """Ride ends on a sixteenth grid, some outside of all zones, some without coordinates."""
