@@ -133,3 +133,15 @@ def test_files_of_any_name(spark, tmp_path):
             (top / name).write_bytes(b"".join(members(2, p0=name)))
     found = warc_fixity.compare(spark, str(a), str(b)).collect()
     assert sorted((r.status, r.number) for r in found) == [("extra", 0), ("extra", 1), ("missing", 0), ("missing", 1)]
+
+
+def test_each_length_is_searched_on_its_own(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in rng.normal(size=3 if i % 3 else 2)]) for i in range(60)]
+    found = {}
+    for r in nearest.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda c: c % 20 == 0, 5).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in (0, 20, 40):
+        own = rows[q][1]
+        want = sorted((-float(np.dot(own, v)), i) for i, v in rows if len(v) == len(own) and i != q)[:5]
+        assert [i for _, i in sorted(found[q])] == [i for _, i in want]

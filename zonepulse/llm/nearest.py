@@ -4,10 +4,13 @@ Inner products become distances by one more component, sqrt(M^2 - |x|^2) with M
 |q - x|^2 = |q|^2 + M^2 - 2 q.x, so the nearest vectors are those of largest inner product. Vectors are projected
 with ``DIMS`` normal (2-stable) directions: the squared projected distance of a pair, over its squared true
 distance, follows a chi-square law. A kd-tree over the projections, fitted on a bounded sample, deals all
-vectors to cells, and every cell has a kd-tree of its own. A query first searches its own cell, then
-cells and leaves whose projected distance is so small that the chi-square test does not hold yet: with the
-k-th best distance d so far, a part at projected distance r is left out once P(chi2 <= r^2 / d^2) >= ``SURE``.
-All that is not left out is verified on the original vectors, in double precision.
+vectors to cells, and every cell has a kd-tree of its own. A query first searches the cell that is nearest in the
+projection, then farther ones, in rounds of four times as many cells. With the k-th best distance d so far, a cell, a leaf or
+a single vector at projected distance r is left out once the chi-square test holds: P(chi2 <= r^2 / d^2) >= ``SURE``.
+All that is not left out is verified on the original vectors, in double precision, and only what beats the k-th best
+leaves a task; as that bound is renewed after each round, a query's rows grow with the logarithm of the number of cells.
+
+Vectors of different lengths have no inner product: each length is searched on its own.
 
 Equal vectors are searched once and keep their smallest ids, so a very common vector is one point.
 """
@@ -17,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,12 @@ from zonepulse.sources.scratch import materialize
 
 DIMS, SURE = 16, 0.97
 _CELL, _LEAF, _SAMPLE, _QUERIES = 2048, 128, 65_536, 256
+_WIDER = 4  # a round visits so many times the cells of all rounds before
+
+
+def cell_size(total: int) -> int:
+    """Vectors in a cell: few tables are one cell only, and no cell outgrows a task."""
+    return max(_LEAF, min(_CELL, 8 * math.isqrt(total)))
 
 
 def chi_square(x: float, m: int = DIMS) -> float:
@@ -119,17 +129,11 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 
 
 def valid_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v, norm): distinct rows whose vectors have only finite components and are not zero.
-
-    Of vectors of several lengths, those of the most common one (then the longest) take part.
-    """
+    """(vec_id, v, norm, size): rows whose vectors have only finite components and are not zero."""
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: F.coalesce(~(F.abs(x) <= 1.7976931348623157e308) | F.isnan(x), F.lit(True)))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad)
-    rows = rows.withColumn("norm", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).filter("norm > 0")
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1)
-    found = sizes.collect()
-    return rows.filter(F.size("v") == (found[0]["size"] if found else 0))
+    return rows.withColumn("norm", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).filter("norm > 0").withColumn("size", F.size("v"))
 
 
 def _best(scores: np.ndarray, first: np.ndarray, keep: int) -> np.ndarray:
@@ -147,22 +151,29 @@ class Cell:
         at = tree.leaf_of(y)
         for leaf in range(len(tree.low)):
             rows = np.flatnonzero(at == leaf)
-            self.leaves.append((keys[rows], first[rows], x[rows]))
+            self.leaves.append((keys[rows], first[rows], x[rows], y[rows]))
 
     def search(self, q: np.ndarray, y: np.ndarray, worst: np.ndarray, keep: int, ratio: float):
-        """Keys, smallest ids and scores of up to ``keep`` neighbours of each query; ``worst``: scores to beat."""
+        """Keys, smallest ids and scores of up to ``keep`` neighbours of each query; ``worst``: scores to reach."""
         n = len(q)
         keys, first = np.zeros((n, keep), np.int64), np.full((n, keep), np.iinfo(np.int64).max)
         scores = np.full((n, keep), -np.inf)
         norms = (q * q).sum(1) + self.largest
         apart = self.tree.distances(y)
         for leaf in np.argsort(apart.mean(0), kind="stable"):
-            k, f, x = self.leaves[leaf]
+            k, f, x, at = self.leaves[leaf]
             bar = np.maximum(scores[:, -1], worst)
-            near = np.flatnonzero(apart[:, leaf] < np.maximum(norms - 2 * bar, 0.0) * ratio + 1e-9)
+            reach = np.maximum(norms - 2 * bar, 0.0) * ratio + 1e-9
+            near = np.flatnonzero(apart[:, leaf] < reach)
             if not len(near) or not len(k):
                 continue
-            s = np.einsum("ij,kj->ik", q[near], x, optimize=True)
+            # the test for every single vector: its projected distance against the k-th best true one
+            far = (y[near] ** 2).sum(1)[:, None] + (at**2).sum(1) - 2 * y[near] @ at.T >= reach[near, None]
+            open_ = ~far.all(1)
+            near, far = near[open_], far[open_]
+            if not len(near):
+                continue
+            s = np.where(far, -np.inf, np.einsum("ij,kj->ik", q[near], x, optimize=True))
             hit = (s >= bar[near, None] - 1e-12).any(1)
             rows = near[hit]
             if not len(rows):
@@ -207,7 +218,7 @@ def _searched(points: DataFrame, asked: DataFrame, size: int, largest: float, ke
                 for at in range(0, len(x), _QUERIES):
                     some = slice(at, at + _QUERIES)
                     keys, first, scores = cell.search(x[some], x[some] @ g[:-1], worst[some], keep, ratio)
-                    real = np.isfinite(scores)
+                    real = np.isfinite(scores) & (scores >= worst[some, None])
                     yield pa.record_batch({
                         "q": pa.array(np.repeat(ids[some], real.sum(1)), pa.int64()), "key": pa.array(keys[real], pa.int64()),
                         "first": pa.array(first[real], pa.int64()), "score": pa.array(scores[real], pa.float64()),
@@ -228,71 +239,88 @@ def search(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
     null vec_id, or a vector that is null, zero or not finite, take no part; a repeated row counts once; an empty
     table gives no rows. ``is_query``: a condition on vec_id.
     """
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
-    spark = embeddings.sparkSession
-    rows = valid_vectors(embeddings).select("vec_id", "v", "norm", F.xxhash64("v").alias("key"))
+    rows = valid_vectors(embeddings).withColumn("key", F.xxhash64("v"))
     rows = materialize(rows.withColumn("query", is_query(F.col("vec_id"))), "vectors")
+    lengths = sorted(r[0] for r in rows.select("size").distinct().collect())  # one number for each length of a vector
+    found = [_search(rows.filter(F.col("size") == size), size, k) for size in lengths]
+    empty = embeddings.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def _search(rows: DataFrame, size: int, k: int) -> DataFrame:
+    spark = rows.sparkSession
     ids = rows.select("key", "vec_id").distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(16)))
     some = ids.withColumn("n", F.row_number().over(Window.partitionBy("key", "salt").orderBy("vec_id"))).filter(F.col("n") <= k + 1)
     some = materialize(_top(some, "key", k + 1, "vec_id").select("key", "vec_id"), "ids")
-    size, largest, total = rows.agg(F.max(F.size("v")), F.max("norm"), F.approx_count_distinct("key")).first()
-    if not total:
-        return spark.createDataFrame([], empty)
+    largest, total = rows.agg(F.max("norm"), F.approx_count_distinct("key")).first()
 
     one = rows.groupBy("key").agg(F.min(F.struct("vec_id", "v")).alias("a"), F.max("query").alias("query"))
     one = one.select("key", F.col("a.vec_id").alias("first"), F.col("a.v").alias("v"), "query")
     sample = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, total // _SAMPLE))) == 0).select("v").limit(2 * _SAMPLE)
     g = projection(size)
-    points = np.array([r[0] for r in sample.collect()] or [[0.0] * size])
-    tree = grow(_extended(points, largest) @ g, max(1, min(-(-total // _CELL), len(points) // 8)))
+    points = sample.toArrow()["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    points = points if len(points) else np.zeros((1, size))
+    tree = grow(_extended(points, largest) @ g, max(1, min(-(-total // cell_size(total)), len(points) // 8)))
     shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
 
     def assign():
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             x = b["v"].values.to_numpy(zero_copy_only=False)[b["v"].offsets[0].as_py() : b["v"].offsets[-1].as_py()].reshape(-1, size)
             cells = shared.value.leaf_of(_extended(x, largest) @ g)
-            homes = shared.value.distances(x @ g[:-1]).argmin(1) if len(x) else cells
             return pa.record_batch({
-                "key": b["key"], "first": b["first"], "query": b["query"], "cell": pa.array(cells, pa.int64()), "home": pa.array(homes, pa.int64()),
+                "key": b["key"], "first": b["first"], "query": b["query"], "cell": pa.array(cells, pa.int64()),
                 "x": pa.array([r.tobytes() for r in x], pa.binary()),
             })
 
         return step
 
-    placed = materialize(one.mapInArrow(per_batch(assign), "key bigint, first bigint, query boolean, cell bigint, home bigint, x binary"), "cells")
+    placed = materialize(one.mapInArrow(per_batch(assign), "key bigint, first bigint, query boolean, cell bigint, x binary"), "cells")
     # a cell of more vectors than planned is searched in several units
     parts = {r["cell"]: -(-r["count"] // (4 * _CELL)) for r in placed.groupBy("cell").count().collect()}  # bounded by the tree
     split = F.create_map(*[F.lit(x) for c, n in parts.items() if n > 1 for x in (c, n)]) if max(parts.values()) > 1 else None
     share = F.coalesce(split[F.col("cell")], F.lit(1)) if split is not None else F.lit(1)
     unit = lambda part: F.col("cell") * 65536 + part
     units = placed.withColumn("unit", unit(F.pmod(F.xxhash64("key"), share)))
-    asked = placed.filter("query").select(F.col("key").alias("q"), "x", "home")
-
-    def sent(df: DataFrame) -> DataFrame:
-        return df.withColumn("part", F.explode(F.sequence(F.lit(0), share - 1))).withColumn("unit", unit(F.col("part")))
-
-    none = F.lit(None).cast("double").alias("worst")
-    own = _searched(units, sent(asked.select("q", "x", F.col("home").alias("cell"), none)), size, largest, k + 1)
-    own = materialize(_top(own, "q", k + 1, F.desc("score"), "first").select("q", "key", "first", "score"), "found")
-    reached = own.groupBy("q").agg(F.min("score").alias("low"), F.count("*").alias("n"))
-    bounds = asked.join(reached, "q", "left").select("q", "x", "home", F.when(F.col("n") > k, F.col("low")).alias("worst"))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = stop_ratio()
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = _matrix(b["x"], size)
-            worst = np.nan_to_num(b["worst"].to_numpy(zero_copy_only=False).astype(float), nan=-np.inf, neginf=-np.inf)
-            reach = np.maximum((x * x).sum(1) + largest - 2 * worst, 0.0) * ratio + 1e-9
-            go = shared.value.distances(x @ g[:-1]) < reach[:, None]
-            go[np.arange(len(x)), b["home"].to_numpy()] = False
-            row, cell = np.nonzero(go)
-            yield pa.record_batch({"q": b["q"].take(row), "x": b["x"].take(row), "worst": b["worst"].take(row), "cell": pa.array(cell, pa.int64())})
-
-    more = bounds.mapInArrow(route, "q bigint, x binary, worst double, cell bigint")
-    other = _searched(units, sent(more), size, largest, k + 1)
-    found = _top(own.unionByName(other), "q", k + 1, F.desc("score"), "first").select("q", "key", "score")
+    asked = placed.filter("query").select(F.col("key").alias("q"), "x")
+
+    def route(since: int, until: int):
+        """Queries with the cells that are the ``since``-th to ``until``-th nearest ones and that the test does not rule out."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ratio = stop_ratio()
+            for whole in batches:
+                for start in range(0, whole.num_rows, _QUERIES):
+                    b = whole.slice(start, _QUERIES)
+                    x = _matrix(b["x"], size)
+                    worst = np.nan_to_num(b["worst"].to_numpy(zero_copy_only=False).astype(float), nan=-np.inf, neginf=-np.inf)
+                    reach = np.maximum((x * x).sum(1) + largest - 2 * worst, 0.0) * ratio + 1e-9
+                    apart = shared.value.distances(x @ g[:-1])
+                    order = np.argsort(apart, axis=1, kind="stable")[:, since:until]
+                    row, at = np.nonzero(np.take_along_axis(apart, order, 1) < reach[:, None])
+                    yield pa.record_batch({"q": b["q"].take(row), "x": b["x"].take(row), "worst": b["worst"].take(row), "cell": pa.array(order[row, at], pa.int64())})
+
+        return run
+
+    def visited(bounds: DataFrame, since: int, until: int) -> DataFrame | None:
+        go = materialize(bounds.mapInArrow(route(since, until), "q bigint, x binary, worst double, cell bigint"), "visits")
+        if go.isEmpty():
+            return None  # nor does any query reach a farther cell
+        sent = go.withColumn("part", F.explode(F.sequence(F.lit(0), share - 1))).withColumn("unit", unit(F.col("part")))
+        return _searched(units, sent, size, largest, k + 1)
+
+    def best(found: DataFrame) -> DataFrame:
+        return materialize(_top(found, "q", k + 1, F.desc("score"), "first").select("q", "key", "first", "score"), "found")
+
+    start = visited(asked.withColumn("worst", F.lit(None).cast("double")), 0, 1)
+    found = best(start) if start is not None else spark.createDataFrame([], "q bigint, key bigint, first bigint, score double")
+    since = 1
+    while start is not None and since < len(tree.low):
+        reached = found.groupBy("q").agg(F.min("score").alias("low"), F.count("*").alias("n"))
+        bounds = asked.join(reached, "q", "left").select("q", "x", F.when(F.col("n") > k, F.col("low")).alias("worst"))
+        more = visited(bounds, since, since * _WIDER)
+        if more is None:
+            break
+        found, since = best(found.unionByName(more)), since * _WIDER
+    found = found.select("q", "key", "score")
     named = found.join(some, "key")  # at most k + 1 ids of each vector
     lists = _top(named, "q", k + 1, F.desc("score"), "vec_id").select(F.col("q").alias("of"), "vec_id", "score")
     queries = rows.filter("query").select(F.col("vec_id").alias("query_id"), "key").distinct()
