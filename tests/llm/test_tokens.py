@@ -2,6 +2,7 @@ import collections
 import hashlib
 import zlib
 from array import array
+from functools import lru_cache
 
 import public_tokenizers
 import pytest
@@ -17,14 +18,17 @@ MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXT = st.text(alphabet=st.sampled_from("ab é\n\t  日本'sllré🙂\x1c\xa0 Σς=-12\0theQ"), max_size=60)
 
 
-def library(name):
+@lru_cache
+def library(name, plain=False):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
+    if plain:
+        t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 WORD, BYTE = library("word_bpe_49k.json"), library("byte_bpe_50k.json")
 OWN = {n: tokens.LibraryEncoder(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+PLAIN = {n: tokens.LibraryEncoder(public_tokenizers.path(n), plain=True) for n in OWN}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_transducer.read_ranks(MULTI), special_tokens={})
 ENCODER, DECODER = bpe_transducer.Encoder(MULTI), bpe_transducer.Decoder(MULTI, block=3)
 
@@ -36,6 +40,15 @@ def test_chunks_give_the_ids_of_the_whole_text(text):
     assert list(array("I", OWN["byte_bpe_50k.json"].encode(text))) == BYTE(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|StartOfText|>", "<|startoftext|>", "<|end", " ", "a b", "é", "\n", "Word's", "日本"]), max_size=8))
+def test_strings_of_special_tokens(parts):
+    text = "".join(parts)
+    for name in OWN:
+        assert list(array("I", OWN[name].encode(text))) == library(name)(text)
+        assert list(array("I", PLAIN[name].encode(text))) == library(name, True)(text)
+
+
 @settings(max_examples=400, deadline=None)
 @given(TEXT)
 def test_transducer_agrees_with_tiktoken_and_decodes(text):
@@ -112,6 +125,9 @@ def test_orc_files(spark, tmp_path):
     orc_tokens.write(docs(spark), path, parts=3)
     found = sorted(orc_tokens.digests(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id or 0 for r in found] == sorted(i or 0 for i, *_ in rows())
+    stored = {(r.part, r.place): r for r in orc_tokens.read(spark, path).collect()}
+    in_files = [zlib.crc32(array("I", stored[k].ids).tobytes()) for k in sorted(stored)]
+    assert [r.ids_crc32 for r in found] == in_files
     at, want = 0, collections.Counter((i, zlib.crc32(array("I", [*BYTE(t), 2]).tobytes())) for i, t, *_ in rows())
     for r in found:
         assert r.start == at

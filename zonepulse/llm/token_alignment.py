@@ -84,7 +84,7 @@ def _flat(lists: list[np.ndarray], kind) -> np.ndarray:
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str, digest: bool):
-        self.first, self.digest = library_encoder(a_path), digest
+        self.first, self.digest = library_encoder(a_path, plain=True), digest
         self.a, self.b, self.second = _sides(a_path, b_path)
 
     def _tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -107,20 +107,28 @@ class ChunkEncoder:
 class LibraryEncoder(ChunkEncoder):
     """By a file of the tokenizers library; the merges are the library's own.
 
-    Strings of special tokens are ordinary text. Chunks with letters beyond the Latin ones go through the
-    whole library, so that its own tables of letters decide.
+    Strings of special tokens become their ids, as the library does by default, or with ``plain`` are ordinary
+    text. Texts with such a string go through the whole library, and so do chunks with letters beyond the Latin ones, so
+    that its own tables of letters decide.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added), re.IGNORECASE).search if added and not plain else lambda _: None
         self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
         if not isinstance(self.tokenizer.model, models.BPE):
             raise ValueError(f"{path} is not a byte-pair vocabulary")
         self.find = _PIECES[self.normalize is not None].findall
         self.merge = self.tokenizer.model.tokenize
 
+    def encode(self, text: str | None) -> bytes:
+        if text and self.added(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return super().encode(text)
+
     def split(self, chunk: str) -> list[str]:
         if self.normalize is not None:
             chunk = chunk.lower() if chunk.isascii() else self.normalize(chunk)
@@ -138,6 +146,6 @@ class LibraryEncoder(ChunkEncoder):
 
 
 @lru_cache(2)
-def library_encoder(path: str) -> LibraryEncoder:
+def library_encoder(path: str, plain: bool = False) -> LibraryEncoder:
     """One per worker process: the next task goes on with the tables that the last one has filled."""
-    return LibraryEncoder(path)
+    return LibraryEncoder(path, plain)
