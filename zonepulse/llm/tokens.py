@@ -7,6 +7,7 @@ import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
+from os.path import commonprefix
 
 import regex
 from tokenizers import Tokenizer, models
@@ -116,8 +117,10 @@ class LibraryEncoder(ChunkEncoder):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added), re.IGNORECASE).search if added and not plain else lambda _: None
+        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # what all of them begin with, up to the first letter, is looked for first: that is fast
+        self.sign = re.match(r"[\W\d_]*", commonprefix(added)).group() if added else None
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search
         self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
         if not isinstance(self.tokenizer.model, models.BPE):
             raise ValueError(f"{path} is not a byte-pair vocabulary")
@@ -125,7 +128,7 @@ class LibraryEncoder(ChunkEncoder):
         self.merge = self.tokenizer.model.tokenize
 
     def encode(self, text: str | None) -> bytes:
-        if text and self.added(text):
+        if text and self.sign is not None and self.sign in text and self.added(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return super().encode(text)
 
