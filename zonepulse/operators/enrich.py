@@ -38,6 +38,12 @@ def _pieces(text: Column, length: int = _GRAM) -> Column:
     return F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length))))
 
 
+def _short_lengths(texts: DataFrame, column: str) -> list[int]:
+    """The lengths below that of a piece that occur; three at most."""
+    size = F.length(column).alias("size")
+    return sorted(r[0] for r in texts.select(size).filter(F.col("size").between(1, _GRAM - 1)).distinct().collect())
+
+
 def _candidates(names: DataFrame, known: DataFrame) -> DataFrame:
     """(_std, zone_name, location_id) where one text contains the other. ``names``: distinct locations (_std).
 
@@ -54,9 +60,10 @@ def _candidates(names: DataFrame, known: DataFrame) -> DataFrame:
     n_pieces = F.size(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_std") - _GRAM + 1), lambda i: F.substring("_std", i, _GRAM))))
     place_keys = place_pieces.join(often, "piece").groupBy("_std").agg(rarest, F.count("*").alias("met")).filter(F.col("met") == n_pieces)
     found.append(place_keys.join(broadcast_if_small(pieces), "piece"))
-    for length in range(1, _GRAM):
+    for length in _short_lengths(known, "zone_name"):
         short = broadcast_if_small(known.filter(F.length("zone_name") == length).withColumn("piece", F.col("zone_name")))
         found.append(names.select("_std", _pieces(F.col("_std"), length).alias("piece")).join(short, "piece"))
+    for length in _short_lengths(names, "_std"):
         longer = broadcast_if_small(known.select("zone_name", "location_id", _pieces(F.col("zone_name"), length).alias("piece")))
         found.append(names.filter(F.length("_std") == length).withColumn("piece", F.col("_std")).join(longer, "piece"))
     pairs = reduce(DataFrame.unionByName, [f.select("_std", "zone_name", "location_id") for f in found])
@@ -74,7 +81,7 @@ def match_zone_by_name(events: DataFrame, zones: DataFrame, on: str, default: in
     keyed = events.withColumn(std, standardize_name(F.col(on)))
     places = keyed.filter(F.col(std) != "").groupBy(F.col(std).alias("_std")).agg(F.count("*").alias("events"))
     places = materialize(places, "places")
-    known = zones.filter(F.col("zone_name") != "").select("zone_name", "location_id")
+    known = materialize(zones.filter(F.col("zone_name") != "").select("zone_name", "location_id"), "zones")
 
     overlap = F.least(F.length("_std"), F.length("zone_name"))
     best = (
