@@ -79,8 +79,45 @@ def test_quality_held_out_accuracy_and_awkward_texts(spark):
 
 def test_word_vectors_add_up_over_partitions(spark):
     rows = corpus(spark, 6)
-    as_set = lambda df: {tuple(r) for r in df.collect()}
-    assert as_set(quality_model.context_sums(rows.repartition(1))) == as_set(quality_model.context_sums(rows.repartition(5)))
+    as_set = lambda df: {tuple(r) for r in quality_model.context_sums(quality_model.numbered(df)).collect()}
+    assert as_set(rows.repartition(1)) == as_set(rows.repartition(5))
+
+
+def test_word_vectors_against_plain_loops(spark, monkeypatch):
+    """Sums over neighbours counted one by one, with a flush after few numbers."""
+    monkeypatch.setattr(quality_model, "_NUMBERS_AT_ONCE", 100)
+    texts = ["a b c a", "", None, "Word, word 12 !!", talk("de", 70, 1), "x", "é" * 5000 + "1" * 3000]
+    rows = docs(spark, [(i, t, None, None, 0, "", "", "", "") for i, t in enumerate(texts)])
+    places, signs = quality_model.index_vectors()
+    want, times = {}, {}
+    for t in texts:
+        of = [int(x) for x in np.frombuffer(quality_model.Numbers().of(t), "<u2")]
+        for i, word in enumerate(of):
+            times[word] = times.get(word, 0) + 1
+            vector = want.setdefault(word, [0] * quality_model.SIZE)
+            for j in range(max(0, i - 4), min(len(of), i + 5)):
+                if j != i:
+                    for place, sign in zip(places[of[j]], signs[of[j]]):
+                        vector[place] += int(sign)
+    contexts = quality_model.Contexts()
+    for r in quality_model.numbered(rows).collect():
+        contexts.add(bytes(r.numbers))
+    counts, sums = contexts.sums()
+    assert {int(w): int(counts[w]) for w in np.flatnonzero(counts)} == times
+    assert all(list(sums[w]) == v for w, v in want.items())
+    assert {r.word: [r[i + 2] for i in range(quality_model.SIZE)] for r in quality_model.context_sums(quality_model.numbered(rows)).collect()} == want
+
+
+def test_whole_shape_counts():
+    """Words that differ after thousands of characters have different shapes."""
+    numbers = quality_model.Numbers()
+    assert numbers.of("-a" * 2000 + "9") != numbers.of("-a" * 2000 + "!")
+
+
+def test_few_labels_leave_one_for_the_temperature():
+    x = np.array([[0.0], [1.0], [0.1], [0.9]])
+    p = quality_model.fit(x, np.array([0.0, 1.0, 0.0, 1.0])).probabilities(x)
+    assert ((0 <= p) & (p <= 1)).all()
 
 
 def test_temperature_makes_scores_fit():

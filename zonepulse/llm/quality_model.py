@@ -3,7 +3,8 @@
 Random indexing: a word has a sparse index vector of a few +1 and -1, fixed by its number, and its word vector is
 the sum of the index vectors of the words around it, over the whole corpus. Words share ``WORDS`` numbers by
 hash, so the table of vectors has one size however large the vocabulary; every occurrence counts. Beside
-the word itself its shape counts as a word (letters, digits and which marks it carries). A document is the
+the word itself its shape counts as a word (letters, digits and which marks it carries). Texts are read once:
+their numbers are kept as a table, from which vectors, network and scores are made. A document is the
 weighted mean of its word vectors; a two-layer network, fitted with numpy on a bounded number of labelled
 documents, scores it, and a temperature fitted on labelled documents left out of the fit makes the scores
 probabilities.
@@ -26,15 +27,17 @@ from pyspark.sql import functions as F
 
 from zonepulse.llm.common import held_out_id, is_held_out, per_batch
 from zonepulse.llm.tokens import Memory
+from zonepulse.sources.scratch import materialize
 
 WORDS, SIZE, MARKS, REACH = 8192, 64, 2, 2
 _SHAPES = ((regex.compile(r"\p{Ll}+"), "a"), (regex.compile(r"\p{Lu}+"), "A"), (regex.compile(r"\p{N}+"), "0"), (regex.compile(r"(\W)\1+"), r"\1\1"))
-_TOKENS_AT_ONCE = 300_000
-_CUTS = 1024  # longest run of characters that is taken as one word
+_NUMBERS_AT_ONCE = 1_000_000
+#: Counters of a number: one for each place and sign, and one for the gap between two texts.
+_STRIDE = 2 * SIZE + 1
 
 
-def _number(word: str, kind: bytes) -> int:
-    return zlib.crc32(word.encode("utf-8", "replace"), zlib.crc32(kind)) % WORDS
+def _number(word: str, kind: bytes) -> bytes:
+    return (zlib.crc32(word.encode("utf-8", "replace"), zlib.crc32(kind)) % WORDS).to_bytes(2, "little")
 
 
 class Numbers:
@@ -42,19 +45,37 @@ class Numbers:
 
     def __init__(self) -> None:
         self.known = Memory(250_000)
+        self.plain = _number("a", b"shape")
 
     def _learn(self, word: str) -> bytes:
         if (pair := self.known.older(word)) is None:
-            shape = word
-            for pattern, mark in _SHAPES:
-                shape = pattern.sub(mark, shape)
-            core = "".join(c for c in word.lower() if c.isalnum())
-            pair = _number(core, b"word").to_bytes(2, "little") + _number(shape[:_CUTS], b"shape").to_bytes(2, "little")
+            if word.isascii() and word.isalpha() and word.islower():
+                pair = _number(word, b"word") + self.plain
+            else:
+                shape = word
+                for pattern, mark in _SHAPES:
+                    shape = pattern.sub(mark, shape)
+                core = "".join(c for c in word.lower() if c.isalnum())
+                pair = _number(core, b"word") + _number(shape, b"shape")
         return self.known.keep(word, pair)
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, text: str | None) -> bytes:
+        """Little-endian unsigned 16-bit numbers; a null or empty text has none."""
         get, learn = self.known.get, self._learn
-        return np.frombuffer(b"".join([get(w) or learn(w) for w in (text or "").split()]), "<u2").astype(np.int64)
+        return b"".join([get(w) or learn(w) for w in (text or "").split()])
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id and the word numbers of every whole text, one row per input row; only doc_id and text are read."""
+    def make():
+        numbers = Numbers()
+
+        def step(b: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.record_batch({"doc_id": b["doc_id"], "numbers": pa.array([numbers.of(t) for t in b["text"].to_pylist()], pa.binary())})
+
+        return step
+
+    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(per_batch(make), "doc_id bigint, numbers binary")
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -63,46 +84,67 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, SIZE, (WORDS, MARKS)), rng.choice(np.array([-1.0, 1.0]), (WORDS, MARKS))
 
 
-def _add_contexts(numbers: list[np.ndarray], sums: np.ndarray, counts: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
-    """Adds to each word the index vectors of its neighbours, up to ``REACH`` words away in its own text."""
-    flat = np.concatenate(numbers)
-    of = np.repeat(np.arange(len(numbers)), [len(x) for x in numbers])
-    counts += np.bincount(flat, minlength=WORDS)
-    for away in range(1, 2 * REACH + 1):  # two numbers stand for a word
-        same = of[:-away] == of[away:]
-        a, b = flat[:-away][same], flat[away:][same]
-        for word, near in ((a, b), (b, a)):
-            for k in range(MARKS):
-                sums += np.bincount(word * SIZE + places[near, k], signs[near, k], minlength=WORDS * SIZE).astype(np.int64)
+class Contexts:
+    """Adds to each number the index vectors of its neighbours, up to ``REACH`` words away in its own text.
 
+    A part of +1 or -1 is a count in its own cell, so a neighbour is one addition of whole numbers. Texts are
+    laid end to end with a gap as wide as the reach, whose counts are thrown away.
+    """
 
-def context_sums(docs: DataFrame) -> DataFrame:
-    """Word vectors before scaling: (word, n, v0, v1, ...), whole numbers summed over all documents."""
+    def __init__(self) -> None:
+        places, signs = index_vectors()
+        self.cells = np.vstack([places + SIZE * (signs < 0), np.full((1, MARKS), 2 * SIZE)]).T.copy()
+        self.table, self.counts = np.zeros((WORDS + 1) * _STRIDE, np.int64), np.zeros(WORDS + 1, np.int64)
+        self.gap = np.full(2 * REACH, WORDS, "<u2").tobytes()  # two numbers stand for a word
+        self.waiting: list[bytes] = []
+        self.size = 0
+
+    def add(self, numbers: bytes) -> None:
+        self.waiting += numbers, self.gap
+        self.size += len(numbers) // 2 + 2 * REACH
+        if self.size >= _NUMBERS_AT_ONCE:
+            self._flush()
+
+    def _flush(self) -> None:
+        flat = np.frombuffer(b"".join(self.waiting), "<u2").astype(np.int64)
+        self.waiting, self.size = [], 0
+        self.counts += np.bincount(flat, minlength=WORDS + 1)
+        rows = flat * _STRIDE
+        for cell in self.cells:
+            near = cell[flat]
+            for away in range(1, 2 * REACH + 1):
+                self.table += np.bincount(rows[:-away] + near[away:], minlength=len(self.table))
+                self.table += np.bincount(rows[away:] + near[:-away], minlength=len(self.table))
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often each number occurs, and its vector."""
+        if self.waiting:
+            self._flush()
+        table = self.table.reshape(-1, _STRIDE)[:WORDS]
+        return self.counts[:WORDS], table[:, :SIZE] - table[:, SIZE : 2 * SIZE]
+
+
+def context_sums(rows: DataFrame) -> DataFrame:
+    """Word vectors before scaling: (word, n, v0, v1, ...), whole numbers summed over all ``numbered`` documents."""
     columns = [f"v{i}" for i in range(SIZE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, (places, signs) = Numbers(), index_vectors()
-        sums, counts = np.zeros(WORDS * SIZE, np.int64), np.zeros(WORDS, np.int64)
-        waiting: list[np.ndarray] = []
+        contexts = Contexts()
         for batch in batches:
-            for text in batch["text"]:
-                waiting.append(numbers.of(text.as_py()))
-                if sum(map(len, waiting[-64:])) > _TOKENS_AT_ONCE or len(waiting) >= 512:
-                    _add_contexts(waiting, sums, counts, places, signs)
-                    waiting = []
-        if waiting:
-            _add_contexts(waiting, sums, counts, places, signs)
-        table, at = sums.reshape(WORDS, SIZE), np.flatnonzero(counts)
+            for numbers in batch["numbers"].to_pylist():
+                contexts.add(numbers)
+        counts, table = contexts.sums()
+        at = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64()), *[pa.array(table[at, i], pa.int64()) for i in range(SIZE)]], names=["word", "n", *columns])
 
     schema = "word int, n bigint, " + ", ".join(f"{c} bigint" for c in columns)
-    return docs.select("text").mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns])
+    return rows.select("numbers").mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns])
 
 
-def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def word_vectors(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Unit word vectors without their common direction, and pooling weights that count frequent words less."""
     vectors, counts = np.zeros((WORDS, SIZE)), np.zeros(WORDS)
-    for r in context_sums(docs).collect():  # at most WORDS rows
+    for r in context_sums(rows).collect():  # at most WORDS rows
         counts[r[0]], vectors[r[0]] = r[1], r[2:]
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     share = counts / max(counts.sum(), 1.0)
@@ -110,16 +152,17 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return vectors.astype(np.float32), (1e-3 / (1e-3 + share)).astype(np.float32)
 
 
-def pooled(numbers: np.ndarray, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def pooled(numbers: bytes, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A document as a vector: weighted means of its words' and its shapes' vectors, length and variety."""
-    out = np.zeros(2 * SIZE + 3, np.float32)
-    if len(numbers):
+    out, flat = np.zeros(2 * SIZE + 3, np.float32), np.frombuffer(numbers, "<u2")
+    if len(flat):
         for k in (0, 1):
-            own = numbers[k::2]
-            w = weights[own]
+            times = np.bincount(flat[k::2])
+            own = np.flatnonzero(times)
+            w = weights[own] * times[own].astype(np.float32)
             out[k * SIZE : (k + 1) * SIZE] = (w @ vectors[own]) / max(float(w.sum()), 1e-6)
-            out[2 * SIZE + k] = len(np.unique(own)) / len(own)
-        out[-1] = np.log1p(len(numbers) / 2) / 10
+            out[2 * SIZE + k] = 2 * len(own) / len(flat)
+        out[-1] = np.log1p(len(flat) / 2) / 10
     return out
 
 
@@ -142,10 +185,10 @@ class Network:
 
 
 def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, rounds: int = 60, seed: int = 3) -> Network:
-    """Two layers by Adam on four fifths of the rows; the temperature on the rest."""
+    """Two layers by Adam on four fifths of the rows; the temperature on the rest, of at least one row."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(x))
-    rest, used = (order[: len(x) // 5], order[len(x) // 5 :]) if len(x) >= 50 else (order, order)
+    rest, used = np.split(order, [max(len(x) // 5, 1)])
     mean, scale = x[used].mean(0), x[used].std(0) + 1e-3
     p = [rng.normal(0, (2 / x.shape[1]) ** 0.5, (x.shape[1], hidden)), np.zeros(hidden), rng.normal(0, (1 / hidden) ** 0.5, hidden), np.zeros(1)]
     m, v, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
@@ -172,12 +215,12 @@ def fit(x: np.ndarray, y: np.ndarray, hidden: int = 32, rounds: int = 60, seed:
     return net
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Texts and labels of at most ``most`` documents that are not held out: those with the smallest hashes."""
+def _labelled(rows: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """Numbers and labels of at most ``most`` documents that are not held out: those with the smallest hashes."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     known = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).distinct()
     chosen = known.orderBy("h", "doc_id", "quality").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")  # at most ``most`` rows
+    return rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "numbers", "quality")  # at most ``most`` rows
 
 
 @dataclass
@@ -187,22 +230,20 @@ class Model:
     network: Network | None
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
-    """Word vectors from all texts, the network from at most ``most`` labelled ones; no network without both labels."""
-    vectors, weights = word_vectors(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((vectors, weights))
+def train(rows: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
+    """Word vectors from all ``numbered`` documents, the network from at most ``most`` labelled ones; no network without both labels."""
+    vectors, weights = word_vectors(rows)
+    shared = rows.sparkSession.sparkContext.broadcast((vectors, weights))
 
     def make():
-        numbers = Numbers()
-
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            xs = [pooled(numbers.of(t), *shared.value).tobytes() for t in b["text"].to_pylist()]
+            xs = [pooled(n, *shared.value).tobytes() for n in b["numbers"].to_pylist()]
             return pa.record_batch({"doc_id": b["doc_id"], "quality": b["quality"].cast(pa.int32()), "x": pa.array(xs, pa.binary())})
 
         return step
 
-    rows = _labelled(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text"), labels, most).mapInArrow(per_batch(make), "doc_id bigint, quality int, x binary")
-    one = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x"))  # repeated rows learn once
+    sample = _labelled(rows, labels, most).mapInArrow(per_batch(make), "doc_id bigint, quality int, x binary")
+    one = sample.groupBy("doc_id", "quality").agg(F.min("x").alias("x"))  # repeated rows learn once
     found = sorted(one.collect(), key=lambda r: (r[0], r[1]))
     y = np.array([r[1] for r in found], float)
     if len(set(y)) < 2:
@@ -210,19 +251,15 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
     return Model(vectors, weights, fit(np.array([np.frombuffer(r[2], np.float32) for r in found], float), y))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document; 0.5 if there was nothing to learn from.
-
-    Null and empty texts are scored as documents without words. One row per input row; only doc_id and text are read.
-    """
-    rows = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score and predicted of every ``numbered`` document; 0.5 if there was nothing to learn from."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        known, numbers = shared.value, Numbers()
+        known = shared.value
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            x = np.array([pooled(numbers.of(t), known.vectors, known.weights) for t in b["text"].to_pylist()], float).reshape(b.num_rows, 2 * SIZE + 3)
+            x = np.array([pooled(n, known.vectors, known.weights) for n in b["numbers"].to_pylist()], float).reshape(b.num_rows, 2 * SIZE + 3)
             p = known.network.probabilities(x) if known.network else np.full(b.num_rows, 0.5)
             return pa.record_batch({
                 "doc_id": b["doc_id"], "held_out": pa.array([held_out_id(d) for d in b["doc_id"].to_pylist()], pa.bool_()),
@@ -235,4 +272,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> DataFrame:
-    return score(docs, train(docs, labels, most))
+    """One row per input row: doc_id, held_out, score and predicted.
+
+    Null and empty texts are scored as documents without words, very long ones by all their words. Repeated rows are
+    scored alike; rows of one id with different texts are scored apart and all learned from. A null id has no label and
+    is scored. An empty table gives no rows; without labels of both kinds every score is 0.5. Columns other than
+    doc_id and text are not read.
+    """
+    rows = materialize(numbered(docs), "word-numbers")
+    return score(rows, train(rows, labels, most))
