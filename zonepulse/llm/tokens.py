@@ -23,6 +23,8 @@ _PIECES = {
 }
 #: Up to here Unicode's letter classes are the same in all libraries; chunks beyond go through the whole tokenizer.
 _LATIN = "ɏ"
+#: Marks that, behind a word, are a piece of their own in both kinds of tokenizers.
+_MARKS = ".,;:!?"
 #: Byte-level vocabularies write a byte as a visible character: itself, or the next one from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
@@ -142,9 +144,26 @@ class LibraryEncoder(ChunkEncoder):
         text = piece.replace(" ", _BYTES[32]) if plain else piece.encode().decode("latin-1").translate(_BYTES)
         return [t.id for t in self.merge(text)]
 
+    def _alone(self, piece: str) -> bytes:
+        """A piece that is a chunk by itself shares its table."""
+        ids = self.chunks.get(piece) or self.chunks.before.get(piece)
+        return ids or self.chunks.keep(piece, array("I", self.ids(piece)).tobytes())
+
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() or max(chunk) <= _LATIN:
-            return super()._chunk(chunk)
+        if (ids := self.chunks.before.get(chunk)) is not None:
+            return self.chunks.keep(chunk, ids)
+        head = chunk.rstrip(_MARKS)
+        word = head[1:] if head[:1] == " " else head
+        if word.isascii() or max(word) <= _LATIN:
+            if self.normalize is not None:  # these letters are composed already, so only their case changes
+                head = word = word.lower()
+            if word.isalpha():  # most chunks are a word and marks behind it, which needs no pattern
+                ids, marks = self._alone(head), chunk[len(chunk.rstrip(_MARKS)) :]
+                if marks:
+                    return self.chunks.keep(chunk, ids + self._alone(marks))
+                return ids if chunk == head else self.chunks.keep(chunk, ids)
+            if chunk.isascii() or max(chunk) <= _LATIN:
+                return super()._chunk(chunk)
         return self.chunks.keep(chunk, array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes())
 
 
