@@ -78,17 +78,20 @@ def test_components(spark, seed):
     assert all(root(a) == found.get(a, a) for a in up)
 
 
-def test_lines_against_sql(spark):
-    frame = docs(spark)
+@pytest.mark.parametrize("rules", [line_dedup.Keys(), line_dedup.WHOLE])
+def test_lines_against_sql(spark, rules):
+    twice = "a passage of the same words in two documents and in no other one, with 7 numbers 8 and 9 more words than that"
+    odd = ["Les.", "Les.\n 12  34\n12 34 56", "Les.\n12 35\n12 34 56\n1 2 3 4 5 6 7 8 9 10 11 12 13", "12 34 56\nv1 v2 v3", "日本語の長い行" * 9, "日本語の長い行" * 9 + "\nv4 v5 v6", twice, "x\n" + twice, "v7 é v8\nv7 v8 v9", "v1 é v2", "v3 é v4"]
+    frame = docs(spark, rows() + [(100 + i, t, None, None, 0, "", "", "", "") for i, t in enumerate(odd)])
     con = duckdb.connect()
     con.register("documents", frame.toArrow())
-    done = line_dedup.deduplicate(frame)
+    done = line_dedup.deduplicate(frame, rules)
     assert set(done.columns) > set(frame.columns)
     from pyspark.sql import functions as F
 
     counts = [c for c in done.columns if c not in frame.columns]  # n_lines is taken, so it has another name
     as_named = done.select("doc_id", done[counts[0]].alias("n_lines"), done[counts[1]].alias("n_dropped"), F.md5("text").alias("text_md5"))
-    distinct = "SELECT * FROM (" + line_dedup.oracle_sql().replace("FROM documents", "FROM (SELECT DISTINCT doc_id, text FROM documents)") + ")"
+    distinct = "SELECT * FROM (" + line_dedup.oracle_sql(rules).replace("FROM documents", "FROM (SELECT DISTINCT doc_id, text FROM documents)") + ")"
     assert differences(as_named.distinct(), con, distinct) == []
 
 

@@ -1,10 +1,10 @@
-"""Lines that recur across documents, by a log-template tree.
+"""Lines that recur across documents, by keys that generalise variable fields.
 
-Lines are parsed as log messages are: the tree's first level is the number of tokens, the next ones are the leading
-tokens, and a token with a digit is a variable field ``<*>``. Below a leaf, a template may leave one quarter of
-the remaining tokens open as well, so a line belongs to its exact template and to those with one quarter left
-open; each is a fixed number of keys, and no two lines are ever compared. A template that occurs in at least
-``min_docs`` documents recurs: its lines stay in the first document that has them and go everywhere else.
+A log-template tree files a line under its number of tokens and its leading tokens and opens the fields that vary.
+Here no tree is built: a line has a fixed number of keys, and no two lines are ever compared. The first key is the line
+with ``<*>`` for every token with a digit; long lines also have four keys with the leading tokens and one fixed
+quarter of the others open. A key that at least ``min_docs`` documents have recurs: its lines stay in the first document
+that has them and go everywhere else. A line that varies elsewhere is not caught.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ _DIGIT = regex.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 
 
 @dataclass(frozen=True)
-class Tree:
+class Keys:
     """``min_docs``: documents that make a template recur; ``min_tokens``: shorter lines are left alone, unless
     ``short``: then they recur as they stand, fields with digits too; ``lead``: leading tokens on the path;
     ``open_from``: tokens from which a quarter may be open. With ``pairs``, a line of ``long_tokens`` tokens, or of
@@ -47,35 +47,35 @@ class Tree:
 
 #: Every line that is not blank may recur, however few tokens it has (text without spaces has one token a line), and
 #: a passage that two documents share does; rows of numbers are told apart by their numbers.
-WHOLE = Tree(short=True, pairs=True, constant=True)
+WHOLE = Keys(short=True, pairs=True, constant=True)
 
 
-def templates(line: bytes, tree: Tree) -> list[bytes]:
+def templates(line: bytes, rules: Keys) -> list[bytes]:
     """The templates of a line: its exact one first, then those with one quarter open; short lines have at most one."""
     tokens = _DIGIT.sub(FIELD.encode(), line).split()
     n = len(tokens)
-    if n < tree.min_tokens:
-        return [b" ".join(line.split())] if n and tree.short else []
+    if n < rules.min_tokens:
+        return [b" ".join(line.split())] if n and rules.short else []
     out = [b" ".join(tokens)]
-    if n >= tree.open_from:
-        rest = n - tree.lead
+    if n >= rules.open_from:
+        rest = n - rules.lead
         for q in range(4):
-            a, b = tree.lead + rest * q // 4, tree.lead + rest * (q + 1) // 4
+            a, b = rules.lead + rest * q // 4, rules.lead + rest * (q + 1) // 4
             out.append(b" ".join(tokens[:a] + [b"<%d>" % (b - a)] + tokens[b:]))
-    if tree.constant:
+    if rules.constant:
         out = [t if _LETTER.search(t) else b" ".join(line.split()) for t in out[:1]] + [t for t in out[1:] if _LETTER.search(t)]
     return out
 
 
-def passage(line: bytes, tree: Tree) -> bytes | None:
+def passage(line: bytes, rules: Keys) -> bytes | None:
     """What makes a long line recur from two documents on: all its tokens, numbers too; none for other lines."""
-    tokens = line.split() if tree.pairs else []
-    if len(tokens) >= tree.long_tokens or tokens and len(line) >= tree.long_bytes:
+    tokens = line.split() if rules.pairs else []
+    if len(tokens) >= rules.long_tokens or tokens and len(line) >= rules.long_bytes:
         return b"\n" + b" ".join(tokens)  # unlike any template
     return None
 
 
-def line_keys(docs: DataFrame, tree: Tree) -> DataFrame:
+def line_keys(docs: DataFrame, rules: Keys) -> DataFrame:
     """(row, doc_id, key, least, at): the keys of every document's lines, from how many documents on they recur, and the
     lines they stand for, each key once."""
     def make():
@@ -87,8 +87,8 @@ def line_keys(docs: DataFrame, tree: Tree) -> DataFrame:
                     seen: dict[bytes, list[tuple[int, int]]] = {}
                     for i, line in enumerate(text.encode("utf-8", "replace").split(b"\n")):
                         if (known := seen.get(line)) is None:
-                            known = seen[line] = [(xxhash.xxh3_64_intdigest(t) - (1 << 63), tree.min_docs) for t in templates(line, tree)]
-                            if (whole := passage(line, tree)) is not None:
+                            known = seen[line] = [(xxhash.xxh3_64_intdigest(t) - (1 << 63), rules.min_docs) for t in templates(line, rules)]
+                            if (whole := passage(line, rules)) is not None:
                                 known.append((xxhash.xxh3_64_intdigest(whole) - (1 << 63), 2))
                         for key in known:
                             places.setdefault(key, []).append(i)
@@ -111,9 +111,9 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row"))
 
 
-def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+def dropped_lines(docs: DataFrame, rules: Keys = Keys()) -> DataFrame:
     """(row, lines): for every document that loses lines, their sorted places, counted from 0."""
-    keys = materialize(line_keys(_numbered(docs), tree), "lines")
+    keys = materialize(line_keys(_numbered(docs), rules), "lines")
     # a null id owns lines only where no other document has them
     owner = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("row").alias("r")))
     recurring = keys.groupBy("key", "least").agg(F.count("*").alias("n_docs"), owner.alias("owner")).filter(F.col("n_docs") >= F.col("least"))
@@ -122,7 +122,7 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     return hit.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("lines"))
 
 
-def deduplicate(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+def deduplicate(docs: DataFrame, rules: Keys = Keys()) -> DataFrame:
     """All rows and columns of ``docs``; ``text`` without the lines that recur elsewhere, and two counts.
 
     Added are ``n_lines`` and ``n_dropped`` (under other names if these are taken). Null texts stay null and have no
@@ -130,7 +130,7 @@ def deduplicate(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     keeps what its twin keeps. The order of kept lines does not change. An empty table gives no rows.
     """
     row, lines, parts, text = named("row", docs.columns), named("lines", docs.columns), named("parts", docs.columns), F.col("text")
-    gone = dropped_lines(docs, tree).select(F.col("row").alias(row), F.col("lines").alias(lines))
+    gone = dropped_lines(docs, rules).select(F.col("row").alias(row), F.col("lines").alias(lines))
     marked = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("bigint"), "text")).join(gone, row, "left")
     marked = evaluate_once(marked.withColumn(parts, F.split(text, "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(lines))  # keeps the order
@@ -146,30 +146,36 @@ def _free(name: str, docs: DataFrame) -> str:
     return name if name not in {c.lower() for c in docs.columns} else named(name, docs.columns)
 
 
-def clean_documents(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+def clean_documents(docs: DataFrame, rules: Keys = Keys()) -> DataFrame:
     """The documents with their own columns, their texts without recurring lines; rows left without any text by that go."""
-    done = deduplicate(docs, tree)
+    done = deduplicate(docs, rules)
     dropped = _free("n_dropped", docs)
     return done.filter((F.col(dropped) == 0) | (F.trim("text") != "")).select(*[done[c] for c in docs.columns])
 
 
-def oracle_sql(tree: Tree = Tree()) -> str:
+def oracle_sql(rules: Keys = Keys()) -> str:
     """doc_id, n_lines, n_dropped and the kept text's checksum, with templates written out, in DuckDB SQL."""
-    lead = tree.lead
-    quarters = ", ".join(
-        f"CASE WHEN len(k) >= {tree.open_from} THEN array_to_string(k[:{lead} + (len(k) - {lead}) * {q} // 4], ' ') || ' <' || "
-        f"((len(k) - {lead}) * {q + 1} // 4 - (len(k) - {lead}) * {q} // 4) || '> ' || array_to_string(k[{lead} + (len(k) - {lead}) * {q + 1} // 4 + 1:], ' ') END"
-        for q in range(4)
-    )
+    lead = rules.lead
+    masked, plain = "array_to_string(k, ' ')", "array_to_string(w, ' ')"
+    letter = (lambda key: f"regexp_matches({key}, '[A-Za-z]|[^\\x00-\\x7F]')") if rules.constant else (lambda key: "true")
+    first = f"CASE WHEN len(k) >= {rules.min_tokens} THEN CASE WHEN {letter(masked)} THEN {masked} ELSE {plain} END {f'ELSE {plain}' if rules.short else ''} END"
+    keys = [f"struct_pack(key := {first}, least := {rules.min_docs})"]
+    for q in range(4):
+        start, end = f"{lead} + (len(k) - {lead}) * {q} // 4", f"{lead} + (len(k) - {lead}) * {q + 1} // 4"
+        part = f"(array_to_string(k[:{start}], ' ') || ' <' || (({end}) - ({start})) || '> ' || array_to_string(k[{end} + 1:], ' '))"
+        key = f"CASE WHEN len(k) >= greatest({rules.open_from}, {rules.min_tokens}) AND {letter(part)} THEN {part} END"
+        keys.append(f"struct_pack(key := {key}, least := {rules.min_docs})")
+    if rules.pairs:
+        keys.append(f"struct_pack(key := CASE WHEN len(k) >= {rules.long_tokens} OR strlen(line) >= {rules.long_bytes} THEN chr(10) || {plain} END, least := 2)")
     return f"""
     WITH src AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
     lines AS (SELECT rid, doc_id, generate_subscripts(ls, 1) - 1 AS i, unnest(ls) AS line FROM (SELECT rid, doc_id, string_split(text, chr(10)) AS ls FROM src)),
-    toks AS (SELECT rid, doc_id, i, list_transform(list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''),
-             lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS k FROM lines),
-    keys AS (SELECT rid, doc_id, i, unnest([array_to_string(k, ' '), {quarters}]) AS key FROM toks WHERE len(k) >= {tree.min_tokens}),
-    often AS (SELECT key, arg_min(rid, (coalesce(doc_id, 9223372036854775807), rid)) AS first FROM (SELECT DISTINCT key, rid, doc_id FROM keys WHERE key IS NOT NULL)
-              GROUP BY key HAVING count(*) >= {tree.min_docs}),
-    gone AS (SELECT DISTINCT rid, i FROM keys JOIN often USING (key) WHERE rid <> first),
+    toks AS (SELECT *, list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS k FROM
+             (SELECT *, list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM lines)),
+    keys AS (SELECT rid, doc_id, i, e.key AS key, e.least AS least FROM (SELECT rid, doc_id, i, unnest([{', '.join(keys)}]) AS e FROM toks WHERE len(w) > 0) WHERE e.key IS NOT NULL),
+    often AS (SELECT key, least, arg_min(rid, (coalesce(doc_id, 9223372036854775807), rid)) AS first FROM (SELECT DISTINCT key, least, rid, doc_id FROM keys)
+              GROUP BY key, least HAVING count(*) >= least),
+    gone AS (SELECT DISTINCT rid, i FROM keys JOIN often USING (key, least) WHERE rid <> first),
     counts AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid),
     kept AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) AS t FROM lines ANTI JOIN gone USING (rid, i) GROUP BY rid)
     SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_dropped,

@@ -35,7 +35,7 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and dropped lines of every document, and the checksum of the text that stays."""
-    done = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    done = line_dedup.deduplicate(table(spark, sf_dir, "documents"), line_dedup.WHOLE)
     return done.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
@@ -108,7 +108,7 @@ LLM_QUERIES: dict[str, Query] = {
 }
 LLM_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
-    "op4_line_dedup": line_dedup.oracle_sql(),
+    "op4_line_dedup": line_dedup.oracle_sql(line_dedup.WHOLE),
     "op5_warc_fixity": warc_fixity.oracle_sql(),
     "op11_ngram_join": ngram_join.oracle_sql(),
     "op13_merkle_manifest": merkle_manifest.oracle_sql(),
