@@ -60,3 +60,24 @@ def test_threshold_follows_the_source(spark):
     found = {r.doc_id: r for r in q.judge(docs(spark, some), q.Rules(min_words=10)).collect()}
     assert found[0].kept and found[1].kept
     assert not found[9999].kept and "symbols" in found[9999].broken
+
+
+def test_words_that_are_far_too_short_go(spark):
+    usual = "".join(f"word{i} other{i} thing{i} " for i in range(30))
+    short = "".join(f"{chr(97 + i)} {i} {chr(97 + j)} " for i in range(26) for j in range(3))
+    some = [(i, usual, "en", "web", 0, "", "", "", "") for i in range(300)] + [(9999, short, "en", "web", 0, "", "", "", "")]
+    found = {r.doc_id: r for r in q.judge(docs(spark, some), q.Rules(min_words=10, max_repeat_share=100)).collect()}
+    assert found[0].kept and "word_length" in found[9999].broken
+
+
+def test_fences_follow_the_given_table(spark):
+    """Fences differ between groups in more than one measure, and bad documents go while good ones stay."""
+    path = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{path}/documents.parquet")
+    found = q.thresholds(q.sketch(q.shares(q.measure(table, ["doc_id", "lang", "source"])))).collect()
+    differ = [m for m in q.MEASURES if len({r[f"t_{m}"].high for r in found}) > 1]
+    assert {"word_length", "upper", "dup_lines", "repeat_words"} <= set(differ)
+    assert len({r["t_word_length"].low for r in found}) > 1
+    judged = q.judge(table).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").filter("quality IS NOT NULL AND NOT base_failed")
+    bad, good = (judged.filter(f"quality = {k}").selectExpr("count(*)", "count_if(kept)").first() for k in (0, 1))
+    assert bad[1] == 0 and good[0] - good[1] <= 11

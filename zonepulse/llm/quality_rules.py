@@ -4,8 +4,10 @@ Every document gets a few scaled shares (symbols, repeated words, ...). Their di
 language and source is kept as a mergeable quantile sketch: a log-linear histogram, whose rows are
 (language, source, measure, bucket, count). Sketches merge by adding counts, so partitions, days or
 sources can be combined in any order and the result is always the same; a bucket is at most 1/32 wide
-relative to its value, and a sketch has at most a few hundred rows however large the group. The upper fence
-of a measure is its third quartile plus a multiple of its interquartile range. Groups with few documents
+relative to its value, and a sketch has at most a few hundred rows however large the group. The fences
+of a measure lie a multiple of its interquartile range outside its quartiles. Most documents have no symbol and no
+repeated line, so the range of such measures is often 0; a handful of occurrences in a document of the group's median
+size then takes its place, so the fences of groups with short documents are wider. Groups with few documents
 take the merged sketch of their language, and small languages that of the whole corpus.
 
 The main path is DataFrame expressions only.
@@ -24,20 +26,27 @@ from zonepulse.functions.plan import evaluate_once
 from zonepulse.llm.common import named, salted_join, words
 from zonepulse.sources.scratch import materialize
 
-#: Shares with a fence, in thousandths of the named whole, and the least range that counts as their spread
-#: (also in thousandths of the median). Repeated lines and words are common in clean documents, hence wider.
-MEASURES = {"word_length": 25, "symbols": 25, "upper": 25, "marks": 25, "dup_lines": 100, "repeat_words": 100}
+#: Shares with fences, in thousandths: the part, the whole, and how many of the part are nothing special in a document
+#: of usual size (18 repeated words: a phrase of nine said twice).
+MEASURES = {
+    "word_length": ("word_chars", "n_words", 0), "symbols": ("n_symbols", "word_chars", 5), "upper": ("_upper", "word_chars", 8),
+    "marks": ("_marks", "word_chars", 5), "dup_lines": ("n_dup_lines", "_n_lines", 1), "repeat_words": ("n_repeat_words", "n_words", 18),
+}
+#: Wholes that are sketched as well, for their medians; they follow the measures in number.
+WHOLES = ("n_words", "word_chars", "_n_lines")
 _EXACT = 64  # values below are their own bucket; above, five bits after the leading one are kept
 
 
 @dataclass(frozen=True)
 class Rules:
-    """``reach``: interquartile ranges above the third quartile; ``min_docs``: documents that a group needs to
-    have thresholds of its own."""
+    """``reach``: spreads between a quartile and its fence; ``least`` and ``relative``: the least spread, in thousandths
+    and in thousandths of the median; ``min_docs``: documents that a group needs to have thresholds of its own."""
 
     min_words: int = 50
     max_repeat_share: int = 50
-    reach: int = 4
+    reach: int = 5
+    least: int = 5
+    relative: int = 25
     min_docs: int = 200
 
 
@@ -98,10 +107,7 @@ def shares(measured: DataFrame) -> DataFrame:
     def of(part: str, whole: str) -> Column:
         return F.expr(f"CASE WHEN {whole} > 0 THEN ({part} * 1000) DIV {whole} ELSE 0L END")
 
-    return measured.withColumns({
-        "word_length": of("word_chars", "n_words"), "symbols": of("n_symbols", "word_chars"), "upper": of("_upper", "word_chars"),
-        "marks": of("_marks", "word_chars"), "dup_lines": of("n_dup_lines", "_n_lines"), "repeat_words": of("n_repeat_words", "n_words"),
-    })
+    return measured.withColumns({m: of(part, whole) for m, (part, whole, _) in MEASURES.items()})
 
 
 def bucket(value: Column) -> Column:
@@ -111,8 +117,8 @@ def bucket(value: Column) -> Column:
 
 
 def sketch(rows: DataFrame) -> DataFrame:
-    """Quantile sketches of all measures per language and source: (lang, source, measure, bucket, n)."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("measure"), bucket(F.col(m)).alias("bucket")) for i, m in enumerate(MEASURES)]))
+    """Quantile sketches of all measures and wholes per language and source: (lang, source, measure, bucket, n)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("measure"), bucket(F.col(m)).alias("bucket")) for i, m in enumerate([*MEASURES, *WHOLES])]))
     return rows.select("lang", "source", pairs.alias("p")).groupBy("lang", "source", "p.measure", "p.bucket").agg(F.count("*").alias("n"))
 
 
@@ -125,7 +131,7 @@ def merge(*sketches: DataFrame) -> DataFrame:
 
 
 def _fences(sketches: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Upper fence of every group of ``keys`` and measure, and the group's size."""
+    """Lowest and highest usual value of every group of ``keys`` and measure, and the group's size."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*keys, "measure")
     ranked = merged.select(*keys, "measure", "bucket", F.sum("n").over(w).alias("total"), F.sum("n").over(w.orderBy("bucket")).alias("upto"))
@@ -134,13 +140,18 @@ def _fences(sketches: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
         return F.min(F.when(F.col("upto") * 4 >= F.col("total") * part, F.col("bucket")))
 
     q = ranked.groupBy(*keys, "measure").agg(quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"), F.max("total").alias("total"))
-    floor = F.get(F.array(*[F.lit(n) for n in MEASURES.values()]), F.col("measure")).cast("long")
-    spread = F.greatest(F.expr("q3 - q1"), floor, F.floor(F.col("q2") * floor / 1000))
-    return q.select(*keys, "measure", "total", (F.col("q3") + spread * rules.reach).cast("long").alias("fence"))
+    # at most nine rows of a group meet here
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    sizes = F.array(*[F.max(F.when(F.col("measure") == len(MEASURES) + i, F.col("q2"))).over(group) for i in range(len(WHOLES))])
+    whole = F.array(*[F.lit(WHOLES.index(w)) for _, w, _ in MEASURES.values()])
+    few = F.array(*[F.lit(n) for _, _, n in MEASURES.values()])
+    q = q.withColumns({"size": F.get(sizes, F.get(whole, F.col("measure"))), "few": F.get(few, F.col("measure"))}).filter(F.col("measure") < len(MEASURES))
+    spread = F.expr(f"greatest(q3 - q1, {rules.least}L, (q2 * {rules.relative}) DIV 1000, (few * 1000L) DIV greatest(size, 1L))")
+    return q.withColumn("reach", spread * rules.reach).select(*keys, "measure", "total", F.struct((F.col("q1") - F.col("reach")).alias("low"), (F.col("q3") + F.col("reach")).alias("high")).alias("fence"))
 
 
 def thresholds(sketches: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Fences for every (lang, source) of the sketches: its own, its language's or the corpus's."""
+    """Fences (``low``, ``high``) for every (lang, source) of the sketches: its own, its language's or the corpus's."""
     own = _fences(sketches, ["lang", "source"], rules)
     by_lang = _fences(sketches, ["lang"], rules).toDF("l_lang", "l_measure", "l_total", "l_fence")
     overall = _fences(sketches, [], rules).toDF("a_measure", "a_total", "a_fence")
@@ -159,11 +170,11 @@ def _with_ids(docs: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """One row per input row: doc_id, the base counts, ``base_failed``, ``kept`` and ``broken`` (measures above their fence).
+    """One row per input row: doc_id, the base counts, ``base_failed``, ``kept`` and ``broken`` (measures outside their fences).
 
     Null language or source form groups of their own; repeated rows count and are judged each on their own;
-    null and empty texts fail the base rules; an empty table gives no rows. The text is read once: its
-    counts are kept as a narrow table, from which both the sketches and the joined filter are made.
+    null and empty texts fail the base rules; an empty table gives no rows; a very long text counts whole, as any other
+    does. The text is read once: its counts are kept as a narrow table, from which both the sketches and the joined filter are made.
     """
     measured = materialize(shares(measure(_with_ids(docs), ["doc_id", "lang", "source"])), "quality")
     table = thresholds(sketch(measured), rules)
@@ -172,7 +183,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         measured, table, lambda a, b: a["lang"].eqNullSafe(b["t_lang"]) & a["source"].eqNullSafe(b["t_source"]), F.struct("doc_id", "word_chars", "n_words"), "left",
     )
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_share * F.col("n_words"))
-    broken = F.array_compact(F.array(*[F.when(F.col(m) > F.col(f"t_{m}"), F.lit(m)) for m in MEASURES]))
+    broken = F.array_compact(F.array(*[F.when((F.col(m) < F.col(f"t_{m}.low")) | (F.col(m) > F.col(f"t_{m}.high")), F.lit(m)) for m in MEASURES]))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (F.size(broken) == 0)).alias("kept"), F.concat_ws(",", broken).alias("broken"),
@@ -199,22 +210,27 @@ def _groups(docs: DataFrame) -> list[str]:
 
 def oracle_sql(rules: Rules = Rules()) -> str:
     """The same rows in DuckDB SQL, stated with lists and plain joins."""
-    per = {
-        "word_length": ("word_chars", "n_words"), "symbols": ("n_symbols", "word_chars"), "upper": ("up", "word_chars"),
-        "marks": ("marks_n", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeat_words": ("n_repeat_words", "n_words"),
-    }
-    cases = ", ".join(f"CASE WHEN {b} > 0 THEN ({a} * 1000) // {b} ELSE 0 END AS {m}" for m, (a, b) in per.items())
-    long = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS m, {m} AS v FROM shares" for m in MEASURES)
+    own = {"_upper": "up", "_marks": "marks_n", "_n_lines": "n_lines"}
+    per = {m: (own.get(part, part), own.get(whole, whole), few) for m, (part, whole, few) in MEASURES.items()}
+    cases = ", ".join(f"CASE WHEN {b} > 0 THEN ({a} * 1000) // {b} ELSE 0 END AS {m}" for m, (a, b, _) in per.items())
+    sizes = {w: own.get(w, w) for w in WHOLES}
+    long = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS m, {v} AS v FROM shares" for m, v in [*zip(MEASURES, MEASURES), *[(f"size {v}", v) for v in sizes.values()]])
 
     def level(name: str, keys: str) -> str:
         part = f"{keys}, m" if keys else "m"
-        floor = f"CASE m {' '.join(f"WHEN '{m}' THEN {n}" for m, n in MEASURES.items())} END"
+        same = "".join(f" AND s.{k} IS NOT DISTINCT FROM q.{k}" for k in keys.split(", ") if k)
+        rules_of = ", ".join(f"('{m}', 'size {w}', {few})" for m, (_, w, few) in per.items())
         return f"""
     {name}_c AS (SELECT {part}, b, count(*) AS n FROM buckets GROUP BY ALL),
     {name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {part}) AS total, sum(n) OVER (PARTITION BY {part} ORDER BY b) AS upto FROM {name}_c),
     {name}_q AS (SELECT {part}, max(total) AS total, min(b) FILTER (upto * 4 >= total) AS q1, min(b) FILTER (upto * 4 >= total * 2) AS q2,
                  min(b) FILTER (upto * 4 >= total * 3) AS q3 FROM {name}_r GROUP BY {part}),
-    {name} AS (SELECT {part}, total, q3 + {rules.reach} * greatest(q3 - q1, {floor}, (q2 * {floor}) // 1000) AS fence FROM {name}_q)"""
+    {name} AS (SELECT q.*, {rules.reach} * greatest(q.q3 - q.q1, {rules.least}, (q.q2 * {rules.relative}) // 1000, (few * 1000) // greatest(s.q2, 1)) AS reach
+               FROM {name}_q q JOIN (VALUES {rules_of}) r(m, whole, few) ON r.m = q.m JOIN {name}_q s ON s.m = r.whole{same})"""
+
+    def pick(side: str) -> str:
+        ways = {name: f"{name}.{side.format(name)}" for name in ("f2", "f1", "f0")}
+        return f"CASE WHEN f2.total >= {rules.min_docs} THEN {ways['f2']} WHEN f1.total >= {rules.min_docs} THEN {ways['f1']} ELSE {ways['f0']} END"
 
     gap = r"[\x20\x09-\x0D]+"
     return f"""
@@ -238,7 +254,7 @@ def oracle_sql(rules: Rules = Rules()) -> str:
       SELECT long.rid, string_agg(long.m, ',' ORDER BY CASE long.m {' '.join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(MEASURES))} END) AS broken
       FROM long JOIN f2 ON f2.lang IS NOT DISTINCT FROM long.lang AND f2.source IS NOT DISTINCT FROM long.source AND f2.m = long.m
       JOIN f1 ON f1.lang IS NOT DISTINCT FROM long.lang AND f1.m = long.m JOIN f0 ON f0.m = long.m
-      WHERE long.v > CASE WHEN f2.total >= {rules.min_docs} THEN f2.fence WHEN f1.total >= {rules.min_docs} THEN f1.fence ELSE f0.fence END GROUP BY long.rid)
+      WHERE long.v NOT BETWEEN {pick('q1 - {0}.reach')} AND {pick('q3 + {0}.reach')} GROUP BY long.rid)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_share} * n_words AS base_failed,
            NOT (n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_share} * n_words) AND verdict.rid IS NULL AS kept,
