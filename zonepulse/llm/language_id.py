@@ -70,6 +70,8 @@ class Model:
     centroids: np.ndarray
     languages: dict[str, list[str]]
     pairs: dict[tuple[str, str], tuple[np.ndarray, float]]
+    #: Score under which a text counts as none of the languages.
+    floor: float = 0.0
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         near = self.centroids @ x
@@ -128,6 +130,22 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
     return Model(list(families), centroids, families, pairs)
 
 
+def calibrated(x: np.ndarray, langs: list[str]) -> float:
+    """The score under which a text counts as none of the languages learned.
+
+    A model of four fifths of the sample scores the other fifth; of these scores all but a hundredth are at least ``usual``. A text has to
+    fall short of 1 by twenty times as much as ``usual`` does, and by a quarter, to be rejected: rare clean texts stay. Where the
+    scores of known languages are low themselves, nothing is rejected.
+    """
+    aside = np.arange(len(langs)) % 5 == 4
+    if not aside.any():
+        return 0.0
+    model = fit(x[~aside], [lang for lang, out in zip(langs, aside, strict=True) if not out])
+    scores = sorted(model.predict(v)[1] for v in x[aside])
+    usual = scores[len(scores) // 100]
+    return float(max(0.0, min(0.75, 1.0 - 20.0 * (1.0 - usual))))
+
+
 def _sample(docs: DataFrame, per_language: int, most: int) -> DataFrame:
     """At most ``per_language`` labelled documents of each language: those with the smallest hash of id and text.
 
@@ -140,8 +158,8 @@ def _sample(docs: DataFrame, per_language: int, most: int) -> DataFrame:
     return best.orderBy("r", "h", "lang").limit(most).select("doc_id", "h")
 
 
-def train(docs: DataFrame, per_language: int = 300, most: int = 6000) -> Model | None:
-    """Fits on texts and languages of documents that are not held out; None if there are none.
+def train(docs: DataFrame, per_language: int = 300, most: int = 6000, reject: bool = False) -> Model | None:
+    """Fits on texts and languages of documents that are not held out; None if there are none. ``reject``: a floor for scores, too.
 
     The driver gets at most ``most`` sparse vectors, never texts.
     """
@@ -168,7 +186,11 @@ def train(docs: DataFrame, per_language: int = 300, most: int = 6000) -> Model |
     x = np.zeros((len(found), SIZE), np.float32)
     for i, r in enumerate(found):
         x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.float16)
-    return fit(x, [r["lang"] for r in found])
+    langs = [r["lang"] for r in found]
+    model = fit(x, langs)
+    if reject:
+        model.floor = calibrated(x, langs)
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -201,23 +223,30 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def identify(docs: DataFrame, per_language: int = 300) -> DataFrame:
-    """Trains on the documents that are not held out and predicts all of them."""
+    """Trains on the documents that are not held out and predicts all of them.
+
+    One row per input row, repeated ones too; an empty table, or one without labels, learns nothing and gives ``und``. Very long
+    texts count whole.
+    """
     return predict(docs, train(docs, per_language))
 
 
 def filter_documents(docs: DataFrame, per_language: int = 300) -> DataFrame:
-    """The documents whose language can be told, with their own columns: those with ``und`` go.
+    """The documents whose language can be told, with their own columns.
+
+    Those without text or letters go, and those whose score is under the model's calibrated floor: text of no language that was
+    learned, or of none at all. Without labels to learn from all texts with letters stay.
 
     Prediction is part of the row, so nothing is shuffled; all other columns pass through as they are.
     """
-    model = train(docs, per_language) if "lang" in {c.lower() for c in docs.columns} else None
+    model = train(docs, per_language, reject=True) if "lang" in {c.lower() for c in docs.columns} else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         known = shared.value
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            keep = [bool(t) and _LETTER.search(t) is not None and (known is None or known.predict(vector(t))[0] != UNKNOWN) for t in b["text"].to_pylist()]
+            keep = [bool(t) and _LETTER.search(t) is not None and (known is None or known.predict(vector(t))[1] >= known.floor) for t in b["text"].to_pylist()]
             return b.filter(pa.array(keep, pa.bool_()))
 
         return step

@@ -34,6 +34,7 @@ MEASURES = {
 }
 #: Wholes that are sketched as well, for their medians; they follow the measures in number.
 WHOLES = ("n_words", "word_chars", "_n_lines")
+_ROW_BYTES, _SENT_BYTES = 300, 8 << 20  # a row of thresholds without its names; thresholds up to this size are sent to every task
 _EXACT = 64  # values below are their own bucket; above, five bits after the leading one are kept
 
 
@@ -169,6 +170,13 @@ def _with_ids(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", *[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in ("lang", "source")])
 
 
+def _verdict(rules: Rules) -> tuple[Column, Column]:
+    """Whether the base rules fail, and the measures outside their fences, of a row with counts and thresholds."""
+    failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_share * F.col("n_words"))
+    broken = F.array_compact(F.array(*[F.when((F.col(m) < F.col(f"t_{m}.low")) | (F.col(m) > F.col(f"t_{m}.high")), F.lit(m)) for m in MEASURES]))
+    return failed, broken
+
+
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per input row: doc_id, the base counts, ``base_failed``, ``kept`` and ``broken`` (measures outside their fences).
 
@@ -182,8 +190,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     joined = salted_join(
         measured, table, lambda a, b: a["lang"].eqNullSafe(b["t_lang"]) & a["source"].eqNullSafe(b["t_source"]), F.struct("doc_id", "word_chars", "n_words"), "left",
     )
-    failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_share * F.col("n_words"))
-    broken = F.array_compact(F.array(*[F.when((F.col(m) < F.col(f"t_{m}.low")) | (F.col(m) > F.col(f"t_{m}.high")), F.lit(m)) for m in MEASURES]))
+    failed, broken = _verdict(rules)
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (F.size(broken) == 0)).alias("kept"), F.concat_ws(",", broken).alias("broken"),
@@ -193,19 +200,21 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def filter_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the rules keep, with all their columns and nothing else.
 
-    The verdict is joined back by document id, text length and text checksum, so repeated ids with
-    different texts are judged apart and nulls meet nulls. Verdicts of repeated rows are equal.
+    The counts are written beside the whole row, so the verdict is a condition on the row itself: no text is shuffled or
+    joined back while the thresholds are few, and repeated ids and nulls need no care.
     """
-    own = named("row", docs.columns)
-    with_key = docs.withColumn(own, F.struct(F.col("doc_id").cast(T.LongType()).alias("d"), F.xxhash64("text", *_groups(docs)).alias("x")))
-    keyed = with_key.select(F.col(own).alias("doc_id"), "text", *_groups(docs))
-    kept = judge(keyed, rules).filter("kept").select(F.col("doc_id").alias("k")).distinct()
-    return with_key.join(kept, with_key[own].eqNullSafe(kept["k"]), "left_semi").drop(own)
-
-
-def _groups(docs: DataFrame) -> list[str]:
+    row = named("row", [*docs.columns, *MEASURES])
+    whole = docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     have = {c.lower() for c in docs.columns}
-    return [c for c in ("lang", "source") if c in have]
+    read = whole.select("text", row, *[F.col(c).cast("string") if c in have else F.lit(None).cast("string").alias(c) for c in ("lang", "source")])
+    measured = materialize(shares(measure(read, [row, "lang", "source"])), "quality")
+    table = materialize(thresholds(sketch(measured), rules), "fences")
+    on = lambda a, b: a["lang"].eqNullSafe(b["t_lang"]) & a["source"].eqNullSafe(b["t_source"])
+    name = lambda c: F.coalesce(F.octet_length(c), F.lit(0))
+    size = table.agg(F.sum(_ROW_BYTES + name("t_lang") + name("t_source"))).first()[0] or 0
+    joined = measured.join(F.broadcast(table), on(measured, table), "left") if size <= _SENT_BYTES else salted_join(measured, table, on, F.struct(f"{row}.doc_id", "word_chars", "n_words"), "left")
+    failed, broken = _verdict(rules)
+    return joined.filter(~failed & (F.size(broken) == 0)).select(f"{row}.*")
 
 
 def oracle_sql(rules: Rules = Rules()) -> str:
