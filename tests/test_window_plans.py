@@ -115,3 +115,29 @@ def test_summary_scans_each_table_once(spark, curated):
     together = impact.summarize(impact.sampled_impacts(frame, tables)).collect()
     apart = impact.event_transit_summary(one[TAXI], one[SUBWAY], one[CITIBIKE]).collect()
     assert together == apart
+
+
+def daily_rows(df):
+    return sorted(((r.event_id, r.baseline_date, r.baseline_inbound, r.baseline_outbound) for r in df.collect()), key=lambda r: [(x is not None, x) for x in r])
+
+
+def test_days_of_an_event_are_neither_grouped_nor_sorted(spark):
+    """They become rows in the last step, so no task holds what an event's days make of its input."""
+    days = impact.daily_baseline(spark.createDataFrame(make_events(15), EVENTS), spark.createDataFrame(make_trips(16), TRIPS), TAXI)
+    assert "Aggregate" not in plan(days) and "baseline_date" not in "".join(re.findall(r"(?:Sort|Exchange) .*", plan(days)))
+
+
+@pytest.mark.parametrize("directional", [False, True])
+def test_daily_baseline_over_many_tasks(spark, monkeypatch, directional):
+    # an id of several rows, some alike, some without a zone or a time; rows without an id
+    t, events = dt.datetime(2024, 1, 10, 9), make_events(17)
+    events += [(900, "n", "t", t, t, 1, 1)] * 3 + [(900, "n", "t", None, t, 2, 2), (900, "n", "t", t, t, None, 1), (901, "n", "t", None, None, 1, 1)]
+    events += [(None, "n", "t", t, t, 1, 1), (None, "n", "t", t, t, 3, 1), (902, "n", "t", t, t, None, 1)]
+    frame, trips = spark.createDataFrame(events, EVENTS), spark.createDataFrame(make_trips(18), TRIPS)
+    few = daily_rows(impact.daily_baseline(frame, trips, TAXI, directional))
+    assert {None, 900, 901} <= {r[0] for r in few} and 902 not in {r[0] for r in few}
+    once = [r for r in daily_rows(impact.daily_baseline(frame.filter("event_id = 900").limit(1), trips, TAXI, directional)) if r[2] or r[3]]
+    many = {r[1]: r for r in daily_rows(impact.daily_baseline(frame.filter("event_id = 900 AND start_location_id = 1"), trips, TAXI, directional))}
+    assert once and all(many[r[1]][2:] == (3 * r[2], 3 * r[3]) for r in once)
+    monkeypatch.setattr(windows, "_TASK_ROWS", 50)
+    assert daily_rows(impact.daily_baseline(frame, trips, TAXI, directional)) == few
