@@ -2,7 +2,10 @@
 
 import collections
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.data import docs, prose, rows
@@ -59,3 +62,35 @@ def test_very_long_text(spark):
     long = prose(150_000, 3)
     some = [(1, long), (2, long + " more"), (3, prose(50, 4))]
     assert found(docs(spark, [(i, t, *[None] * 7) for i, t in some])) == brute(some, 80)
+
+
+def bucket(blocks, sets, n, top, seed):
+    """The rows of one bucket of several blocks, and in how many sets each value lies."""
+    rng, rows, seen = np.random.default_rng(seed), [], collections.Counter()
+    for b in range(blocks):
+        made = [np.unique(rng.integers(0, top, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(sets)]
+        if top < 10**6:
+            seen.update(int(x) >> 32 for s in made for x in s)
+        rows += [{"block": str(b), **p} for p in ngram_join._pack(made, 0)[0]]
+    kinds = [("block", pa.string()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("values", "owners", "counts")]]
+    return pa.Table.from_pylist(rows, schema=pa.schema(kinds)), seen
+
+
+@pytest.mark.parametrize("step", [1, 40, 10**6])
+def test_bucket_is_counted_range_by_range(monkeypatch, step):
+    table, seen = bucket(4, 30, 40, 500, step)
+    monkeypatch.setattr(ngram_join, "_RANGE", step)
+    told = ngram_join._shared(table).to_pylist()
+    for row, made in zip(table.to_pylist(), told, strict=True):
+        values, owners = np.frombuffer(row["values"], np.uint32), np.frombuffer(row["owners"], np.uint16)
+        expected = [(v, o, seen[v]) for v, o in zip(values.tolist(), owners.tolist()) if seen[v] > 1]
+        assert list(zip(*[np.frombuffer(made[c], k).tolist() for c, k in (("values", np.uint32), ("owners", np.uint16), ("found", np.uint32))])) == expected
+
+
+def test_bucket_takes_little_memory():
+    table, _ = bucket(10, 10, 20_000, 1 << 62, 1)
+    tracemalloc.start()
+    ngram_join._shared(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50e6  # two million entries; sorted at once, they took more than 90 MB

@@ -58,3 +58,10 @@ def per_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) ->
             yield step(batch)
 
     return run
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that few rows at a time become Python objects; nothing is copied."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import per_batch, salted_join
+from zonepulse.llm.common import per_batch, salted_join, slices
 from zonepulse.llm.components import components
 from zonepulse.llm.near_duplicates import Shingles, labelled, texts_of, verified
 from zonepulse.sources.scratch import materialize
@@ -37,6 +37,7 @@ SHARE = 80
 _BUCKET = 4_000_000  # n-grams in one part of the hash space
 _BLOCK = 1_000_000  # n-grams in a block of documents, and at most _DOCS of them
 _DOCS = 60_000
+_RANGE = 500_000  # entries of a bucket that are sorted at once, about
 _MANY = 8  # an n-gram that more texts of a block have is sent once
 _HEAVY = 0xFFFF  # in place of a document: the entry stands for all of the block's
 _CELL = 1024  # nodes of a group that are compared at once
@@ -81,7 +82,7 @@ def blocks(docs: DataFrame, bits: int) -> DataFrame:
                 "block": f"{part}-{made}", "doc_id": column(0)[0], "text_hash": column(1)[0], "node": column(2)[0], "n": column(3)[0],
                 "packs": packs, "heavy": heavy.tobytes(), "heavy_owners": owners.tobytes()}], schema=_arrow())
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text_hash, text in zip(*[batch[c].to_pylist() for c in ("doc_id", "text_hash", "text")], strict=True):
                 s = shingles.of(text)
                 node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None
@@ -113,18 +114,35 @@ def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared(packs: pa.Table) -> pa.Table:
-    """One bucket: the entries of each block whose value another text has too, with the number of texts."""
-    values, ends = _joined(packs["values"], np.uint32)
-    owners, _ = _joined(packs["owners"], np.uint16)
-    counts, _ = _joined(packs["counts"], np.uint32)
-    weight = np.ones(len(values))
-    weight[owners == _HEAVY] = counts
-    _, at = np.unique(values, return_inverse=True)
-    found = np.bincount(at, weight)[at].astype(np.uint32)
-    keep = found > 1
+    """One bucket: the entries of each block whose value another text has too, with the number of texts.
+
+    The entries of a block ascend by value, so the bucket is counted range by range of values, and only the entries of
+    one range are sorted at once.
+    """
+    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in packs[name]]
+    values, owners, counts = column("values", np.uint32), column("owners", np.uint16), column("counts", np.uint32)
+    ranges = max(1, -(-sum(map(len, values)) // _RANGE))
+    edges = np.linspace(0, 1 << 32, ranges + 1).astype(np.uint64)[1:-1].astype(np.uint32)
+    cuts = [[0, *np.searchsorted(v, edges).tolist(), len(v)] for v in values]
+    told = [0] * len(values)  # counts of each block that earlier ranges have used
+    kept = [([], [], []) for _ in values]
+    for k in range(ranges):
+        parts = [(v[c[k] : c[k + 1]], o[c[k] : c[k + 1]]) for v, o, c in zip(values, owners, cuts)]
+        ends = np.cumsum([len(v) for v, _ in parts])
+        own = np.concatenate([o for _, o in parts])
+        weight, many = np.ones(len(own)), [np.count_nonzero(o == _HEAVY) for _, o in parts]
+        weight[own == _HEAVY] = np.concatenate([c[i : i + n] for c, i, n in zip(counts, told, many)])
+        told = [i + n for i, n in zip(told, many)]
+        _, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+        found = np.bincount(at, weight)[at].astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
+        for (v, o), i, out in zip(parts, ends - [len(v) for v, _ in parts], kept):
+            here = found[i : i + len(v)]
+            keep = here > 1
+            for to, array in zip(out, (v, o, here)):
+                to.append(array[keep].tobytes())
     out = {"block": packs["block"], "bucket": packs["bucket"]}
-    for name, array in (("values", values), ("owners", owners), ("found", found)):
-        out[name] = pa.array([array[i:j][keep[i:j]].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())], pa.binary())
+    for i, name in enumerate(("values", "owners", "found")):
+        out[name] = pa.array([b"".join(x[i]) for x in kept], pa.binary())
     return pa.table(out)
 
 
