@@ -5,6 +5,7 @@ from array import array
 from functools import lru_cache
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -27,7 +28,8 @@ def library(name, plain=False):
 
 
 WORD, BYTE = library("word_bpe_49k.json"), library("byte_bpe_50k.json")
-OWN = {n: tokens.LibraryEncoder(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+PATHS = {n: public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+OWN = {n: tokens.LibraryEncoder(path) for n, path in PATHS.items()}
 PLAIN = {n: tokens.LibraryEncoder(public_tokenizers.path(n), plain=True) for n in OWN}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_transducer.read_ranks(MULTI), special_tokens={})
 ENCODER, DECODER = bpe_transducer.Encoder(MULTI), bpe_transducer.Decoder(MULTI, block=3)
@@ -40,6 +42,30 @@ def test_chunks_give_the_ids_of_the_whole_text(text):
     assert list(array("I", OWN["byte_bpe_50k.json"].encode(text))) == BYTE(text)
 
 
+MARKED = st.text(alphabet=st.sampled_from("abÀß×÷é\u030cJ\n\t .,;:!?'s  \x85\xa0\u2003\u3000日Σς3\0-"), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT, MARKED, st.sampled_from(["", "<|endoftext|>", "a<|StartOfText|>b."])), max_size=8), st.integers(0, 3), st.integers(1, 60))
+def test_texts_encoded_together_have_the_ids_of_each(texts, skip, size):
+    for name in OWN:
+        for own, plain in ((OWN, False), (PLAIN, True)):
+            tokens._AT_ONCE, before = size, tokens._AT_ONCE
+            made = list(own[name].encode_all(pa.array(texts, pa.string())[skip:]))
+            tokens._AT_ONCE = before
+            assert [list(array("I", x)) for x in made] == [library(name, plain)(t) for t in texts[skip:]]
+
+
+def test_a_word_is_learned_once_for_all_its_marks(monkeypatch):
+    for name, path in PATHS.items():
+        encoder, merged = tokens.LibraryEncoder(path), []
+        monkeypatch.setattr(encoder, "merge", lambda text, merge=encoder.merge: merged.append(text) or merge(text))
+        texts = [" ".join(w + m for m in ["", *tokens._MARKS, ".,"]) for w in ("flimble", "gréva")]
+        made = list(encoder.encode_all(pa.array(["x " + t for t in texts * 50])))
+        assert [list(array("I", x)) for x in made] == [library(name)("x " + t) for t in texts * 50]
+        assert sum("flimble" in m for m in merged) == 1 and len(encoder.chunks) <= 2 + 2 + len(tokens._MARKS) + 1 + 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<|endoftext|>", "<|StartOfText|>", "<|startoftext|>", "<|end", " ", "a b", "é", "\n", "Word's", "日本"]), max_size=8))
 def test_strings_of_special_tokens(parts):

@@ -43,7 +43,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         part, place = TaskContext.get().partitionId(), count()
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [encoder.encode(t) + end for t in b["text"].to_pylist()]
+            ids = [x + end for x in encoder.encode_all(b["text"])]
             sizes = [len(x) // 4 for x in ids]
             ends = array("i", [0])
             for n in sizes:

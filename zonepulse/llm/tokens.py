@@ -5,10 +5,13 @@ from __future__ import annotations
 import gc
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from os.path import commonprefix
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer, models
 
@@ -25,6 +28,15 @@ _PIECES = {
 _LATIN = "ɏ"
 #: Marks that, behind a word, are a piece of their own in both kinds of tokenizers.
 _MARKS = ".,;:!?"
+#: White space beyond ASCII, as the last three bytes before a place; those of two bytes without the first.
+_WIDE = np.array([int.from_bytes(c.encode(), "big") for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))])
+_BEFORE, _BREAK, _MARK = np.zeros(256, np.uint8), 1, 2  # what a byte is at a place where a chunk may begin
+_BEFORE[[10, 32]], _BEFORE[list(_MARKS.encode())] = _BREAK, _MARK
+_SPACES, _LETTERS = np.zeros(256, bool), np.zeros(256, bool)
+_SPACES[[*range(9, 14), *range(28, 33)]] = True
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+#: Bytes of text that are cut at once, about.
+_AT_ONCE = 8 << 20
 #: Byte-level vocabularies write a byte as a visible character: itself, or the next one from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
@@ -65,6 +77,29 @@ class Memory(dict):
         return value
 
 
+def chunk_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where chunks begin in the bytes of texts that begin at ``starts``, and the end of the bytes.
+
+    That is before a space or line feed that follows a character other than white space, as ``_CUT`` says, and before
+    a mark that follows a letter of ASCII or Latin-1: all letters are one piece there and the mark is in the next.
+    """
+    kind = _BEFORE[data]
+    at = np.flatnonzero(kind)
+    kind, last = kind[at], data[at - 1]
+    cut = np.where(kind == _BREAK, ~_SPACES[last], _LETTERS[last])
+    wide = np.flatnonzero((last >= 128) & (at > 2))
+    three = sum(data[at[wide] - k].astype(np.int64) << 8 * (k - 1) for k in (1, 2, 3))
+    two = three & 0xFFFF
+    blank = np.isin(three, _WIDE) | np.isin(two, _WIDE)
+    letter = (two >> 8 == 0xC3) & (two != 0xC397) & (two != 0xC3B7)  # but for the signs of times and divided by
+    cut[wide] = np.where(kind[wide] == _BREAK, ~blank, letter)
+    flags = np.zeros(len(data) + 1, bool)
+    flags[at] = cut
+    flags[starts] = True
+    flags[-1] = True
+    return np.flatnonzero(flags)
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk and remembers the ids of chunks and pieces it has met.
 
@@ -134,6 +169,57 @@ class LibraryEncoder(ChunkEncoder):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return super().encode(text)
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """What ``encode`` gives for every text, in order.
+
+        The texts of some megabytes are cut at once, and each of their different chunks is looked up once.
+        """
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        whole = set()
+        if self.sign is not None:
+            whole = {i for i in np.flatnonzero(pc.match_substring(texts, self.sign).to_numpy(zero_copy_only=False)).tolist() if self.added(texts[i].as_py())}
+        _, ends, data = texts.buffers()
+        ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data, at = np.frombuffer(data or b"", np.uint8), 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + _AT_ONCE, "right")) - 1)
+            of = range(at, to)
+            found = self._together(data[ends[at] : ends[to]], ends[at : to + 1] - ends[at])
+            yield from (self.encode(texts[i].as_py()) if i in whole else ids for i, ids in zip(of, found, strict=True)) if whole else found
+            at = to
+
+    def _together(self, data: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The ids of the texts between ``ends``."""
+        if not len(data):
+            return [b""] * (len(ends) - 1)
+        cuts = chunk_starts(data, ends)
+        chunks = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        table = self._table(chunks.dictionary)
+        made = table.take(chunks.indices)
+        places = np.frombuffer(made.buffers()[1], np.int64)[np.searchsorted(cuts, ends)].tolist()
+        ids = memoryview(made.buffers()[2] or b"")
+        return [bytes(ids[i:j]) for i, j in zip(places, places[1:])]
+
+    def _table(self, chunks: pa.Array) -> pa.Array:
+        """The ids of each chunk."""
+        if self.normalize is not None:  # white space is dropped and ASCII letters become small, so many chunks are alike
+            plain = pc.if_else(pc.string_is_ascii(chunks), pc.ascii_lower(pc.ascii_ltrim(chunks, characters=" \n")), chunks).dictionary_encode()
+            return pa.array(self._looked_up(plain.dictionary), pa.large_binary()).take(plain.indices)
+        return pa.array(self._looked_up(chunks), pa.large_binary())
+
+    def _looked_up(self, chunks: pa.Array) -> list[bytes]:
+        """The ids of different chunks; words of ASCII letters that are new go straight to the merges."""
+        get, keep, learn, merge = self.chunks.get, self.chunks.keep, self._chunk, self.merge
+        out = []
+        for chunk in chunks.to_numpy(zero_copy_only=False).tolist():  # faster than to_pylist
+            if (ids := get(chunk)) is None:
+                word = chunk[1:] if chunk[:1] == " " else chunk
+                if word.isascii() and word.isalpha() and (ids := self.chunks.before.get(chunk)) is None and (self.normalize is None or word.islower()):
+                    ids = array("I", [t.id for t in merge(word if word is chunk or self.normalize is not None else _BYTES[32] + word)]).tobytes()
+                ids = learn(chunk) if ids is None else keep(chunk, ids)
+            out.append(ids)
+        return out
+
     def split(self, chunk: str) -> list[str]:
         if self.normalize is not None:
             chunk = chunk.lower() if chunk.isascii() else self.normalize(chunk)
