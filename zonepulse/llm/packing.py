@@ -135,8 +135,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = 2048, end_id:
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = memoryview(encoder.encode(text) + end)
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), encoder.encode_all(batch["text"]), strict=True):
+                ids = memoryview(found + end)
                 row, whole = (doc_id, len(ids) // 4), len(ids) // 4 // capacity * capacity
                 for start in range(0, whole, capacity):
                     place([(row, start, ids[4 * start : 4 * (start + capacity)])])
