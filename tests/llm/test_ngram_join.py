@@ -94,3 +94,22 @@ def test_bucket_takes_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 50e6  # two million entries; sorted at once, they took more than 90 MB
+
+
+def test_rows_of_blocks_are_small(spark):
+    texts = [(i, prose(20_000, i)) for i in range(8)] + [(8, None), (9, "one two")]
+    made = ngram_join.blocks(docs(spark, [(i, t, *[None] * 7) for i, t in texts]).coalesce(1), 7)
+    rows = made.collect()
+    heads, packs = [r for r in rows if r.bucket is None], [r for r in rows if r.bucket is not None]
+    assert len(heads) == 1 and sorted(heads[0].doc_id) == list(range(10)) and len({r.bucket for r in packs}) == len(packs) > 100
+    assert all(r.values is None for r in heads) and all(r.doc_id is None and r.block == heads[0].block for r in packs)
+    assert sum(len(r.values) // 4 for r in packs) > 100_000 and max(len(r.values) + len(r.owners) for r in packs) < 20_000
+
+
+def test_packing_a_block_takes_little_memory():
+    sets = [np.unique(np.random.default_rng(i).integers(0, 1 << 62, 20_000).astype(np.uint64) * np.uint64(2654435769)) for i in range(50)]
+    tracemalloc.start()
+    packs = ngram_join._pack(sets, 5)[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(packs) == 32 and most < 50e6  # a million entries; with an order beside the keys they took 54 MB

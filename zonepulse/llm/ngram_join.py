@@ -34,7 +34,7 @@ from zonepulse.sources.scratch import materialize
 WIDTH = 5
 #: Links need 100 * intersection >= SHARE * union.
 SHARE = 80
-_BUCKET = 4_000_000  # n-grams in one part of the hash space
+_BUCKET = 2_000_000  # n-grams in one part of the hash space
 _BLOCK = 1_000_000  # n-grams in a block of documents, and at most _DOCS of them
 _DOCS = 60_000
 _RANGE = 500_000  # entries of a bucket that are sorted at once, about
@@ -43,16 +43,22 @@ _HEAVY = 0xFFFF  # in place of a document: the entry stands for all of the block
 _CELL = 1024  # nodes of a group that are compared at once
 _PARTS = 256  # parts of the hash space of the suffix filter
 
-_BLOCKS = """block string, doc_id array<bigint>, text_hash array<bigint>, node array<bigint>, n array<bigint>,
-  packs array<struct<bucket:int,values:binary,owners:binary,counts:binary>>, heavy binary, heavy_owners binary"""
+_SENT = 1 << 20  # bytes of a block's rows that leave Python at once, about
+
+_HEAD = "block string, doc_id array<bigint>, text_hash array<bigint>, node array<bigint>, n array<bigint>, heavy binary, heavy_owners binary"
+_PACK = "bucket int, values binary, owners binary, counts binary"
 
 
 def _pack(sets: list[np.ndarray], bits: int) -> tuple[list[dict], np.ndarray, np.ndarray]:
     """The block's n-grams by bucket; those of many texts once, with a count, and again with their owners."""
-    keys = np.concatenate(sets) >> np.uint64(32 - bits) if sets else np.zeros(0, np.uint64)
-    owners = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
-    order = np.argsort(keys, kind="stable")
-    keys, owners = keys[order], owners[order]
+    # a key with its owner is one number (bits is at most 16), sorted in place
+    keys = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    keys >>= np.uint64(32 - bits)
+    keys <<= np.uint64(16)
+    keys |= np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
+    keys.sort()
+    owners = keys.astype(np.uint16)
+    keys >>= np.uint64(16)
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)) != 0) if len(keys) else np.zeros(0, np.int64)
     size = np.diff(first, append=len(keys))
     many = np.repeat(size > _MANY, size)
@@ -70,17 +76,25 @@ def _pack(sets: list[np.ndarray], bits: int) -> tuple[list[dict], np.ndarray, np
 
 
 def blocks(docs: DataFrame, bits: int) -> DataFrame:
-    """One row per block: its documents with node (null without words) and set size, and the n-grams of its nodes."""
+    """Rows of blocks: a head with the block's documents, their nodes (null without words) and set sizes, and a row for
+    each bucket with the n-grams of its nodes there. Heads have no bucket; a row is small, however large the block.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, made, part = Shingles(WIDTH), 0, TaskContext.get().partitionId()
         rows, local, sets, held = [], {}, [], 0
 
-        def block() -> pa.RecordBatch:
+        def block() -> Iterator[pa.RecordBatch]:
             packs, heavy, owners = _pack(sets, bits)
-            column = lambda i: [[r[i] for r in rows]]
-            return pa.RecordBatch.from_pylist([{
-                "block": f"{part}-{made}", "doc_id": column(0)[0], "text_hash": column(1)[0], "node": column(2)[0], "n": column(3)[0],
-                "packs": packs, "heavy": heavy.tobytes(), "heavy_owners": owners.tobytes()}], schema=_arrow())
+            name = f"{part}-{made}"
+            head = dict(zip(("doc_id", "text_hash", "node", "n"), zip(*rows)))
+            yield pa.RecordBatch.from_pylist([{"block": name, **head, "heavy": heavy.tobytes(), "heavy_owners": owners.tobytes()}], schema=_arrow())
+            some, size = [], 0
+            for p in packs:
+                some.append({"block": name, **p})
+                size += len(p["values"])
+                if size >= _SENT or p is packs[-1]:
+                    yield pa.RecordBatch.from_pylist(some, schema=_arrow())
+                    some, size = [], 0
 
         for batch in slices(batches):
             for doc_id, text_hash, text in zip(*[batch[c].to_pylist() for c in ("doc_id", "text_hash", "text")], strict=True):
@@ -92,19 +106,19 @@ def blocks(docs: DataFrame, bits: int) -> DataFrame:
                     sets.append(s)
                     held += len(s)
                 if held >= _BLOCK or len(rows) >= _DOCS:
-                    yield block()
+                    yield from block()
                     made, rows, local, sets, held = made + 1, [], {}, [], 0
         if rows:
-            yield block()
+            yield from block()
 
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    return keyed.mapInArrow(run, _BLOCKS)
+    return keyed.mapInArrow(run, f"{_HEAD}, {_PACK}")
 
 
 def _arrow() -> pa.Schema:
-    pack = pa.struct([("bucket", pa.int32()), ("values", pa.binary()), ("owners", pa.binary()), ("counts", pa.binary())])
     lists = [(c, pa.list_(pa.int64())) for c in ("doc_id", "text_hash", "node", "n")]
-    return pa.schema([("block", pa.string()), *lists, ("packs", pa.list_(pack)), ("heavy", pa.binary()), ("heavy_owners", pa.binary())])
+    blobs = [(c, pa.binary()) for c in ("heavy", "heavy_owners", "values", "owners", "counts")]
+    return pa.schema([("block", pa.string()), *lists, *blobs[:2], ("bucket", pa.int32()), *blobs[2:]])
 
 
 def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -181,10 +195,10 @@ def _prefixes(head: pa.Table, answers: pa.Table) -> pa.Table:
 
 def prefixes(made: DataFrame) -> DataFrame:
     """(key, node, n, pos, found): the n-grams of rare-first prefixes that more than one text has, from ``blocks``."""
-    packs = made.select("block", F.explode("packs").alias("p")).select("block", "p.*")
+    packs = made.filter("bucket IS NOT NULL").select("block", "bucket", "values", "owners", "counts")
     shared = packs.groupBy("bucket").applyInArrow(_shared, "block string, bucket int, values binary, owners binary, found binary")
     told = shared.filter(F.length("values") > 0).withColumnRenamed("block", "of")
-    heads = made.select("block", "node", "n", "heavy", "heavy_owners")
+    heads = made.filter("bucket IS NULL").select("block", "node", "n", "heavy", "heavy_owners")
     rows = heads.groupBy("block").cogroup(told.groupBy("of")).applyInArrow(_prefixes, "key bigint, node bigint, n bigint, pos bigint, found bigint")
     return rows.dropDuplicates(["key", "node"])  # a set that several blocks hold has the same prefix in each
 
@@ -305,9 +319,9 @@ def join(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, ceil(log2(max(1, length / 7 / _BUCKET))))
+    bits = min(16, ceil(log2(max(1, length / 7 / _BUCKET))))
     made = materialize(blocks(docs, bits), "blocks")
-    known = made.select(F.inline(F.arrays_zip("doc_id", "text_hash", "node", "n")))
+    known = made.filter("bucket IS NULL").select(F.inline(F.arrays_zip("doc_id", "text_hash", "node", "n")))
     members = materialize(_groups(materialize(prefixes(made), "prefixes")), "members")
     texts = texts_of(docs, known.filter(F.col("node").isNotNull()), members.select("node").distinct())
     links = materialize(verified(_near_hubs(members), texts, SHARE), "links")
