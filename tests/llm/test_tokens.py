@@ -90,6 +90,42 @@ def test_transducer_on_long_pieces_and_after_forgetting(monkeypatch):
         assert list(array("I", small.encode(text))) == TIKTOKEN.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT, MARKED, st.sampled_from(["", "<|endoftext|>", "=" * 300 + "ab" * 90])), max_size=8), st.integers(0, 3), st.integers(1, 60), st.integers(1, 9))
+def test_transducer_on_texts_together(texts, skip, size, emit):
+    before = tokens._AT_ONCE, bpe_transducer._EMIT, bpe_transducer.HEAD
+    tokens._AT_ONCE, bpe_transducer._EMIT, bpe_transducer.HEAD = size, emit, emit
+    try:
+        ENCODER.machine._forget()
+        for memory in (ENCODER.chunks, ENCODER.pieces):
+            memory.clear()
+            memory.before = {}
+        made = list(ENCODER.encode_all(pa.array(texts, pa.string())[skip:]))
+    finally:
+        tokens._AT_ONCE, bpe_transducer._EMIT, bpe_transducer.HEAD = before
+        ENCODER.machine._forget()
+    assert [list(array("I", x)) for x in made] == [TIKTOKEN.encode_ordinary(t or "") for t in texts[skip:]]
+
+
+def test_new_words_need_no_new_states_and_are_learned_once_for_all_their_marks(monkeypatch):
+    encoder, met = bpe_transducer.Encoder(MULTI), []
+    monkeypatch.setattr(encoder, "ids", lambda piece, ids=encoder.ids: met.append(piece) or ids(piece))
+    parts = ["blor", "wheti", "zanqu", "dreth", "ciónj", "eaux", "keitor", "umph", "grév", "stiel", "axono", "ripfl"]
+    words = [a + b + c + d for a in parts for b in parts for c in parts for d in parts[:4]]
+    texts = ["x " + " ".join(w + m for w in words for m in ("", *tokens._MARKS))] * 2
+    made = list(encoder.encode_all(pa.array(texts)))
+    assert [list(array("I", x)) for x in made] == [TIKTOKEN.encode_ordinary(t) for t in texts]
+    assert len(met) <= len(words) + 1 + len(tokens._MARKS)
+    assert len(encoder.machine.states) + len(encoder.machine.moves) < len(words) / 2
+
+
+def test_ids_as_text_in_blocks():
+    ids = list(range(9, 120, 7)) * 3
+    for block in (1, 4, 7, 1000):
+        assert b"".join(bpe_transducer.Decimal(200, block).pieces(array("I", ids))) == ",".join(map(str, ids)).encode()
+    assert not list(bpe_transducer.Decimal(200).pieces(array("I")))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(max_size=40), st.integers(1, 7))
 def test_utf8_machine(data, size):

@@ -3,11 +3,12 @@
 The merges say which two tokens may stand next to each other: exactly those whose joint bytes the merges
 turn back into the two. A text's encoding is the one token sequence whose neighbours all may. So the
 last token of every prefix follows from the last tokens of shorter prefixes, and a machine can read
-byte after byte. Its state is what is still open: the last emitted token and the bytes after it, with
-the last token of each of their prefixes. A boundary is final once every prefix that a longer token could
-still continue goes through it; the tokens before it are then emitted. What a token could still continue
-is at most one token long, which bounds the lookahead. States and their transitions are made when they are
-first met and then looked up.
+byte after byte. What is open is the set of tokens that could be going on, as nodes of the tokens' trie; it
+depends on the bytes alone. These sets are the states that are made deterministic: a state, and its move by a byte, is made
+when it is first met and then looked up. A move names the tokens that end there; the tokens before
+each open position, which go along, decide between them. A boundary is final once every prefix that a longer token
+could still continue goes through it; the tokens before it are then emitted. What a token could still continue
+is at most one token long, which bounds the lookahead. Where the machine stands behind the first bytes of a piece is remembered.
 """
 
 from __future__ import annotations
@@ -15,17 +16,23 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache, reduce
+from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from zonepulse.llm.common import per_batch
-from zonepulse.llm.tokens import PATTERN, ChunkEncoder, vocabulary
+from zonepulse.llm.tokens import _LATIN, PATTERN, ChunkEncoder, vocabulary
 
 MAX_STATES = 400_000
+#: Bytes at the beginning of a piece that are looked up at once.
+HEAD = 6
+#: Bytes behind which final tokens are emitted.
+_EMIT = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,27 +45,31 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.prefixes = {t[:n] for t in ranks for n in range(len(t))}  # what a longer token could still continue
         self.bytes_of = {i: t for t, i in ranks.items()}
+        self.child: dict[int, int] = {}  # the trie: the node behind a node and a byte
+        self.token_at, self.goes_on = [None], [False]  # of each node: its token, and whether a longer token goes through it
+        for text, token in ranks.items():
+            node = 0
+            for byte in text:
+                self.goes_on[node] = True
+                if (to := self.child.get(node << 8 | byte)) is None:
+                    to = self.child[node << 8 | byte] = len(self.token_at)
+                    self.token_at.append(None)
+                    self.goes_on.append(False)
+                node = to
+            self.token_at[node] = token
+        # the states: nodes of the tokens that could be going on, longest first, and the root. The longest has the
+        # others as its ends, so there are no more states than nodes
+        self.states: list[tuple[int, ...]] = [(0,)]
+        self.numbers = {(0,): 0}
         self.right = lru_cache(None)(lambda token: self._edge(token, 1))  # at most one entry per token
         self.left = lru_cache(None)(lambda token: self._edge(token, 0))
         self.fits = lru_cache(MAX_STATES)(self._fits)
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.start = self._number(None, b"", ((0, ()),))
-
-    def _number(self, last: int | None, pending: bytes, live: tuple) -> int:
-        """The state with these open bytes. ``live``: each position from which a token could still be going
-        on, with the tokens before it; the last one is the end of the open bytes."""
-        key = (last, pending)
-        if (number := self.numbers.get(key)) is None:
-            number = self.numbers[key] = len(self.states)
-            self.states.append((last, pending, live))
-        return number
+        self.moves: dict[int, tuple] = {}
+        self.heads: dict[bytes, tuple[int, list]] = {}
 
     def _parts(self, text: bytes, below: int) -> list[bytes]:
         """What the merges of rank under ``below`` leave of ``text``."""
@@ -93,47 +104,76 @@ class Transducer:
                     return False
         return True
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, pending, live = self.states[state]
-        pending += bytes((byte,))
-        ranks, prefixes, made, still = self.ranks, self.prefixes, None, []
-        for entry in live:
-            at, before = entry
-            text = pending[at:]
-            if made is None and (token := ranks.get(text)) is not None and self.fits(before[-1] if before else last, token):
-                made = (*before, token)
-            if text in prefixes:
-                still.append(entry)
-        still.append((len(pending), made))
-        # tokens that all open positions share are final
-        emitted = still[0][1]
-        for _, tokens in still[1:]:
-            while emitted and tokens[: len(emitted)] != emitted:
-                emitted = emitted[:-1]
-        if emitted:
-            n, size = len(emitted), sum(len(self.bytes_of[t]) for t in emitted)
-            last, pending = emitted[-1], pending[size:]
-            still = [(at - size, tokens[n:]) for at, tokens in still]
-        move = self.moves[state << 8 | byte] = (self._number(last, pending, tuple(still)), emitted)
+    def _move(self, state: int, byte: int) -> tuple[int, tuple, int, int, tuple[int, ...]]:
+        """The state behind a byte; the tokens that end there, longest first, each with the place in the old state where
+        it begins, the shortest apart; the places that stay open."""
+        ends, stay, nodes = [], [], []
+        for place, node in enumerate(self.states[state]):
+            if (to := self.child.get(node << 8 | byte)) is not None:
+                if self.token_at[to] is not None:
+                    ends.append((place, self.token_at[to]))
+                if self.goes_on[to]:
+                    stay.append(place)
+                    nodes.append(to)
+        key = (*nodes, 0)
+        if (number := self.numbers.get(key)) is None:
+            number = self.numbers[key] = len(self.states)
+            self.states.append(key)
+        move = self.moves[state << 8 | byte] = (number, tuple(ends[:-1]), *ends[-1], tuple(stay))
         return move
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def _run(self, state: int, live: list[tuple], piece: bytes) -> tuple[int, list[tuple]]:
+        """Where the machine stands behind ``piece``: the state, and for each of its places the last token before it with the
+        one before that, and so on; the last place is the end of what was read."""
+        moves, fits = self.moves, self.fits
+        for byte in piece:
+            state, ends, at, shortest, stay = moves.get(state << 8 | byte) or self._move(state, byte)
+            for place, token in ends:
+                if fits((before := live[place])[0], token):
+                    made = (token, before)
+                    break
+            else:  # every prefix has an encoding, so this one fits
+                made = (shortest, live[at])
+            live = [*[live[place] for place in stay], made] if stay else [made]
+        return state, live
+
+    def _emit(self, live: list[tuple], out: list[int]) -> list[tuple]:
+        """Moves the tokens that all open places share to ``out``; only the last of them stays, as the beginning."""
+        paths = [_path(tokens) for tokens in live]
+        final = commonprefix(paths)
+        if not final:
+            return live
+        out += final
+        begin, rest = (final[-1], None), [path[len(final) :] for path in paths]
+        return [reduce(lambda before, token: (token, before), path, begin) for path in rest]
+
+    def encode(self, piece: bytes) -> Sequence[int]:
         """A piece that is a token itself is that token; any other goes through the machine."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.states) > MAX_STATES:
+        if len(self.heads) + len(self.moves) > MAX_STATES:
             self._forget()
-        state, out, moves = self.start, [], self.moves
-        for byte in piece:
-            state, emitted = moves.get(state << 8 | byte) or self._move(state, byte)
-            if emitted:
-                out += emitted
-            if len(self.states) > 2 * MAX_STATES:  # within one very long piece: keep the open state only
-                kept = self.states[state]
-                self._forget()
-                state, moves = self._number(*kept), self.moves
-        return (*out, *self.states[state][2][-1][1])
+        head = piece[:HEAD]
+        if (found := self.heads.get(head)) is None:
+            found = self.heads[head] = self._run(0, [(None, None)], head)
+        state, live = found
+        out: list[int] = []
+        for i in range(HEAD, len(piece), _EMIT):
+            if i > HEAD:
+                live = self._emit(live, out)
+            state, live = self._run(state, live, piece[i : i + _EMIT])
+        return out + _path(live[-1])
+
+
+def _path(tokens: tuple) -> list[int]:
+    """The ids behind the beginning up to a place."""
+    path, (token, before) = [], tokens
+    while before is not None:
+        path.append(token)
+        token, before = before
+    path.reverse()
+    return path
 
 
 class Encoder(ChunkEncoder):
@@ -147,6 +187,13 @@ class Encoder(ChunkEncoder):
     def ids(self, piece: str) -> tuple[int, ...]:
         return self.machine.encode(piece.encode())
 
+    def _chunk(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if not (word.isalpha() and (word.isascii() or max(word) <= _LATIN)):
+            return super()._chunk(chunk)
+        ids = self.chunks.before.get(chunk)  # most chunks are a word, which is one piece and needs no pattern
+        return self.chunks.keep(chunk, array("I", self.ids(chunk)).tobytes() if ids is None else ids)
+
 
 @lru_cache(2)
 def encoder_of(path: str) -> Encoder:
@@ -180,26 +227,59 @@ class Utf8Machine:
         return rest.decode("utf-8", "replace")
 
 
+def joined(table: pa.Array, ids: np.ndarray) -> bytes:
+    """The entries of a table of bytes that the ids name, one after the other."""
+    found = table.take(pa.array(ids))
+    _, ends, data = found.buffers()
+    return data.slice(0, np.frombuffer(ends, np.int32)[len(found)]).to_pybytes() if len(found) and data else b""
+
+
 class Decoder:
     """Ids back to text, some at a time."""
 
     def __init__(self, path: str, block: int = 4096):
-        self.table = [b""] * (1 + max((ranks := read_ranks(path)).values()))
+        table = [b""] * (1 + max((ranks := read_ranks(path)).values()))
         for token, rank in ranks.items():
-            self.table[rank] = token
-        self.block = block
+            table[rank] = token
+        self.table, self.block = pa.array(table, pa.binary()), block
 
-    def pieces(self, ids: Sequence[int]) -> Iterator[str]:
+    def pieces(self, ids: Sequence[int] | np.ndarray) -> Iterator[str]:
         """The text of the ids, block after block; never cut within a character."""
-        machine = Utf8Machine()
+        machine, ids = Utf8Machine(), np.asarray(ids, np.uint32)
         for i in range(0, len(ids), self.block):
-            yield machine.feed(b"".join(map(self.table.__getitem__, ids[i : i + self.block])))
+            yield machine.feed(joined(self.table, ids[i : i + self.block]))
         yield machine.end()
 
     def decode(self, ids: Sequence[int] | None) -> str:
         return "".join(self.pieces(ids or []))
 
 
+class Decimal:
+    """Ids as decimal numbers with commas between them, some at a time."""
+
+    def __init__(self, size: int, block: int = 1 << 16):
+        self.table, self.block = pa.array([b"%d," % i for i in range(size)], pa.binary()), block
+
+    def pieces(self, ids: Sequence[int] | np.ndarray) -> Iterator[bytes]:
+        ids = np.asarray(ids, np.uint32)
+        for i in range(0, len(ids), self.block):
+            text = joined(self.table, ids[i : i + self.block])
+            yield text if i + self.block < len(ids) else text[:-1]
+
+
+@lru_cache(2)
+def decoder_of(path: str) -> tuple[Decoder, Decimal]:
+    decoder = Decoder(path)
+    return decoder, Decimal(len(decoder.table))
+
+
+def digest(pieces: Iterable[bytes]) -> str:
+    sha = hashlib.sha256()
+    for piece in pieces:
+        sha.update(piece)
+    return sha.hexdigest()
+
+
 def _lists(values: list[array]) -> pa.Array:
     return pa.array(values, pa.list_(pa.int32()))
 
@@ -210,7 +290,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def make():
         encoder = encoder_of(path)
-        return lambda b: pa.record_batch({"doc_id": b["doc_id"], "ids": _lists([array("I", encoder.encode(t)) for t in b["text"].to_pylist()])})
+        return lambda b: pa.record_batch({"doc_id": b["doc_id"], "ids": _lists([array("I", x) for x in encoder.encode_all(b["text"])])})
 
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(per_batch(make), "doc_id bigint, ids array<int>")
 
@@ -220,7 +300,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary("byte_bpe_multi_50k.tiktoken")
 
     def make():
-        decoder = Decoder(path)
+        decoder, _ = decoder_of(path)
         return lambda b: pa.record_batch({"doc_id": b["doc_id"], "text": pa.array([decoder.decode(x) for x in b["ids"].to_pylist()], pa.string())})
 
     return encoded.select("doc_id", "ids").mapInArrow(per_batch(make), "doc_id bigint, text string")
@@ -235,19 +315,15 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary("byte_bpe_multi_50k.tiktoken")
 
     def make():
-        encoder, decoder = encoder_of(path), Decoder(path)
-        digits = [str(i) for i in range(len(decoder.table))]
+        encoder, (decoder, decimal) = encoder_of(path), decoder_of(path)
 
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             counts, shas, texts = [], [], []
-            for text in b["text"].to_pylist():
-                ids = array("I", encoder.encode(text))
+            for data in encoder.encode_all(b["text"]):
+                ids = np.frombuffer(data, np.uint32)
                 counts.append(len(ids))
-                shas.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
-                seen = hashlib.sha256()
-                for piece in decoder.pieces(ids):
-                    seen.update(piece.encode())
-                texts.append(seen.hexdigest())
+                shas.append(digest(decimal.pieces(ids)))
+                texts.append(digest(piece.encode() for piece in decoder.pieces(ids)))
             return pa.record_batch({
                 "doc_id": b["doc_id"], "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(shas, pa.string()), "decoded_sha256": pa.array(texts, pa.string()),
             })

@@ -141,43 +141,13 @@ class ChunkEncoder:
         get, learn = self.chunks.get, self._chunk
         return b"".join([ids if (ids := get(c)) is not None else learn(c) for c in chunks])
 
-
-class LibraryEncoder(ChunkEncoder):
-    """By a file of the tokenizers library; the merges are the library's own.
-
-    Strings of special tokens become their ids, as the library does by default, or with ``plain`` are ordinary
-    text. Texts with such a string go through the whole library, and so do chunks with letters beyond the Latin ones, so
-    that its own tables of letters decide.
-    """
-
-    def __init__(self, path: str, plain: bool = False):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = plain
-        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # what all of them begin with, up to the first letter, is looked for first: that is fast
-        self.sign = re.match(r"[\W\d_]*", commonprefix(added)).group() if added else None
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search
-        self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
-        if not isinstance(self.tokenizer.model, models.BPE):
-            raise ValueError(f"{path} is not a byte-pair vocabulary")
-        self.find = _PIECES[self.normalize is not None].findall
-        self.merge = self.tokenizer.model.tokenize
-
-    def encode(self, text: str | None) -> bytes:
-        if text and self.sign is not None and self.sign in text and self.added(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return super().encode(text)
-
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         """What ``encode`` gives for every text, in order.
 
         The texts of some megabytes are cut at once, and each of their different chunks is looked up once.
         """
         texts = pc.fill_null(texts, "").cast(pa.large_string())
-        whole = set()
-        if self.sign is not None:
-            whole = {i for i in np.flatnonzero(pc.match_substring(texts, self.sign).to_numpy(zero_copy_only=False)).tolist() if self.added(texts[i].as_py())}
+        whole = self._apart(texts)
         _, ends, data = texts.buffers()
         ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data, at = np.frombuffer(data or b"", np.uint8), 0
@@ -200,12 +170,57 @@ class LibraryEncoder(ChunkEncoder):
         ids = memoryview(made.buffers()[2] or b"")
         return [bytes(ids[i:j]) for i, j in zip(places, places[1:])]
 
+    def _apart(self, texts: pa.Array) -> set[int]:
+        """The places of texts that ``encode`` does not take chunk by chunk."""
+        return set()
+
     def _table(self, chunks: pa.Array) -> pa.Array:
         """The ids of each chunk."""
+        return pa.array(self._looked_up(chunks), pa.large_binary())
+
+    def _looked_up(self, chunks: pa.Array) -> list[bytes]:
+        """The ids of different chunks."""
+        get, learn = self.chunks.get, self._chunk
+        return [ids if (ids := get(c)) is not None else learn(c) for c in chunks.to_numpy(zero_copy_only=False).tolist()]  # faster than to_pylist
+
+
+class LibraryEncoder(ChunkEncoder):
+    """By a file of the tokenizers library; the merges are the library's own.
+
+    Strings of special tokens become their ids, as the library does by default, or with ``plain`` are ordinary
+    text. Texts with such a string go through the whole library, and so do chunks with letters beyond the Latin ones, so
+    that its own tables of letters decide.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # what all of them begin with, up to the first letter, is looked for first: that is fast
+        self.sign = re.match(r"[\W\d_]*", commonprefix(added)).group() if added else None
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search
+        self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
+        if not isinstance(self.tokenizer.model, models.BPE):
+            raise ValueError(f"{path} is not a byte-pair vocabulary")
+        self.find = _PIECES[self.normalize is not None].findall
+        self.merge = self.tokenizer.model.tokenize
+
+    def encode(self, text: str | None) -> bytes:
+        if text and self.sign is not None and self.sign in text and self.added(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return super().encode(text)
+
+    def _apart(self, texts: pa.Array) -> set[int]:
+        if self.sign is None:
+            return set()
+        return {i for i in np.flatnonzero(pc.match_substring(texts, self.sign).to_numpy(zero_copy_only=False)).tolist() if self.added(texts[i].as_py())}
+
+    def _table(self, chunks: pa.Array) -> pa.Array:
         if self.normalize is not None:  # white space is dropped and ASCII letters become small, so many chunks are alike
             plain = pc.if_else(pc.string_is_ascii(chunks), pc.ascii_lower(pc.ascii_ltrim(chunks, characters=" \n")), chunks).dictionary_encode()
-            return pa.array(self._looked_up(plain.dictionary), pa.large_binary()).take(plain.indices)
-        return pa.array(self._looked_up(chunks), pa.large_binary())
+            return super()._table(plain.dictionary).take(plain.indices)
+        return super()._table(chunks)
 
     def _looked_up(self, chunks: pa.Array) -> list[bytes]:
         """The ids of different chunks; words of ASCII letters that are new go straight to the merges."""
